@@ -28,8 +28,8 @@ MIN_GROUP = 200
 RULES = {
     "symbols": ("n_symbols", "n_words", 100, False),
     "word_length": ("word_chars", "n_words", 1500, True),
-    "dup_lines": ("n_dup_lines", "n_lines", 300, False),
-    "repeats": ("n_repeat_words", "n_words", 200, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 500, False),
+    "repeats": ("n_repeat_words", "n_words", 400, False),
 }
 #: Grid values end here, so a sketch has a bounded size.
 GRID = 50_000
