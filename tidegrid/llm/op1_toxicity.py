@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,6 +180,19 @@ def score(docs: DataFrame, model: tuple[dict[str, float], list[float]], key: str
     return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(run, "k long, score double, clause_weight double").withColumnRenamed("k", key)
 
 
+def reject(docs: DataFrame, model: tuple[dict[str, float], list[float]], text: str = "text", limit: float = 0.5) -> DataFrame:
+    """``docs`` without the rows that score ``limit`` or more."""
+    weights, beta = model
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = grammar()
+        for b in batches:
+            z = np.array([beta[0] + np.dot(beta[1:], text_features(t.as_py(), weights, machine)) for t in b.column(text)])
+            yield b.filter(pa.array(z < np.log(limit / (1 - limit)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def labelled_train(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(text, label) of the rows that the fold rule lets one learn from."""
     known = labels.where((fold(F.col(key)) != 0) & F.col(label).isNotNull()).select(F.col(key), F.col(label)).dropDuplicates([key])

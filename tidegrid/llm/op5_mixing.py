@@ -47,15 +47,15 @@ def features(text: Column) -> dict[str, Column]:
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str, text: str, label_columns: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
-    """(key, tokens, p: posteriors in the order of the domains' names), written once."""
-    made = docs.select(F.col(key).alias("key"), F.greatest(F.size(words(F.col(text))), F.lit(1)).cast("double").alias("tokens"), *[c.alias(n) for n, c in features(F.col(text)).items()])
+    """(uid: hash of key and text, key, tokens, p: posteriors in the order of the domains' names), written once."""
+    made = docs.select(F.xxhash64(F.col(key), F.col(text)).alias("uid"), F.col(key).alias("key"), F.greatest(F.size(words(F.col(text))), F.lit(1)).cast("double").alias("tokens"), *[c.alias(n) for n, c in features(F.col(text)).items()])
     made = materialise(made, "op5-features")
     names = [c for c in made.columns if c.startswith("f_")]
     domain = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in label_columns])
     known = labels.select(F.col(key).alias("key"), domain.alias("domain")).dropDuplicates(["key"])
     moments = made.join(known, "key").groupBy("domain").agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{f.__name__}") for c in names for f in (F.avg, F.var_pop)]).where(F.col("n") >= 5).orderBy("domain").collect()
     if len(moments) < 2:
-        return made.select("key", "tokens", F.array(F.lit(1.0)).alias("p")), [m["domain"] for m in moments] or ["all"]
+        return made.select("uid", "key", "tokens", F.array(F.lit(1.0)).alias("p")), [m["domain"] for m in moments] or ["all"]
     total = sum(m["n"] for m in moments)
     logs = []
     for m in moments:
@@ -65,7 +65,7 @@ def classify(docs: DataFrame, labels: DataFrame, key: str, text: str, label_colu
             score = score - (F.col(c) - m[f"{c}_avg"]) ** 2 / (2 * var) - 0.5 * math.log(var)
         logs.append(score)
     soft = let(F.array(*logs), lambda s: let(F.array_max(s), lambda top: F.transform(s, lambda x: F.exp(F.greatest(x - top, F.lit(-50.0))))))
-    return made.select("key", "tokens", let(soft, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda z: F.transform(e, lambda x: x / z))).alias("p")), [m["domain"] for m in moments]
+    return made.select("uid", "key", "tokens", let(soft, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda z: F.transform(e, lambda x: x / z))).alias("p")), [m["domain"] for m in moments]
 
 
 def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float] | None, max_rate: float, iterations: int = ITERATIONS) -> tuple[Column, dict]:
@@ -109,14 +109,21 @@ def _replay(first: Column, pushes: list[list[float]], max_rate: float) -> Column
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, key: str = "doc_id", text: str = "text", label_columns: tuple[str, ...] = ("quality", "toxic"), max_rate: float = 1.0, seed: int = 23) -> DataFrame:
-    """Per row of ``docs``: key, tokens, p, rate and copies (how often the document is taken)."""
+    """Per row of ``docs``: uid, key, tokens, p, rate and copies (how often the document is taken)."""
     members, domains = classify(docs, labels, key, text, label_columns)
     members = materialise(members, "op5-members")
     rate, _ = fit_rates(members, domains, targets, max_rate)
     draw = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("key").cast("string"), F.lit("null"))), F.lit(1 << 30)) / float(1 << 30)
     out = members.withColumn("rate", F.round(rate, 6))
     copies = F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    return out.select(F.col("key").alias(key), F.col("tokens").cast("long").alias("tokens"), "p", "rate", copies.cast("int").alias("copies"))
+    return out.select("uid", F.col("key").alias(key), F.col("tokens").cast("long").alias("tokens"), "p", "rate", copies.cast("int").alias("copies"))
+
+
+def mixed(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs``, each row as often as its copies say."""
+    copies = mix(docs, labels, key=key, text=text, **options).where("copies > 0").groupBy(F.col("uid").alias("_uid")).agg(F.first("copies").alias("_copies"))
+    taken = docs.withColumn("_uid", F.xxhash64(F.col(key), F.col(text))).join(copies, "_uid")
+    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
