@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import curves, relations, series
+
+FLAGSHIP = "own_range_flagship"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = "own_range_flagship"
+for _part in (series, relations, curves):
+    QUERIES |= _part.QUERIES
+    ORACLE_SQL |= _part.ORACLE_SQL
