@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import _BASE, ascii_lower, fold, materialise, mix64, table, word_hashes
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 BUCKET_TOKENS = 2_000_000
 #: Context-frequency buckets: never seen, then powers of two.
 LEVELS = 18
@@ -79,6 +79,12 @@ def to_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
+def one_by_one(b: pa.RecordBatch) -> Iterator[dict]:
+    """The rows as dictionaries, one at a time: a row holds megabytes."""
+    for i in range(b.num_rows):
+        yield b.slice(i, 1).to_pylist()[0]
+
+
 class Chunk:
     """A chunk's tokens and word pairs, the same each time it is read."""
 
@@ -115,7 +121,7 @@ def requests(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in one_by_one(b):
                 c = Chunk(r["train"], r["lengths"], r["tokens"], r["vocab"])
                 word_counts = np.bincount(c.tokens, weights=c.learn, minlength=len(c.vocab)).astype(np.uint64)
                 pairs, back = np.unique(c.pairs(), return_inverse=True)
@@ -158,7 +164,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each token's count and that of the pair it ends, from the totals sent back."""
     schema = pa.schema([("ids", pa.list_(pa.int64())), ("train", pa.binary()), ("lengths", pa.binary()), ("own", pa.binary()), ("pair", pa.binary())])
     for b in batches:
-        for r in b.to_pylist():
+        for r in one_by_one(b):
             c = Chunk(r["train"], r["lengths"], r["tokens"], r["vocab"])
             replies = sorted(r["replies"], key=lambda x: x["bucket"])
             own = np.concatenate([unpack(x["words"], 4) for x in replies])[c.tokens]
@@ -192,7 +198,7 @@ def deleted_cells(n: int, docs_train: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in one_by_one(b):
                 lengths = unpack(r["lengths"], 4).astype(np.int64)
                 own, pair = unpack(r["own"], 4).astype(np.int64), unpack(r["pair"], 4).astype(np.int64)
                 learn = np.repeat(np.frombuffer(r["train"], np.uint8).astype(bool), lengths)
@@ -235,7 +241,7 @@ def score_tokens(weights: np.ndarray, v: int, n: int, docs_train: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in one_by_one(b):
                 lengths = unpack(r["lengths"], 4).astype(np.int64)
                 own, pair = unpack(r["own"], 4).astype(np.int64), unpack(r["pair"], 4).astype(np.int64)
                 ctx = contexts(own, lengths, docs_train)
