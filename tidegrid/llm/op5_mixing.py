@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import fold, let, materialise, table, words
 
-ITERATIONS = 25
+ITERATIONS = 40
 #: Target weight of a domain: its share of the tokens to this power, brought to a sum of one.
 FLATTEN = 0.95
 
@@ -78,22 +78,25 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float]
     share = [x / sum(have) for x in have]
     wish = [targets.get(d, 0.0) for d in domains] if targets else [s**FLATTEN for s in share]
     wish = [w / sum(wish) for w in wish]
-    # The largest budget that no domain's own tokens fall short of.
+    # The largest budget that no domain's own tokens fall short of; where rates at their bounds can't reach the targets
+    # (soft memberships overlap), a smaller one is sought.
     budget = min(max_rate * h / w for h, w in zip(have, wish, strict=True) if w > 0)
-    goal = [max(w * budget, 1e-9 * sum(have)) for w in wish]
-    step = 1.0 / max(h / g for h, g in zip(have, goal, strict=True))
     # Start at the rate that would fit if memberships were hard.
-    rate = F.least(F.lit(float(max_rate)), sum(F.get("p", F.lit(k)) * (goal[k] / max(have[k], 1e-9)) for k in ks))
-    total = sums(rate)
-    pushes: list[list[float]] = []
-    first = rate
+    first = F.least(F.lit(float(max_rate)), sum(F.get("p", F.lit(k)) * (wish[k] * budget / max(have[k], 1e-9)) for k in ks))
+    rate, total, pushes, errors = first, sums(first), [], []
     for _ in range(iterations):
-        if max(abs(t - g) / g for t, g in zip(total, goal, strict=True)) < 1e-3:
+        goal = [max(w * budget, 1e-9 * sum(have)) for w in wish]
+        errors.append(max(abs(t - g) / g for t, g in zip(total, goal, strict=True)))
+        if errors[-1] < 1e-3:
             break
+        if len(errors) > 6 and errors[-1] > 0.01 and errors[-1] > 0.95 * errors[-5]:
+            budget, errors = 0.9 * budget, []
+            continue
+        step = 1.0 / max(h / g for h, g in zip(have, goal, strict=True))
         pushes.append([step * (t - g) / g for t, g in zip(total, goal, strict=True)])
         rate = _replay(first, pushes, max_rate)
         total = sums(rate)
-    return rate, {"domains": domains, "targets": goal, "totals": total, "iterations": len(pushes)}
+    return rate, {"domains": domains, "targets": [w * budget for w in wish], "totals": total, "iterations": len(pushes)}
 
 
 def _replay(first: Column, pushes: list[list[float]], max_rate: float) -> Column:
