@@ -71,9 +71,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
 
     touched = starts.groupBy("row").agg(F.collect_list(F.struct("iid", "m", "start")).alias("places"))
     full = docs.select(row.alias("row"), F.col(text).alias("t")).join(touched, "row").dropDuplicates(["row"]).select("row", "places", _shingles(F.col("t")).alias("s"))
-    # A window at the end of a text starts early enough to hold m shingles, if the text has so many.
-    place = F.explode("places").alias("p")
-    windows = full.select("row", "s", place).select("row", "p.iid", "p.m", F.greatest(F.lit(0), F.least(F.col("p.start"), F.size("s") - F.col("p.m"))).alias("start"), "s")
+    # A window at the end of a text starts early enough to hold m shingles, if the text has so many; starts that then
+    # coincide are one window.
+    held = F.transform("places", lambda p: F.struct(p["iid"].alias("iid"), p["m"].alias("m"), F.greatest(F.lit(0), F.least(p["start"], F.size("s") - p["m"])).alias("start")))
+    windows = full.select("row", "s", F.explode(F.array_distinct(held)).alias("p")).select("row", "p.iid", "p.m", "p.start", "s")
     windows = windows.select("row", "iid", "m", "start", F.explode(F.slice("s", F.col("start") + 1, F.col("m"))).alias("sh"))
     weighed = materialise(windows.groupBy("row", "iid", "m", "start", "sh").agg(F.count("*").alias("w")), "op8-windows")
 
