@@ -2,7 +2,8 @@
 
 Pass one scatters the rows uniformly, by seeded hashes of the key, into shards and inside them into buckets that fit
 in memory; pass two shuffles every bucket with Fisher-Yates (Spark's seeded ``shuffle``) and numbers its rows after
-those of the buckets before it.  The law is ``key``: the key and the number of shards alone decide the shard, by
+those of the buckets before it.  A bucket is one task's array, so its slots are drawn together; which permutation is
+drawn also depends on the task, so another run may number the rows otherwise, while shards never change.  The law is ``key``: the key and the number of shards alone decide the shard, by
 highest random weight, so that one more shard takes rows only into itself.
 
 Defined results: null text has size 1 and the CRC of no bytes; a null key hashes as the text "null"; equal rows get
@@ -40,7 +41,7 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 17, key: str = "doc_id",
     before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
 
-    # The rows of a bucket are put in a definite order first, so that a task that runs again gives the same slots.
+    # The rows of a bucket are put in a definite order first, so that the order in which they arrive has no part in it.
     order = F.struct(F.xxhash64(F.lit(seed + 2), name, F.col(text)).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), size.alias("size"), shard_of(F.col(key), shards + 1, seed).alias("grown"))
     packed = docs.select(shard_of(F.col(key), shards, seed).alias("shard"), bucket.alias("bucket"), order.alias("item"))
     dealt = packed.groupBy("shard", "bucket").agg(F.collect_list("item").alias("items"))
