@@ -97,7 +97,7 @@ def test_patches_and_sieve(spark):
 
 
 def test_ring_area_and_compactness(spark):
-    df = spark.sql("SELECT array(struct(0D AS x, 0D AS y), struct(2D, 0D), struct(2D, 2D), struct(0D, 2D), struct(0D, 0D)) AS ring")
+    df = spark.createDataFrame([([(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)],)], "ring array<struct<x double, y double>>")
     r = df.select(grid.ring_area(F.col("ring")).alias("a"), grid.ring_compactness(F.col("ring")).alias("c")).first()
     assert r.a == 4.0 and abs(r.c - np.pi / 4) < 1e-9
 
