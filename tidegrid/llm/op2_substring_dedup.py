@@ -38,7 +38,7 @@ RUN = 6
 MANY = 64
 SHARD_WORDS = 50_000
 
-OWNED = "owner long, piece long, uid long, start int, owned int"
+OWNED = "owner long, piece long, uid long, place long"
 
 
 def range_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -64,12 +64,32 @@ def owned_pieces(h: np.ndarray, window: int = WINDOW, run: int = RUN) -> tuple[n
     return owner, piece, first.astype(np.int32), count.astype(np.int32)
 
 
+def find_owners(window: int):
+    """The owner of each piece."""
+    schema = pa.schema([("owner", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts, held = [], 0
+            for t in b.column(0):
+                parts.append(owned_pieces(word_hashes(t.as_py() or b"")[0], window)[0])
+                held += len(parts[-1])
+                if held > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], schema=schema)
+                    parts, held = [], 0
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], schema=schema)
+
+    return run
+
+
 def find_pieces(window: int):
-    schema = pa.schema([("owner", pa.int64()), ("piece", pa.int64()), ("uid", pa.int64()), ("start", pa.int32()), ("owned", pa.int32())])
+    """Pieces with the place (start * 64 + number of windows) packed into one number."""
+    schema = pa.schema([("owner", pa.int64()), ("piece", pa.int64()), ("uid", pa.int64()), ("place", pa.int64())])
 
     def emit(parts: list) -> pa.RecordBatch:
-        owner, piece, uid, start, owned = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(owner.view(np.int64)), pa.array(piece.view(np.int64)), pa.array(uid), pa.array(start), pa.array(owned)], schema=schema)
+        owner, piece, uid, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(owner.view(np.int64)), pa.array(piece.view(np.int64)), pa.array(uid), pa.array(place)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -77,7 +97,7 @@ def find_pieces(window: int):
             for uid, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 owner, piece, start, owned = owned_pieces(word_hashes(t.as_py() or b"")[0], window)
                 if len(owner):
-                    parts.append((owner, piece, np.full(len(owner), uid, np.int64), start, owned))
+                    parts.append((owner, piece, np.full(len(owner), uid, np.int64), start.astype(np.int64) * 64 + owned))
                     held += len(owner)
                 if held > 200_000:
                     yield emit(parts)
@@ -88,28 +108,28 @@ def find_pieces(window: int):
     return run
 
 
-LINES = "route long, pid long, owner long, piece long, off int, many boolean, n long, words binary"
+LINES = "route long, pid long, owner long, piece long, off int, n long, words binary"
 
 
-def cut_lines(window: int, many: int):
+def cut_lines(window: int):
     """The words of the reference pieces of a document; window by window where the owner has many pieces."""
-    schema = pa.schema([("route", pa.int64()), ("pid", pa.int64()), ("owner", pa.int64()), ("piece", pa.int64()), ("off", pa.int32()), ("many", pa.bool_()), ("n", pa.int64()), ("words", pa.binary())])
+    schema = pa.schema([("route", pa.int64()), ("pid", pa.int64()), ("owner", pa.int64()), ("piece", pa.int64()), ("off", pa.int32()), ("n", pa.int64()), ("words", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[] for _ in schema]
-            for t, places in zip(b.column(0), b.column(1), strict=True):
+            for t, places in zip(b.column(1), b.column(2), strict=True):
                 ws = t.as_py().split()
                 h = None
                 for p in places.as_py():
-                    s, k = p["start"], p["owned"]
-                    if p["pieces"] <= many:
-                        rows = [(p["owner"], p["piece"], p["owner"], p["piece"], 0, False, p["n"], b" ".join(ws[s : s + k + window - 1]))]
+                    s, k = divmod(p["place"], 64)
+                    if not p["many"]:
+                        rows = [(p["owner"], p["piece"], p["owner"], p["piece"], 0, p["n"], b" ".join(ws[s : s + k + window - 1]))]
                     else:
                         h = word_hashes(t.as_py())[0] if h is None else h
                         at = np.arange(s, s + k)
                         ids = range_hashes(h[s : s + k + window - 1], at - s, at - s + window).view(np.int64).tolist()
-                        rows = [(i, i, p["owner"], p["piece"], j, True, p["n"], b" ".join(ws[s + j : s + j + window])) for j, i in enumerate(ids)]
+                        rows = [(i, i, p["owner"], p["piece"], j, p["n"], b" ".join(ws[s + j : s + j + window])) for j, i in enumerate(ids)]
                     for r in rows:
                         for col, v in zip(cols, r, strict=True):
                             col.append(v)
@@ -255,26 +275,36 @@ def drop_spans(with_text: bool):
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, many: int = MANY, shard_words: int = SHARD_WORDS, with_text: bool = True) -> DataFrame:
     """Per row: key, n_words, n_removed and ``kept`` (the kept words joined by a space, or with ``with_text`` off their SHA-256)."""
     rows = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(key), F.col(text)).alias("uid"), F.col(text).cast("binary").alias("t"))
-    pieces = materialise(rows.select("uid", "t").mapInArrow(find_pieces(window), OWNED), "op2-pieces")
 
-    # Distinct pieces with their number of occurrences and one place; owners met once are dropped.
-    distinct = pieces.groupBy("owner", "piece").agg(F.count("*").alias("n"), F.min(F.struct("uid", "start", "owned")).alias("at"))
-    owners = distinct.groupBy("owner").agg(F.sum("n").alias("n"), F.count("*").alias("pieces")).where("n > 1").select("owner", "pieces")
-    reference = distinct.join(owners, "owner").select("owner", "piece", "n", "at.uid", "at.start", "at.owned", "pieces")
-    places = reference.groupBy("uid").agg(F.collect_list(F.struct("owner", "piece", "n", "start", "owned", "pieces")).alias("places"))
-    lines = materialise(rows.select("uid", "t").join(places, "uid").select("t", "places").mapInArrow(cut_lines(window, many), LINES), "op2-lines")
+    # Owners met twice or more, then their pieces; the many others are never shuffled with their places.
+    met = rows.select("t").mapInArrow(find_owners(window), "owner long").groupBy("owner").agg(F.count("*").alias("met")).where("met > 1").select("owner")
+    pieces = materialise(rows.select("uid", "t").mapInArrow(find_pieces(window), OWNED).join(met, "owner"), "op2-pieces")
 
-    # A window that many pieces share is one line of the reference.
-    once = lines.groupBy("route", "pid").agg(F.sum("n").alias("n"), F.min("words").alias("words"))
-    shards = once.repartition("route").sortWithinPartitions("route").select("route", "pid", "n", "words")
-    spans = materialise(shards.mapInArrow(match_shards(window, shard_words), "pid long, route long, los array<int>, his array<int>"), "op2-spans")
+    # The reference: distinct pieces with their number of occurrences and one place.
+    distinct = pieces.groupBy("owner", "piece").agg(F.count("*").alias("n"), F.min(F.struct("uid", "place")).alias("at"))
+    crowded = pieces.select("owner", "piece").distinct().groupBy("owner").agg(F.count("*").alias("pieces")).where(F.col("pieces") > many).select("owner", F.lit(True).alias("many"))
+    reference = materialise(distinct.join(crowded, "owner", "left").select("owner", "piece", "n", "at.uid", "at.place", F.coalesce("many", F.lit(False)).alias("many")), "op2-reference")
+
+    # The texts are dealt by uid three times in one plan: Spark shuffles them once and reuses the exchange.
+    def lines(wanted: DataFrame) -> DataFrame:
+        places = wanted.groupBy("uid").agg(F.collect_list(F.struct("owner", "piece", "n", "place", "many")).alias("places"))
+        return rows.join(places, "uid").select("k", "t", "places").mapInArrow(cut_lines(window), LINES)
 
-    shift = lambda c: F.transform(c, lambda x: x + F.col("off"))
-    found = lines.select("route", "pid", "owner", "piece", "off").join(spans, ["route", "pid"]).select("owner", "piece", shift("los").alias("los"), shift("his").alias("his"))
+    # A window that many pieces share is one line of the reference.
+    whole = lines(reference.where("not many")).select("route", "pid", "n", "words")
+    windows = lines(reference.where("many"))
+    shared = windows.groupBy("route", "pid").agg(F.sum("n").alias("n"), F.min("words").alias("words"))
+    shards = whole.unionByName(shared).repartition("route").sortWithinPartitions("route")
+    spans = shards.mapInArrow(match_shards(window, shard_words), "pid long, route long, los array<int>, his array<int>")
+
+    own = reference.where("not many").select(F.col("owner").alias("route"), F.col("piece").alias("pid"), "owner", "piece", F.lit(0).alias("off"))
+    shift = lambda c, by: F.transform(c, lambda x: x + by)
+    found = own.unionByName(windows.select("route", "pid", "owner", "piece", "off")).join(spans, ["route", "pid"])
+    found = found.select("owner", "piece", shift("los", F.col("off")).alias("los"), shift("his", F.col("off")).alias("his"))
     found = found.groupBy("owner", "piece").agg(F.flatten(F.collect_list("los")).alias("los"), F.flatten(F.collect_list("his")).alias("his"))
-    placed = pieces.select("owner", "piece", "uid", "start").join(found, ["owner", "piece"])
-    move = lambda c: F.transform(c, lambda x: x + F.col("start"))
-    by_doc = placed.groupBy("uid").agg(F.flatten(F.collect_list(move("los"))).alias("los"), F.flatten(F.collect_list(move("his"))).alias("his"))
+    start = F.floor(F.col("place") / 64).cast("int")
+    placed = pieces.join(found, ["owner", "piece"]).select("uid", shift("los", start).alias("los"), shift("his", start).alias("his"))
+    by_doc = placed.groupBy("uid").agg(F.flatten(F.collect_list("los")).alias("los"), F.flatten(F.collect_list("his")).alias("his"))
     return rows.join(by_doc, "uid", "left").select("k", "t", "los", "his").mapInArrow(drop_spans(with_text), CLEANED).withColumnRenamed("doc_id", key)
 
 
