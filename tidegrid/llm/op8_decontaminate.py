@@ -103,4 +103,4 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the benchmark items that it leaks and whether it is kept."""
     out = contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     n = F.greatest(F.col("_n"), F.lit(0))
-    return out.select("doc_id", n.cast("long").alias("n_items"), "_items", F.round("_similarity", 6).alias("similarity"), (n > 0).alias("contaminated"), (n <= 0).alias("kept")).withColumnRenamed("_items", "item_ids")
+    return out.select("doc_id", n.cast("long").alias("n_items"), F.array_join(F.transform("_items", lambda x: x.cast("string")), ",").alias("item_ids"), F.round("_similarity", 6).alias("similarity"), (n > 0).alias("contaminated"), (n <= 0).alias("kept"))

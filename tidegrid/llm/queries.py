@@ -6,6 +6,9 @@ from . import op4_near_dedup, op5_mixing, op6_quality_rules, op7_warc, op8_decon
 from .op1_toxicity import op1_toxicity
 from .op2_substring_dedup import op2_substring_dedup
 from .op3_quality_crf import op3_quality_crf
+from .oracles import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
@@ -20,4 +23,3 @@ QUERIES = {
     "op10_language_model": op10_language_model.op10_language_model,
 }
 
-ORACLE_SQL = {"op6_quality_rules": op6_quality_rules.oracle_sql()}
