@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.functions import columns as c
-from tidegrid.operators import aggregate, evaluate, grid, lifecycle, robust, rules, smooth, temporal
+from tidegrid.operators import aggregate, classes, evaluate, geometry, grid, lifecycle, robust, rules, smooth, temporal
 from tidegrid.sources import tables
 
 
@@ -130,3 +130,28 @@ def test_seeded_cap_is_the_same_however_the_table_is_dealt(spark):
     a = aggregate.seeded_cap(df, ["g"], "id", 10, 5)
     b = aggregate.seeded_cap(df.repartition(7), ["g"], "id", 10, 5)
     assert {r.id for r in a.collect()} == {r.id for r in b.collect()} and a.count() == 30
+
+
+def test_own_scale_rule(spark):
+    names = "ndvi_low_peak vh_pos_end days_since_peak days_at_top ndvi_slope_end vh_slope_end ndvi_rise_days ndvi_left".split()
+    rows = [(0.6, 0.7, 60, 60, 0.0, 0.0, 30, 0.9), (0.1, 0.4, 0, 0, 0.5, 0.5, 20, 1.0), (0.0, 0.4, 0, 0, 0.5, 0.1, 40, 1.0), (0.15, 0.9, 100, 100, -0.1, 0.1, 25, 0.1), (0.15, 0.9, 50, 60, -0.5, 0.3, 70, 0.2), (0.15, 0.8, 30, 40, -0.1, 0.0, 60, 0.9), (0.15, 0.2, 50, 60, 0.0, -0.4, 70, 0.69)]
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(rows)], ["i", *names])
+    got = [x.c for x in df.withColumn("c", classes.own_scale_class(df)).orderBy("i").collect()]
+    assert got == ["tree/orchard", "young rice", "flooded / bare", "other vegetation", "rice harvested", "rice standing direct seeded", "rice standing direct seeded"]
+
+
+def test_half_plane_and_long_axis(spark):
+    df = spark.createDataFrame([([(0.0, 0.0), (4.0, 0.0), (4.0, 1.0), (0.0, 1.0), (0.0, 0.0)],)], f"ring {geometry.RING}")
+    cut = df.select(geometry.half_plane(F.col("ring"), F.lit(0.0), F.lit(1.0)).alias("h"), geometry.long_axis(F.col("ring")).alias("t"))
+    r = cut.select(grid.ring_area(F.col("h")).alias("a"), "t").first()
+    assert abs(r.a - 1.0) < 1e-9 and r.t == 0.0
+
+
+def test_points_inside_a_concave_ring(spark):
+    ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (2.0, 1.0), (0.0, 4.0), (0.0, 0.0)]
+    df = spark.createDataFrame([(ring, 2.0, 3.0), (ring, 0.5, 2.0), (ring, 5.0, 1.0)], f"ring {geometry.RING}, x double, y double")
+    assert [r.i for r in df.select(geometry.inside(F.col("ring"), F.col("x"), F.col("y")).alias("i")).collect()] == [False, True, False]
+
+
+def test_spread_pick():
+    assert geometry.spread_pick([("a", 9, 0.0, 0.0), ("b", 8, 0.0, 0.01), ("c", 7, 1.0, 0.0)], 2, 15) == ["a", "c"]
