@@ -7,7 +7,7 @@ marks of punctuation) and returns its weight; a document's features are the sum,
 weights.  The weights of insult and threat words and the map from features to a score are learned from labelled rows;
 labels, lang, source and the key are never inputs.
 
-The fit uses a bounded sample: at most ``FIT_ROWS`` labelled rows of either label, those with the least hash of the text.
+The fit uses a bounded sample: at most ``FIT_ROWS`` labelled rows of either label, drawn by a seeded hash of the key.
 Scoring reads every whole text.  Defined results: null and empty texts score the sigmoid of the bias (no clause has
 weight); equal texts score alike; without labelled rows of both labels the default weights stand.
 """
@@ -126,12 +126,9 @@ def text_features(text: str | None, weights: dict[str, float], machine: Composed
     return math.log1p(total), max(got, default=0.0), 100.0 * total / (100.0 + len(low))
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", rows: int = FIT_ROWS) -> tuple[dict[str, float], list[float]]:
-    """Word weights and the logistic coefficients (bias first), from a bounded sample of labelled rows."""
-    known = labelled.where(F.col(label).isin(0, 1))
-    # A bounded sample of each label, the least text hashes: rank within the label by a partial top-k.
-    picked = [known.where(F.col(label) == y).select(F.substring(text, 1, 50_000).alias("t"), F.col(label).alias("y")).orderBy(F.xxhash64("t")).limit(rows).collect() for y in (0, 1)]
-    texts, ys = [r["t"] or "" for p in picked for r in p], np.array([r["y"] for p in picked for r in p], float)
+def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[str, float], list[float]]:
+    """Word weights and the logistic coefficients (bias first), from a bounded sample (text, label)."""
+    texts, ys = collect_sample(labelled, rows)
     base = {w: DEFAULT_WEIGHT for w, c in CLASSES.items() if c in _HEAVY}
     if len(set(ys.tolist())) < 2:
         return base, [-4.0, 2.0, 0.5, 0.0]
@@ -193,10 +190,22 @@ def reject(docs: DataFrame, model: tuple[dict[str, float], list[float]], text: s
     return docs.mapInArrow(run, docs.schema)
 
 
-def labelled_train(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(text, label) of the rows that the fold rule lets one learn from."""
-    known = labels.where((fold(F.col(key)) != 0) & F.col(label).isNotNull()).select(F.col(key), F.col(label)).dropDuplicates([key])
-    return docs.select(F.col(key), F.col(text)).join(known, key).select(text, label)
+def labelled_train(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(text, label) of a bounded sample of the rows that the fold rule lets one learn from.
+
+    The sample is drawn from the labels, at most ``rows`` of either label by a seeded hash of the key, and is small enough
+    to be broadcast, so no text is shuffled.
+    """
+    known = labels.where((fold(F.col(key)) != 0) & F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias(label))
+    draw = F.xxhash64(F.lit(5), F.col(key))
+    picked = known.where(F.col(label) == 0).orderBy(draw, key).limit(rows).unionByName(known.where(F.col(label) == 1).orderBy(draw, key).limit(rows))
+    return docs.select(F.col(key), F.col(text)).join(F.broadcast(picked), key).select(F.col(text).alias("text"), F.col(label).alias("label"))
+
+
+def collect_sample(labelled: DataFrame, rows: int) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of a bounded sample, in the order of the texts."""
+    got = sorted((r["t"] or "", r["label"]) for r in labelled.select(F.substring("text", 1, 50_000).alias("t"), "label").limit(2 * rows).collect())
+    return [t for t, _ in got], np.array([y for _, y in got], float)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,8 @@ the lines before and after it; forward-backward gives each line's marginal, and
 lengths give the document's share of good text, which a logistic curve turns into the score.  Lines take their
 document's label when the field is learned; labels, lang, source and the key are never inputs.
 
-The fit uses a bounded sample: at most ``FIT_ROWS`` labelled rows of either label, those with the least hash of the text,
-and of each at most its first ``FIT_LINES`` lines.  Scoring reads every line of every whole text.  Defined results: a
+The fit uses a bounded sample: at most ``FIT_ROWS`` labelled rows of either label, drawn by a seeded hash of the key, and
+of each at most its first ``FIT_LINES`` lines.  Scoring reads every line of every whole text.  Defined results: a
 null or empty text is one empty line; equal texts score alike; without labelled rows of both labels every score is 0.5.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import _GAP, fold, mix64, ngram_hashes, table, word_hashes
-from .op1_toxicity import labelled_train, logistic
+from .op1_toxicity import collect_sample, labelled_train, logistic
 
 FIT_ROWS = 2000
 FIT_LINES = 200
@@ -186,14 +186,12 @@ def train(texts: list[str], ys: np.ndarray, rounds: int = ROUNDS) -> Field:
     return out
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", rows: int = FIT_ROWS) -> Field:
-    known = labelled.where(F.col(label).isin(0, 1))
-    picked = [known.where(F.col(label) == y).select(F.substring(text, 1, 50_000).alias("t"), F.col(label).alias("y")).orderBy(F.xxhash64("t")).limit(rows).collect() for y in (0, 1)]
-    rows_ = [r for p in picked for r in p]
-    ys = np.array([r["y"] for r in rows_], float)
+def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Field:
+    """The field learned from a bounded sample (text, label)."""
+    texts, ys = collect_sample(labelled, rows)
     if len(set(ys.tolist())) < 2:
         return Field(np.zeros((1 + 3 * WIDTH, 2)), np.zeros((2, 2)), [0.0, 0.0])
-    return train([r["t"] for r in rows_], ys)
+    return train(texts, ys)
 
 
 def score(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,5 +210,5 @@ def score(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text"
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality; learned from the rows outside fold 0."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    out = score(docs, fit(labelled_train(docs, labels, "quality")))
+    out = score(docs, fit(labelled_train(docs, labels, "quality", FIT_ROWS)))
     return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "good_share")
