@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from .common import fold, let, materialise, table, words
 
 ITERATIONS = 40
-#: Target weight of a domain: its share of the tokens to this power, brought to a sum of one.
-FLATTEN = 0.95
+#: Target weight of a domain where none is given: its share of the tokens to this power, brought to a sum of one.  Over
+#: one, the largest domain is kept whole and the smaller ones are thinned.
+POWER = 1.25
 
 
 def features(text: Column) -> dict[str, Column]:
@@ -76,7 +77,7 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float]
     if len(domains) < 2 or sum(have) == 0:
         return F.lit(1.0), {"domains": domains, "targets": have, "totals": have}
     share = [x / sum(have) for x in have]
-    wish = [targets.get(d, 0.0) for d in domains] if targets else [s**FLATTEN for s in share]
+    wish = [targets.get(d, 0.0) for d in domains] if targets else [s**POWER for s in share]
     wish = [w / sum(wish) for w in wish]
     # The largest budget that no domain's own tokens fall short of; where rates at their bounds can't reach the targets
     # (soft memberships overlap), a smaller one is sought.
@@ -111,7 +112,7 @@ def _replay(first: Column, pushes: list[list[float]], max_rate: float) -> Column
     return F.aggregate(steps, first, move)
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, key: str = "doc_id", text: str = "text", label_columns: tuple[str, ...] = ("quality", "toxic"), max_rate: float = 1.0, seed: int = 23) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, key: str = "doc_id", text: str = "text", label_columns: tuple[str, ...] = ("quality",), max_rate: float = 1.0, seed: int = 23) -> DataFrame:
     """Per row of ``docs``: uid, key, tokens, p, rate and copies (how often the document is taken)."""
     members, domains = classify(docs, labels, key, text, label_columns)
     members = materialise(members, "op5-members")
