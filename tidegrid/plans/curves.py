@@ -114,9 +114,7 @@ def grid_split(spark, d):
 
 
 def _events_stream(spark, d):
-    """The events as a stream; the schema is that of the table."""
-    schema = table(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").option("recursiveFileLookup", "true").parquet(d)
+    return streams.stream_table(spark, f"{d}/events.parquet")
 
 
 def _shared(spark):

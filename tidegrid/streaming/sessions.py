@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table or file as a stream; event time as a timestamp with a zone."""
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path if not path.endswith(".parquet") else path)
+    """A Parquet table, one file or a folder of them, as a stream of the table's schema.
+
+    The last character stands as a pattern, since a stream takes a plain path for a folder.
+    """
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def session_counts(stream: DataFrame, key: str, ts: str, gap: str, late: str) -> DataFrame:
