@@ -207,9 +207,10 @@ def near_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     both = proposed.where("a is not null").select("a", "b").unionByName(seams.where("a is not null").select("a", "b"))
     pairs = materialise(both.groupBy("a", "b").agg(F.count("*").alias("votes")), "op4-pairs")
 
-    # Shingle sets of the classes that have any partner.
+    # Shingle sets of the classes that have any partner.  The list of those grows with the input, so the texts are always
+    # dealt out by uid and never met by a broadcast of a list that happens to be short.
     nodes = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct()
-    sets = materialise(rows.select("uid", "t").join(nodes, "uid").dropDuplicates(["uid"]).select("uid", "t").mapInArrow(sets_of, "node long, s binary"), "op4-sets")
+    sets = materialise(rows.select("uid", "t").join(nodes.hint("merge"), "uid").dropDuplicates(["uid"]).select("uid", "t").mapInArrow(sets_of, "node long, s binary"), "op4-sets")
 
     # Round one: the partner that most orders propose.
     ways = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), "votes").unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v"), "votes"))
