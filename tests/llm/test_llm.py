@@ -186,6 +186,38 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert op4_near_dedup.representatives(d).count() == 51
 
 
+def star(n, seed=5):
+    """A base and copies with ten scattered edits each, similar to the base but hardly to each other."""
+    base, rng = words(78, 400), random.Random(seed)
+    texts = [" ".join(base)]
+    for _ in range(n):
+        w = list(base)
+        for i in range(10):
+            w[20 + 40 * i + rng.randrange(-10, 11)] = f"y{rng.random()}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def test_a_star_of_copies_is_one_component(spark):
+    texts = star(1500)
+    sets = [shingles(t) for t in texts]
+    assert all(100 * len(sets[0] & s) >= 75 * len(sets[0] | s) for s in sets)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert op4_near_dedup.near_duplicates(d).where("kept").count() == 1
+
+
+def test_blocks_of_a_region_find_every_similar_pair(spark, monkeypatch):
+    monkeypatch.setattr(op4_near_dedup, "BLOCK_SHINGLES", 4000)
+    texts = star(40) + star(40, 6)[1:] + [" ".join(words(i, 60)) for i in range(20)]
+    sets = [sorted(op4_near_dedup.shingle_set(t) >> np.uint64(16)) for t in texts]
+    rows = [(i, op4_near_dedup.pack(np.array(s, np.uint64), 6)) for i, s in enumerate(sets)]
+    packed = spark.createDataFrame(rows, "node long, s binary")
+    crowd = spark.createDataFrame([(0, 7, i, len(s)) for i, s in enumerate(sets)], "tree int, prefix long, node long, n int")
+    nothing = spark.createDataFrame([], "node long, root long")
+    want = {(i, j) for j, t in enumerate(sets) for i, s in enumerate(sets[:j]) if 100 * len(set(s) & set(t)) >= 75 * len(set(s) | set(t))}
+    assert {(r.a, r.b) for r in op4_near_dedup.against_all(crowd, nothing, packed).collect()} == want and len(want) >= 80
+
+
 def test_representatives_keep_one_of_equal_rows(docs):
     got = op4_near_dedup.representatives(docs)
     assert got.columns == docs.columns and got.where("doc_id = 0").count() == 1

@@ -10,9 +10,13 @@
 3. Candidates are confirmed on the full sets: 100 * intersection >= 75 * union.  First each class is held against the
    partner that most orders propose; pairs that these links already join need no test, all others are tested.
 4. Components come from contraction rounds over tables; nothing is collected on the driver.
+5. Crowded regions, those where more than ``FEW`` classes share a least prefix: one round holds every class against the
+   region's class with the most links, and what is still in different components is cut into blocks and tested pair by
+   pair on the full sets.  Only pairs that are in one component already go untested.
 
-Two classes at a similarity of 0.75 share a prefix of three values in one order with probability 0.42, so all 32 orders
-miss them with probability 3e-8; sharing functions between the orders brings it to about 1e-5.
+So two classes that share a prefix of three values in any order are tested or joined.  At a similarity of 0.75 they do in
+one order with probability 0.42, so all 32 orders miss them with probability 3e-8; sharing functions between the orders
+brings it to about 1e-5.
 
 Defined results: null texts and texts without words have an empty set, are linked with nothing and are kept; texts under
 five words count as one shingle; equal rows are all kept or all dropped (the pipeline keeps one); a null key is never a
@@ -27,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, materialise, mix64, ngram_hashes, table, word_hashes
@@ -38,6 +43,8 @@ FUNCTIONS, ORDERS, DEPTH, LEAST_DEPTH = 64, 32, 8, 3
 #: A region of at most this many classes has all its pairs tested.
 FEW = 4
 ROWS_PER_RANGE = 400_000
+#: Shingles in a block of a crowded region; a class counts as 400 at least, so a block has at most 1000 classes.
+BLOCK_SHINGLES = 400_000
 
 _rng = np.random.default_rng(77001)
 _MUL = _rng.integers(0, 2**63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,12 +133,21 @@ def candidates(tree: np.ndarray, k1: np.ndarray, k2: np.ndarray) -> tuple[np.nda
     return np.concatenate([*pairs, i]), np.concatenate([*others, i + 2])
 
 
-PROPOSED = "a long, b long, tree int, k1 long, k2 long, node long, n int"
+def crowded(tree: np.ndarray, k1: np.ndarray) -> np.ndarray:
+    """Which rows of a sorted range stand in a crowded region or in one that may go on in the ranges beside it."""
+    if not len(tree):
+        return np.zeros(0, bool)
+    prefix = k1.view(np.uint64) >> np.uint64(16 * (4 - LEAST_DEPTH))
+    group = np.concatenate(([0], np.cumsum((tree[1:] != tree[:-1]) | (prefix[1:] != prefix[:-1]))))
+    return (np.bincount(group)[group] > FEW) | (group == 0) | (group == group[-1])
+
+
+PROPOSED = "a long, b long, tree int, k1 long, k2 long, node long, n int, crowd boolean"
 
 
 def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a < b) of a range, and its outermost rows, which may have neighbours in the ranges beside it."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
+    """Candidate pairs (a < b) of a range, its outermost rows, which may have neighbours in the ranges beside it, and the rows of crowded regions."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("crowd", pa.bool_())])
     got = [b for b in batches if b.num_rows]
     if not got:
         return
@@ -146,7 +162,8 @@ def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *none], schema=schema)
     rows = len(node)
     ends = np.unique(np.concatenate([np.arange(min(FEW, rows)), np.arange(max(0, rows - FEW), rows)]))
-    yield pa.RecordBatch.from_arrays([pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int64()), *(pa.array(c[ends], f.type) for c, f in zip(cols, list(schema)[2:], strict=True))], schema=schema)
+    for at, crowd in ((ends, False), (np.flatnonzero(crowded(*cols[:2])), True)):
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), *(pa.array(c[at], f.type) for c, f in zip(cols, list(schema)[2:7], strict=True)), pa.array(np.full(len(at), crowd))], schema=schema)
 
 
 def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +190,83 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(confirm, "a long, b long")
 
 
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set, by products of slabs of their 0/1 matrices."""
+    sets = left + right
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    first = row < len(left)
+    both = np.zeros(len(values), bool)
+    both[at[first]] = True
+    met = np.zeros(len(values), bool)
+    met[at[~first]] = True
+    place = np.cumsum(both & met) - 1
+    keep = (both & met)[at]
+    row, col = row[keep], place[at[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int((both & met).sum()), 4096):
+        a, b = np.searchsorted(col, [lo, lo + 4096])
+        slab = np.zeros((len(sets), 4096), np.float32)
+        slab[row[a:b], col[a:b] - lo] = 1
+        out += slab[: len(left)] @ slab[len(left) :].T
+    return out.astype(np.int64)
+
+
+def join_blocks(rows: pa.Table) -> pa.Table:
+    """Similar pairs of different components in one pair of blocks; side 0 alone is a block met by itself."""
+    node, root, n, side = (rows.column(c).to_numpy() for c in ("node", "root", "n", "side"))
+    sets = [unpack(x, 6) for x in rows.column("s").to_pylist()]
+    i = np.flatnonzero(side == 0)
+    j = np.flatnonzero(side == 1) if (side == 1).any() else i
+    hits = []
+    if len(i) and len(j):
+        both = intersections([sets[x] for x in i], [sets[x] for x in j])
+        n = n.astype(np.int64)
+        near = (100 * both >= PER_CENT * (n[i][:, None] + n[j][None, :] - both)) & (root[i][:, None] != root[j][None, :])
+        x, y = np.nonzero(near)
+        hits = np.unique(np.column_stack([np.minimum(node[i[x]], node[j[y]]), np.maximum(node[i[x]], node[j[y]])]), axis=0)
+    hits = np.asarray(hits, np.int64).reshape(-1, 2)
+    return pa.table({"a": hits[:, 0], "b": hits[:, 1]})
+
+
+def untested(crowd: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (tree, prefix, node, n, root) of the crowded regions that hold more than one component."""
+    rooted = crowd.join(labels, "node", "left").select("tree", "prefix", "node", "n", F.coalesce("root", "node").alias("root"))
+    open_ = rooted.groupBy("tree", "prefix").agg(F.count("*").alias("m"), F.min("root").alias("least"), F.max("root").alias("most")).where((F.col("m") > FEW) & (F.col("least") != F.col("most")))
+    return rooted.join(open_.select("tree", "prefix"), ["tree", "prefix"])
+
+
+def against_hubs(crowd: DataFrame, links: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of every class with its region's class that has the most links, the original of a star of copies."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    rows = materialise(untested(crowd, labels).join(degree, "node", "left"), "op4-crowded")
+    hubs = rows.groupBy("tree", "prefix").agg(F.max_by(F.struct("node", "root", "n"), F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("hub"))
+    fit = 100 * F.least(F.col("n"), F.col("hub.n")) >= PER_CENT * F.greatest(F.col("n"), F.col("hub.n"))
+    pairs = rows.join(hubs, ["tree", "prefix"]).where((F.col("root") != F.col("hub.root")) & fit)
+    pairs = pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    return materialise(confirmed(pairs, sets), "op4-hub-links")
+
+
+def against_all(crowd: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components that are left in crowded regions: each region in blocks, each pair of blocks a task's work."""
+    order = W.partitionBy("tree", "prefix").orderBy("root", "node").rowsBetween(W.unboundedPreceding, 0)
+    block = F.floor((F.sum(F.greatest("n", F.lit(BLOCK_SHINGLES // 1000)).cast("long")).over(order) - 1) / BLOCK_SHINGLES)
+    rows = materialise(untested(crowd, labels).withColumn("block", block), "op4-blocks")
+    blocks = rows.groupBy("tree", "prefix", "block").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    met = x.join(y, (F.col("x.tree") == F.col("y.tree")) & (F.col("x.prefix") == F.col("y.prefix")) & (F.col("x.block") <= F.col("y.block")))
+    # Blocks are cut in the order of the roots, so a large component's blocks hold nothing else and needn't meet.
+    met = met.where(F.greatest("x.most", "y.most") != F.least("x.least", "y.least"))
+    sides = F.when(F.col("x.block") == F.col("y.block"), F.array(F.struct(F.lit(0).alias("side"), F.col("x.block").alias("block")))).otherwise(
+        F.array(F.struct(F.lit(0).alias("side"), F.col("x.block").alias("block")), F.struct(F.lit(1).alias("side"), F.col("y.block").alias("block")))
+    )
+    met = met.select(F.col("x.tree").alias("tree"), F.col("x.prefix").alias("prefix"), F.col("x.block").alias("bi"), F.col("y.block").alias("bj"), F.explode(sides).alias("e")).select("tree", "prefix", "bi", "bj", "e.*")
+    work = met.join(rows, ["tree", "prefix", "block"]).join(sets, "node").select("tree", "prefix", "bi", "bj", "side", "node", "root", "n", "s")
+    return work.groupBy("tree", "prefix", "bi", "bj").applyInArrow(join_blocks, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for each node of the links.
 
@@ -203,13 +297,17 @@ def near_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     dealt = forest.repartitionByRange(ranges, "tree", "k1", "k2").sortWithinPartitions("tree", "k1", "k2")
     proposed = materialise(dealt.mapInArrow(propose, PROPOSED), "op4-proposed")
     # The outermost rows of all ranges, a few for each range, meet in one more pass.
-    seams = proposed.where("tree is not null").select("tree", "k1", "k2", "node", "n").coalesce(1).sortWithinPartitions("tree", "k1", "k2").mapInArrow(propose, PROPOSED)
+    seams = proposed.where("not crowd").select("tree", "k1", "k2", "node", "n").coalesce(1).sortWithinPartitions("tree", "k1", "k2").mapInArrow(propose, PROPOSED)
     both = proposed.where("a is not null").select("a", "b").unionByName(seams.where("a is not null").select("a", "b"))
     pairs = materialise(both.groupBy("a", "b").agg(F.count("*").alias("votes")), "op4-pairs")
 
-    # Shingle sets of the classes that have any partner.  The list of those grows with the input, so the texts are always
+    prefix = F.shiftrightunsigned("k1", 16 * (4 - LEAST_DEPTH)).alias("prefix")
+    crowd = proposed.where("crowd").select("tree", prefix, "node", "n")
+    crowd = materialise(crowd.withColumn("m", F.count("*").over(W.partitionBy("tree", "prefix"))).where(F.col("m") > FEW).drop("m"), "op4-crowd")
+
+    # Shingle sets of the classes that have any partner or stand in a crowded region.  The list of those grows with the input, so the texts are always
     # dealt out by uid and never met by a broadcast of a list that happens to be short.
-    nodes = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct()
+    nodes = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).unionByName(crowd.select(F.col("node").alias("uid"))).distinct()
     sets = materialise(rows.select("uid", "t").join(nodes.hint("merge"), "uid").dropDuplicates(["uid"]).select("uid", "t").mapInArrow(sets_of, "node long, s binary"), "op4-sets")
 
     # Round one: the partner that most orders propose.
@@ -223,9 +321,18 @@ def near_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     label = lambda c: joined.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
     rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
     rest = rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-    links = first.unionByName(confirmed(rest, sets))
+    links = materialise(first.unionByName(confirmed(rest, sets)), "op4-links")
     labels = components(links)
 
+    # Round three: what is in different components of a crowded region, first with its hub, then all of it.
+    hubbed = against_hubs(crowd, links, labels, sets)
+    if not hubbed.isEmpty():
+        links = links.unionByName(hubbed)
+        labels = components(links)
+    found = materialise(against_all(crowd, labels, sets), "op4-block-links")
+    if not found.isEmpty():
+        labels = components(links.unionByName(found))
+
     rooted = classes.select("set_id", "node", "k").join(labels, "node", "left").select("set_id", "k", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("k").alias("component_id"))
     named = rooted.join(smallest, "root").select("set_id", "component_id")
