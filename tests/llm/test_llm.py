@@ -73,6 +73,19 @@ def test_toxicity_learns_and_scores_every_row(spark, docs, labels):
     assert op1_toxicity.reject(docs, model).columns == docs.columns
 
 
+def test_toxic_words_are_learned_from_labels(spark):
+    bad = ["blork", "schnurz", "grøft"]
+    rows = [(i, f"{' '.join(words(i, 20))} {'you ' + bad[i // 4 % 3] if i % 4 == 0 else ''}", int(i % 4 == 0)) for i in range(160)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    y = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    model = op1_toxicity.fit(op1_toxicity.labelled_train(d, y, "toxic"))
+    got = {r.doc_id: r.score for r in op1_toxicity.score(d, model).collect()}
+    assert set(bad) <= model[0].keys() and all((got[i] >= 0.5) == bool(x) for i, _, x in rows)
+    threats = [(f"{' '.join(words(i, 20))}. i will blork you", 1.0) if i % 2 else (" ".join(words(i, 20)), 0.0) for i in range(60)]
+    learned, _ = op1_toxicity.fit(spark.createDataFrame(threats, "text string, label double"))
+    assert "blork" in learned.harm and not op1_toxicity.clause_weights("blork the lights", learned, op1_toxicity.grammar())
+
+
 def test_crf_marginals_match_enumeration():
     rng = np.random.default_rng(0)
     unary, trans = rng.normal(size=(1, 4, 2)), rng.normal(size=(2, 2))

@@ -4,8 +4,9 @@ Five transducers over word classes are composed into one: ``reported`` damps wha
 ``negation`` what follows a negation, ``target`` raises what is aimed at a person, ``threat`` recognises an announced
 harm to a target, and ``insult`` turns what is left into weights.  The composed machine reads a clause (the words between
 marks of punctuation) and returns its weight; a document's features are the sum, the greatest and the rate of its clauses'
-weights.  The weights of insult and threat words and the map from features to a score are learned from labelled rows;
-labels, lang, source and the key are never inputs.
+weights.  Insult and threat words come from a short list and, in whatever language, from labelled rows: words with large
+smoothed log odds of a toxic label.  Their weights and the map from features to a score are learned from labelled rows;
+labels, lang, source and the key are never inputs of a score.
 
 The fit uses a bounded sample: at most ``FIT_ROWS`` labelled rows of either label, drawn by a seeded hash of the key.
 Scoring reads every whole text.  Defined results: null and empty texts score the sigmoid of the bias (no clause has
@@ -16,6 +17,8 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +41,14 @@ REPORT = "said says say called calls quoted quotes reported claims claimed wrote
 
 CLASSES = {w: c for c, ws in (("R", REPORT), ("N", NEGATION), ("T", TARGET), ("F", INTENT), ("H", HARM), ("I", INSULT)) for w in ws.split()}
 DEFAULT_WEIGHT = 2.0
+#: A word is learned where it stands in so many toxic documents at least and its log odds reach LEAST_ODDS.
+LEAST_DOCUMENTS, LEAST_ODDS = 3, 2.0
+#: The map to a score is fitted to features by words that were learned without the document's own part.
+PARTS = 5
 _CLAUSE = re.compile(r"[.,;:!?\n\r|()\[\]\"]+")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _HEAVY = frozenset("IH")
+_FRAME = frozenset("RNTF")
 
 
 class Transducer:
@@ -93,9 +101,20 @@ def grammar() -> Composed:
     return Composed(reported, negation, target, threat, insult)
 
 
+class Lexicon(dict):
+    """Weights of words; ``harm`` holds the learned words that announce harm, all other learned ones are insults."""
+
+    def __init__(self, weights: dict[str, float] | None = None, harm: frozenset[str] = frozenset()):
+        super().__init__(weights or {})
+        self.harm = harm
+
+    def __reduce__(self):
+        return Lexicon, (dict(self), self.harm)
+
+
 def clause_weights(text: str, weights: dict[str, float], machine: Composed) -> list[float]:
     """Weight of each clause that has any; the rest weigh nothing."""
-    out = []
+    out, learned_harm = [], getattr(weights, "harm", frozenset())
     for clause in _CLAUSE.split(text):
         found = _WORD.findall(clause)
         if not any(w in weights for w in found):
@@ -104,7 +123,7 @@ def clause_weights(text: str, weights: dict[str, float], machine: Composed) -> l
         for w in found:
             symbol = CLASSES.get(w, "-")
             if symbol == "-" and w in weights:
-                symbol = "I"
+                symbol = "H" if w in learned_harm else "I"
             state, emitted, factor = machine.step(state, symbol)
             if symbol == "H":
                 harm = weights.get(w, DEFAULT_WEIGHT) * factor
@@ -132,19 +151,45 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[str, float], li
     base = {w: DEFAULT_WEIGHT for w, c in CLASSES.items() if c in _HEAVY}
     if len(set(ys.tolist())) < 2:
         return base, [-4.0, 2.0, 0.5, 0.0]
-    n, df = [float((ys == y).sum()) for y in (0, 1)], {}
-    for t, y in zip(texts, ys, strict=True):
-        for w in set(_WORD.findall(t.lower())) & base.keys():
-            df.setdefault(w, [0, 0])[int(y)] += 1
-    weights = {}
-    for w in base:
-        a, b = df.get(w, (0, 0))
-        odds = math.log((b + 0.5) / (n[1] + 1.0)) - math.log((a + 0.5) / (n[0] + 1.0))
-        seen = (a + b) / (a + b + 2.0)
-        weights[w] = min(6.0, max(0.05, seen * odds + (1 - seen) * DEFAULT_WEIGHT))
+    part = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) % PARTS for t in texts])
+    toxic = Counter(w for t, y in zip(texts, ys, strict=True) if y for w in set(_WORD.findall(t.lower())))
+    known = {w for w, b in toxic.items() if b >= LEAST_DOCUMENTS and CLASSES.get(w) not in _FRAME} | base.keys()
+    found = [known & set(_WORD.findall(t.lower())) for t in texts]
+    struck = [announced(t.lower(), known - base.keys()) if y else set() for t, y in zip(texts, ys, strict=True)]
+
+    def learn(rows: np.ndarray) -> Lexicon:
+        n = [float((ys[rows] == y).sum()) for y in (0, 1)]
+        df = [Counter(w for i in np.flatnonzero(rows & (ys == y)) for w in found[i]) for y in (0, 1)]
+        threats, weights = Counter(w for i in np.flatnonzero(rows) for w in struck[i]), {}
+        for w in sorted(known):
+            a, b = df[0][w], df[1][w]
+            odds = math.log((b + 0.5) / (n[1] + 1.0)) - math.log((a + 0.5) / (n[0] + 1.0))
+            seen = (a + b) / (a + b + 2.0)
+            if w in base:
+                weights[w] = min(6.0, max(0.05, seen * odds + (1 - seen) * DEFAULT_WEIGHT))
+            elif b >= LEAST_DOCUMENTS and odds >= LEAST_ODDS:
+                weights[w] = min(6.0, seen * odds)
+        return Lexicon(weights, frozenset(w for w in weights.keys() - base.keys() if 2 * threats[w] > df[1][w]))
+
     machine = grammar()
-    x = np.array([text_features(t, weights, machine) for t in texts])
-    return weights, logistic(x, ys)
+    x = np.zeros((len(texts), 3))
+    for p in range(PARTS):
+        others = learn(part != p)
+        for i in np.flatnonzero(part == p):
+            x[i] = text_features(texts[i], others, machine)
+    return learn(np.ones(len(texts), bool)), logistic(x, ys)
+
+
+def announced(text: str, words: set[str]) -> set[str]:
+    """Those of ``words`` that stand after a word of intent and before a target in a clause, as a threat does."""
+    out = set()
+    for clause in _CLAUSE.split(text):
+        found = _WORD.findall(clause)
+        kinds = [CLASSES.get(w) for w in found]
+        if "F" in kinds and "T" in kinds[kinds.index("F") :]:
+            last = len(kinds) - 1 - kinds[::-1].index("T")
+            out |= words & set(found[kinds.index("F") + 1 : last])
+    return out
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> list[float]:
