@@ -366,6 +366,17 @@ def test_sharding_laws(spark, docs, empty):
     assert op9_sharding.shard(docs).count() == 16 and op9_sharding.shard(empty).count() == 0
 
 
+def test_a_hot_key_is_spread_over_buckets(spark):
+    rows = [(None if i % 3 else i, "same text" if i % 2 else f"text {i}") for i in range(6000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = op9_sharding.scatter(d, 8, 17, "doc_id", "text", 2000).groupBy("shard", "bucket").agg(F.sum("item.size").alias("n"))
+    assert held.agg(F.max("n")).first()[0] < 2 * 2000
+    got = op9_sharding.shard(d, bucket_bytes=2000).select("row.doc_id", "shard", "slot").collect()
+    assert len(got) == 6000 and len({r.shard for r in got if r.doc_id is None}) == 1
+    for s, n in Counter(r.shard for r in got).items():
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(n))
+
+
 # --- 10 ----------------------------------------------------------------------
 
 

@@ -1,7 +1,8 @@
 """Sharding by a two-pass external shuffle.
 
-Pass one scatters the rows uniformly, by seeded hashes of the key, into shards and inside them into buckets that fit
-in memory; pass two shuffles every bucket with Fisher-Yates (Spark's seeded ``shuffle``) and numbers its rows after
+Pass one scatters the rows, by seeded hashes of the key, into shards and inside them, by seeded hashes of key, text and
+the row's place, into buckets that fit in memory: a shard has as many as its own bytes ask for, so the rows of one hot or
+null key are spread over many; pass two shuffles every bucket with Fisher-Yates (Spark's seeded ``shuffle``) and numbers its rows after
 those of the buckets before it.  A bucket is one task's array, so its slots are drawn together; which permutation is
 drawn also depends on the task, so another run may number the rows otherwise, while shards never change.  The law is ``key``: the key and the number of shards alone decide the shard, by
 highest random weight, so that one more shard takes rows only into itself.
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialise, table
 
 #: Bytes of text that one bucket should hold.
 BUCKET_BYTES = 8 << 20
@@ -29,25 +30,31 @@ def shard_of(key: Column, shards: int, seed: int) -> Column:
     return F.greatest(*weights)["i"] if shards > 1 else F.lit(0)
 
 
-def shard(docs: DataFrame, shards: int = 8, seed: int = 17, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Columns: ``row`` (the whole row as a struct), ``size``, ``shard``, ``grown_shard``, ``slot``."""
+def scatter(docs: DataFrame, shards: int, seed: int, key: str, text: str, bucket_bytes: int) -> DataFrame:
+    """Pass one: ``shard``, ``bucket`` and the row as ``item``."""
     size = (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long")
-    total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
-    buckets = max(1, -(-int(total) // (bucket_bytes * shards)))
     name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    bucket = F.pmod(F.xxhash64(F.lit(seed + 1), name), F.lit(buckets)).cast("int")
-
-    counts = docs.select(shard_of(F.col(key), shards, seed).alias("shard"), bucket.alias("bucket")).groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    own = shard_of(F.col(key), shards, seed)
+    held = {r["shard"]: int(r["n"]) for r in docs.groupBy(own.alias("shard")).agg(F.sum(size).alias("n")).collect()}
+    buckets = F.array(*[F.lit(max(1, -(-held.get(i, 0) // bucket_bytes))) for i in range(shards)])
+    bucket = F.pmod(F.xxhash64(F.lit(seed + 1), name, F.col(text), F.monotonically_increasing_id()), F.get(buckets, own)).cast("int")
 
     # The rows of a bucket are put in a definite order first, so that the order in which they arrive has no part in it.
     order = F.struct(F.xxhash64(F.lit(seed + 2), name, F.col(text)).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), size.alias("size"), shard_of(F.col(key), shards + 1, seed).alias("grown"))
-    packed = docs.select(shard_of(F.col(key), shards, seed).alias("shard"), bucket.alias("bucket"), order.alias("item"))
-    dealt = packed.groupBy("shard", "bucket").agg(F.collect_list("item").alias("items"))
+    return docs.select(own.alias("shard"), bucket.alias("bucket"), order.alias("item"))
+
+
+def shard(docs: DataFrame, shards: int = 8, seed: int = 17, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Columns: ``row`` (the whole row as a struct), ``size``, ``shard``, ``grown_shard``, ``slot``."""
+    dealt = scatter(docs, shards, seed, key, text, bucket_bytes).groupBy("shard", "bucket").agg(F.collect_list("item").alias("items"))
     by_hash = F.array_sort("items", lambda a, b: F.when(a["h"] < b["h"], -1).when(a["h"] > b["h"], 1).otherwise(0))
     mixed = dealt.select("shard", "bucket", F.shuffle(by_hash, F.lit(seed)).alias("items"))
-    rows = mixed.join(offsets, ["shard", "bucket"]).select("shard", "offset", F.posexplode("items").alias("at", "item"))
+    # Written once, so that the counts before a bucket are those of the very buckets that were dealt.
+    rows = materialise(mixed.select("shard", "bucket", F.posexplode("items").alias("at", "item")), "op9-rows")
+    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+    before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    rows = rows.join(F.broadcast(offsets), ["shard", "bucket"])
     return rows.select("item.row", "item.size", "shard", F.col("item.grown").alias("grown_shard"), (F.col("offset") + F.col("at")).alias("slot"))
 
 
