@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 
 def spread(df: DataFrame, keys: list[str], half: int, *values: str) -> DataFrame:
     """Each cell's values sent to every cell whose box holds it: (keys, row, col, values)."""
@@ -50,21 +50,21 @@ def patches(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     new = (F.lag("col").over(w) != F.col("col") - 1) | (F.lag(label).over(w) != F.col(label)) | F.lag("col").over(w).isNull()
     cells = df.withColumn("_run", F.sum(new.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
     runs = cells.groupBy(*keys, "row", "_run", label).agg(F.min("col").alias("lo"), F.max("col").alias("hi"))
-    runs = _write(spark, runs.withColumn("id", F.col("row").cast("long") * (1 << 31) + F.col("lo")))
+    runs = written(runs.withColumn("id", F.col("row").cast("long") * (1 << 31) + F.col("lo")))
     a, b = runs.alias("a"), runs.alias("b")
     # Rows meet the row above only, by an equi-join; columns overlap with one to spare.
     touch = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] + [F.col("a.row") + 1 == F.col("b.row"), F.col(f"a.{label}") == F.col(f"b.{label}"), F.col("a.lo") <= F.col("b.hi") + 1, F.col("b.lo") <= F.col("a.hi") + 1]
     cond = touch[0]
     for t in touch[1:]:
         cond = cond & t
-    edges = _write(spark, a.join(b, cond).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.id").alias("u"), F.col("b.id").alias("v")))
+    edges = written(a.join(b, cond).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.id").alias("u"), F.col("b.id").alias("v")))
     both = edges.unionByName(edges.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
     labels = runs.select(*keys, "id", F.col("id").alias("patch"))
     while True:
         near = both.join(labels.withColumnRenamed("id", "v"), [*keys, "v"]).groupBy(*keys, F.col("u").alias("id")).agg(F.min("patch").alias("_m"))
         step = labels.join(near, [*keys, "id"], "left").select(*keys, "id", F.col("patch").alias("_old"), F.least("patch", F.coalesce("_m", "patch")).alias("patch"))
         root = step.select(*keys, F.col("id").alias("patch"), F.col("patch").alias("_root"))
-        new_labels = _write(spark, step.join(root, [*keys, "patch"], "left").select(*keys, "id", "_old", F.coalesce("_root", "patch").alias("patch")))
+        new_labels = written(step.join(root, [*keys, "patch"], "left").select(*keys, "id", "_old", F.coalesce("_root", "patch").alias("patch")))
         moved = new_labels.where("patch <> _old").isEmpty()
         labels = new_labels.drop("_old")
         if moved:
@@ -75,7 +75,7 @@ def patches(df: DataFrame, keys: list[str], label: str) -> DataFrame:
 
 def sieve(df: DataFrame, keys: list[str], label: str, least: int) -> DataFrame:
     """Patches smaller than ``least`` take the class of the largest patch that they touch, if they touch any."""
-    p = _write(df.sparkSession, patches(df, keys, label))
+    p = written(patches(df, keys, label))
     sizes = p.groupBy(*keys, "patch", label).agg(F.count("*").alias("size"))
     sent = spread(p, keys, 1, "patch").join(p.select(*keys, "row", "col", "patch"), [*keys, "row", "col"]).where("patch <> n_patch").select(*keys, "patch", "n_patch").distinct()
     other = sizes.select(*keys, F.col("patch").alias("n_patch"), F.col(label).alias("_to"), F.col("size").alias("_size"))
@@ -84,19 +84,6 @@ def sieve(df: DataFrame, keys: list[str], label: str, least: int) -> DataFrame:
     return out.withColumn("sieved", F.when(F.col("size").isNotNull(), F.coalesce("_to", label)).otherwise(F.col(label))).drop("size", "_to")
 
 
-def _write(spark, df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder; a local one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = "file://" + tempfile.mkdtemp(prefix="tidegrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/grid-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def grid_chunks(width: int, height: int, size: int, spark) -> DataFrame:
     """Chunks that tile a grid: (row_off, col_off, height, width), the last ones clipped."""
     rows = spark.range(0, height, size).select(F.col("id").cast("int").alias("row_off"))

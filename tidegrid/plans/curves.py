@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_root
 from ..operators import evaluate, grid, smooth, temporal, vectors
 from ..sources.tables import observations, table
 from ..streaming import sessions as streams
@@ -117,27 +118,17 @@ def _events_stream(spark, d):
     return streams.stream_table(spark, f"{d}/events.parquet")
 
 
-def _shared(spark):
-    import tempfile
-
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tidegrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
 @query("""WITH s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS nw FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 t AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts, nw DESC ROWS UNBOUNDED PRECEDING) AS s FROM s), g AS (SELECT user_id, s, count(*) AS n FROM t GROUP BY ALL)
 SELECT user_id, count(*) AS sessions, max(n) AS longest FROM g GROUP BY user_id""")
 def stream_sessions(spark, d):
     """Sessions by a six-hour gap, computed by a stream that reads what is there and stops."""
-    got = streams.drain(streams.session_counts(_events_stream(spark, d), "user_id", "ts", "6 hours", "30 days"), spark, "complete", _shared(spark))
+    got = streams.drain(streams.session_counts(_events_stream(spark, d), "user_id", "ts", "6 hours", "30 days"), spark, "complete", scratch_root(spark))
     return got.groupBy("user_id").agg(F.count("*").alias("sessions"), F.max("n").alias("longest"))
 
 
 @query("SELECT user_id, count(*) AS windows, round(max(best), 4) AS best, sum(n)::BIGINT AS n FROM (SELECT user_id, epoch(ts)::BIGINT // 432000 AS w, max(value) AS best, count(*) AS n FROM events GROUP BY ALL) GROUP BY user_id")
 def stream_windows(spark, d):
     """Greatest value of five-day tumbling windows, computed by a stream."""
-    got = streams.drain(streams.window_best(_events_stream(spark, d), "user_id", "ts", "value", "5 days", "30 days"), spark, "complete", _shared(spark))
+    got = streams.drain(streams.window_best(_events_stream(spark, d), "user_id", "ts", "value", "5 days", "30 days"), spark, "complete", scratch_root(spark))
     return got.groupBy("user_id").agg(F.count("*").alias("windows"), r(F.max("best")).alias("best"), F.sum("n").alias("n"))
