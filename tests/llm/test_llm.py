@@ -231,7 +231,27 @@ def test_blocks_of_a_region_find_every_similar_pair(spark, monkeypatch):
     assert {(r.a, r.b) for r in op4_near_dedup.against_all(crowd, nothing, packed).collect()} == want and len(want) >= 80
 
 
-def test_representatives_keep_one_of_equal_rows(docs):
+def test_classes_of_one_signature_spread_over_ranges(spark, monkeypatch):
+    """Many classes under one node of the forest: ranges cut through their region and no pair is lost."""
+    monkeypatch.setattr(op4_near_dedup, "ROWS_PER_RANGE", 300)
+    base = words(79, 150)
+    texts = [" ".join(base[:i] + [f"v{i}"] + base[i + 1 :]) for i in range(0, 150, 3)] + [" ".join(words(i, 40)) for i in range(30)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = op4_near_dedup.near_duplicates(d)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == Counter(components(list(enumerate(texts))))
+
+
+def test_near_duplicates_of_very_long_texts(spark):
+    long = words(80, 80_000)
+    other = [w if i % 500 else "changed" for i, w in enumerate(long)]
+    d = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(words(81, 80_000)))], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in op4_near_dedup.near_duplicates(d).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_representatives_keep_one_of_equal_rows(spark, docs):
+    wide = spark.createDataFrame([(1, "a b c", 5), (1, "a b c", 6), (2, None, 7)], "doc_id long, text string, _uid long").withColumns({"id": F.lit(0), "tie": F.lit(0), "row": F.lit(0)})
+    kept = op4_near_dedup.representatives(wide)
+    assert kept.columns == wide.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
     got = op4_near_dedup.representatives(docs)
     assert got.columns == docs.columns and got.where("doc_id = 0").count() == 1
 
@@ -242,17 +262,65 @@ def test_representatives_keep_one_of_equal_rows(docs):
 def test_rates_reach_the_targets(spark):
     rows = [(float(10 + i % 7), [0.9, 0.1] if i % 3 else [0.2, 0.8]) for i in range(600)]
     m = spark.createDataFrame(rows, "tokens double, p array<double>")
-    rate, report = op5_mixing.fit_rates(m, ["a", "b"], {"a": 0.5, "b": 0.5}, 1.0, iterations=200)
+    rate, report = op5_mixing.fit_rates(m, ["a", "b"], {"a": 0.5, "b": 0.5}, 1.0)
     got = m.withColumn("r", rate).agg(*[F.sum(F.col("r") * F.col("tokens") * F.get("p", F.lit(k))) for k in (0, 1)]).first()
     assert np.allclose(list(got), report["targets"], rtol=2e-3) and abs(got[0] - got[1]) < 0.01 * got[0]
     assert m.withColumn("r", rate).where("r < 0 or r > 1").count() == 0
 
 
+def bounded_least_squares(a, goal, top, sweeps=20000):
+    """min sum (a r - goal)^2 / (2 goal), 0 <= r <= top, one coordinate after another."""
+    r, left = np.zeros(a.shape[1]), -goal.copy()
+    for s in range(sweeps):
+        i = s % len(r)
+        col = a[:, i]
+        new = min(top, max(0.0, r[i] - (col / goal) @ left / ((col / goal) @ col)))
+        left = left + (new - r[i]) * col
+        r[i] = new
+    return (left**2 / (2 * goal)).sum()
+
+
+def test_rates_are_the_least_squares_optimum(spark):
+    rng = random.Random(4)
+    kinds = [[rng.random() ** 2 for _ in range(3)] for _ in range(6)]
+    kinds = [[round(x / sum(p), 3) for x in p] for p in kinds]
+    rows = [(float(rng.randint(5, 60)), kinds[rng.randrange(6)]) for _ in range(300)]
+    m = spark.createDataFrame(rows, "tokens double, p array<double>")
+    for targets, top in (({"a": 2.0, "b": 1.0, "c": 1.0}, 1.0), ({"a": 1.0, "b": 1.0, "c": 9.0}, 4.0)):
+        rate, report = op5_mixing.fit_rates(m, ["a", "b", "c"], targets, top)
+        goal = np.array(report["targets"])
+        a = np.array([[sum(n for n, p in rows if p == kind) * kind[k] for kind in kinds] for k in range(3)])
+        best = bounded_least_squares(a, goal, top)
+        own = ((np.array(report["totals"]) - goal) ** 2 / (2 * goal)).sum()
+        assert own <= best + 1e-3 * goal.sum()
+        assert np.allclose(goal / goal.sum(), np.array(list(targets.values())) / sum(targets.values()))
+
+
+def test_posteriors_match_a_gaussian_classifier(spark):
+    texts = [" ".join(words(i, 30)) + ("." if i % 2 else " ### | $$ 12 ") * (i % 5 + 1) for i in range(40)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    y = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    members, domains = op5_mixing.classify(d, y, "doc_id", "text", ("quality",))
+    x = {r.doc_id: np.array([v for v in r[1:]]) for r in d.select("doc_id", *[c.alias(n) for n, c in op5_mixing.features(F.col("text")).items()]).collect()}
+    logs = {i: [] for i in x}
+    for k in (0, 1):
+        own = np.array([x[i] for i in range(30) if i % 2 == k])
+        mean, var = own.mean(axis=0), own.var(axis=0) + 0.02
+        for i in x:
+            logs[i].append(math.log(0.5) - ((x[i] - mean) ** 2 / (2 * var)).sum() - 0.5 * np.log(var).sum())
+    for r in members.select("row.doc_id", "p").collect():
+        e = np.exp(np.maximum(np.array(logs[r.doc_id]) - max(logs[r.doc_id]), -50))
+        assert domains == ["0", "1"] and np.allclose(r.p, np.round(e / e.sum(), 3), atol=1.1e-3)
+
+
 def test_mixing_rows_and_columns(docs, empty, labels):
-    assert op5_mixing.mix(docs, labels).count() == 16
-    assert op5_mixing.mixed(docs, labels).columns == docs.columns
+    wide = docs.withColumns({"_copies": F.lit(1), "_uid": F.lit(2), "_n": F.lit(3), "row": F.lit(4), "p": F.lit(5), "draw": F.lit(6)})
+    assert op5_mixing.mix(wide, labels).count() == 16
+    assert op5_mixing.mixed(wide, labels).columns == wide.columns
     assert op5_mixing.mixed(empty, labels).count() == 0
-    assert op5_mixing.mixed(docs, labels.limit(0)).count() == 16
+    assert op5_mixing.mixed(wide, labels.limit(0)).count() == 16
+    taken = Counter(r.doc_id for r in op5_mixing.mixed(wide, labels.limit(0), targets={"all": 1.0}).collect())
+    assert taken == Counter(r.doc_id for r in wide.collect())
 
 
 # --- 6 -----------------------------------------------------------------------
@@ -277,6 +345,22 @@ def test_rule_counts(spark, docs, empty):
     assert op6_quality_rules.judge(op6_quality_rules.measure(empty)).count() == 0
 
 
+def test_sketch_keeps_leading_digits_of_any_value(spark):
+    values = [0, 1, 1023, 1024, 1025, 50_000, 50_049, 123_456_789, 2**61 + 12345]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v long").select(op6_quality_rules._bin(F.col("v"))).collect()]
+    assert got == [v >> max(v.bit_length() - 10, 0) << max(v.bit_length() - 10, 0) for v in values]
+    assert all(v * (1 - 2**-9) <= g <= v for v, g in zip(values, got, strict=True))
+
+
+def test_ratios_far_out_are_judged(spark):
+    """Words of 60 characters are a source's habit and kept there; one of 4000 a word is not."""
+    rows = [(i, " ".join("x" * (50 + (i * 7 + j * 3) % 20) + str(j) for j in range(60)), "zh", "s", 0) for i in range(300)]
+    rows.append((999, " ".join("y" * 4000 + str(j) for j in range(60)), "zh", "s", 0))
+    got = {r.doc_id: r for r in op6_quality_rules.judge(op6_quality_rules.measure(spark.createDataFrame(rows, SCHEMA))).collect()}
+    assert not got[999].kept and all(r.kept for i, r in got.items() if i != 999)
+    assert {r.thresholds_of for r in got.values()} == {"source"}
+
+
 # --- 7 -----------------------------------------------------------------------
 
 
@@ -342,14 +426,50 @@ def test_decontamination_matches_brute_force(spark, docs, empty):
     texts += ["tiny item", "TINY item", None, "", items[2][1]]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    got = {r.doc_id: r._n > 0 for r in op8_decontaminate.contaminated(d, b).collect()}
+    got = {r.doc_id: r.n_items > 0 for r in op8_decontaminate.contaminated(d, b).select("row.doc_id", "n_items").collect()}
     want = {i: any(leaks(t, q) for _, q in items if q) for i, t in enumerate(texts)}
     assert got == want and any(want.values()) and not all(want.values())
-    assert op8_decontaminate.contaminated(docs, b).count() == 16
-    assert op8_decontaminate.contaminated(d, b.limit(0)).where("_n > 0").count() == 0
+    wide = docs.withColumns({c: F.lit(1) for c in ("_items", "_row", "_similarity", "_n", "id", "items", "n_items", "row", "similarity")})
+    kept = op8_decontaminate.contaminated(wide, b).where("n_items = 0").select("row.*")
+    assert kept.count() == 16 and kept.columns == wide.columns
+    assert op8_decontaminate.contaminated(d, b.limit(0)).where("n_items > 0").count() == 0
     assert op8_decontaminate.contaminated(empty, b).count() == 0
 
 
+def test_block_search_finds_every_fingerprint_within_the_radius(spark):
+    """Windows and items by their exact shared shingles: the search over blocks loses none that the radius holds."""
+    base = words(61, 60)
+    texts = [base[: 30 + i % 30] for i in range(60)]
+    for i, w in enumerate(texts):
+        for j in range(i % 6):
+            w[(7 * i + 11 * j) % len(w)] = f"z{i}{j}"
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "item_id long, text string")
+    table = op8_decontaminate.item_table(items, "item_id", "text").select("iid", "m", "s")
+    windows = table.select("m", F.col("iid").alias("w1"), F.lit(0).alias("w2"), "s")
+    prints = {r.iid: (r.m, r.lo, r.hi) for r in op8_decontaminate.fingerprints(table.select("iid", "m", F.explode("s").alias("sh")), ["iid", "m"], "sh").collect()}
+    mask = (1 << 64) - 1
+    apart = lambda x, y: ((x[1] ^ y[1]) & mask).bit_count() + ((x[2] ^ y[2]) & mask).bit_count()
+    want = {(a, b) for a, x in prints.items() for b, y in prints.items() if x[0] == y[0] and apart(x, y) <= op8_decontaminate.RADIUS}
+    got = {(r.w1, r.iid) for r in op8_decontaminate.nearby(windows, table).collect()}
+    assert got == want and len(want) > len(prints)
+
+
+def test_simhash_votes_by_bit(spark):
+    rng = random.Random(8)
+    bag = [rng.getrandbits(63) for _ in range(9)] * 2 + [rng.getrandbits(63)]
+    got = op8_decontaminate.fingerprints(spark.createDataFrame([(1, x) for x in bag], "g int, sh long"), ["g"], "sh").first()
+    assert got.lo & ((1 << 64) - 1) == sum(1 << i for i in range(64) if 2 * sum(x >> i & 1 for x in bag) > len(bag))
+
+
+def test_a_long_text_leaks_one_passage(spark):
+    item = " ".join(words(41, 40))
+    long = " ".join(words(42, 60_000) + item.split() + words(43, 60_000))
+    d = spark.createDataFrame([(1, long), (2, " ".join(words(44, 60_000)))], "doc_id long, text string")
+    b = spark.createDataFrame([(5, item)], "item_id long, text string")
+    got = {r.doc_id: r.n_items for r in op8_decontaminate.contaminated(d, b).select("row.doc_id", "n_items").collect()}
+    assert got == {1: 1, 2: 0}
+
+
 # --- 9 -----------------------------------------------------------------------
 
 
@@ -362,14 +482,17 @@ def test_sharding_laws(spark, docs, empty):
         assert [x for x, _ in own] == list(range(len(own))) and [k for _, k in own] != sorted(k for _, k in own)
     again = op9_sharding.shard(d.repartition(5), bucket_bytes=2000).select("row.doc_id", "shard", "slot").collect()
     assert {(r.doc_id, r.shard) for r in again} == {(r.doc_id, r.shard) for r in got}
+    first = op9_sharding.shard(d, bucket_bytes=2000).select("row.doc_id", "shard", "slot")
+    assert sorted(map(tuple, first.collect())) == sorted((r.doc_id, r.shard, r.slot) for r in got)
     assert op9_sharding.shard(docs).select("row.*").columns == docs.columns
+    assert sorted((r.size, r.text or "") for r in op9_sharding.shard(docs).select("size", "row.text").collect()) == sorted((len((r.text or "").encode()) + 1, r.text or "") for r in docs.collect())
     assert op9_sharding.shard(docs).count() == 16 and op9_sharding.shard(empty).count() == 0
 
 
 def test_a_hot_key_is_spread_over_buckets(spark):
     rows = [(None if i % 3 else i, "same text" if i % 2 else f"text {i}") for i in range(6000)]
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    held = op9_sharding.scatter(d, 8, 17, "doc_id", "text", 2000).groupBy("shard", "bucket").agg(F.sum("item.size").alias("n"))
+    held = op9_sharding.scatter(d, 8, 17, "doc_id", "text", 2000)[0].groupBy("shard", "bucket").agg(F.sum("item.size").alias("n"))
     assert held.agg(F.max("n")).first()[0] < 2 * 2000
     got = op9_sharding.shard(d, bucket_bytes=2000).select("row.doc_id", "shard", "slot").collect()
     assert len(got) == 6000 and len({r.shard for r in got if r.doc_id is None}) == 1

@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.sources.scratch import written
+
 #: Fixed value: the white space that separates words (space, tab to carriage return).
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tidegrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +26,12 @@ def fold(key: Column, parts: int = 5) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % parts, F.lit(0)).cast("int")
 
 
+def row_id(key: Column, text: Column) -> Column:
+    """128 bits that stand for a row's key and text; a null differs from every value."""
+    mark = lambda c: F.when(c.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), c.cast("string")))
+    return F.unhex(F.md5(F.concat(mark(key), F.lit("\x1f"), mark(text)).cast("binary")))
+
+
 def words(text: Column) -> Column:
     """The words of a text, unchanged; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
@@ -54,6 +47,18 @@ def ascii_lower(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
+def pack(a: np.ndarray, width: int) -> bytes:
+    """Little-endian bytes of ``a``, one plane after another: sorted and small values compress well."""
+    return np.ascontiguousarray(a.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unpack(b: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(b, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
 # --- word hashes ------------------------------------------------------------
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -3,13 +3,15 @@
 1. A document's set is its distinct five-word shingles (lower-cased A-Z); documents with equal sets form a class and one
    member stands for it.  ``FUNCTIONS`` MinHash values make a class's signature.
 2. The forest: ``ORDERS`` orders, each a different sequence of ``DEPTH`` signature values.  Each order is sorted as a
-   whole and dealt by range, so a large group of copies is spread like any other rows.  Neighbours in an order that share
-   a prefix of at least ``LEAST_DEPTH`` values are candidates.  The depth adapts to the region: where few classes share
+   whole, with the class's number as the last key, and dealt by range, so that even classes of one signature are spread
+   over ranges.  Neighbours in an order that share a prefix of at least ``LEAST_DEPTH`` values are candidates.  The depth adapts to the region: where few classes share
    the least prefix, all of them are paired; where many do, the region is split at greater depths until few are left, and
    each class is also paired with its longest-common-prefix neighbours.
 3. Candidates are confirmed on the full sets: 100 * intersection >= 75 * union.  First each class is held against the
    partner that most orders propose; pairs that these links already join need no test, all others are tested.
 4. Components come from contraction rounds over tables; nothing is collected on the driver.
+   A region at the edge of a range may go on in the next one: its classes are counted over all ranges, paired if they are
+   few and treated as crowded if not.
 5. Crowded regions, those where more than ``FEW`` classes share a least prefix: one round holds every class against the
    region's class with the most links, and what is still in different components is cut into blocks and tested pair by
    pair on the full sets.  Only pairs that are in one component already go untested.
@@ -19,8 +21,9 @@ one order with probability 0.42, so all 32 orders miss them with probability 3e-
 brings it to about 1e-5.
 
 Defined results: null texts and texts without words have an empty set, are linked with nothing and are kept; texts under
-five words count as one shingle; equal rows are all kept or all dropped (the pipeline keeps one); a null key is never a
-component's smallest; an empty table gives no rows.
+five words count as one shingle; very long texts are shingled whole, their signature in slices; equal rows are all kept or
+all dropped; a null key is never a component's smallest; an empty table gives no rows.  ``representatives`` keeps one
+of rows with equal key and text, by the smallest hash of their other columns; it adds no column, so none can clash.
 """
 
 from __future__ import annotations
@@ -31,11 +34,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise, mix64, ngram_hashes, table, word_hashes
-from .op10_language_model import pack, unpack
+from .common import ascii_lower, materialise, mix64, ngram_hashes, pack, row_id, table, unpack, word_hashes
 
 SHINGLE = 5
 PER_CENT = 75
@@ -69,19 +70,19 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (mix64(least) >> np.uint64(48)).astype("<u2")
 
 
-SIGNED = "uid long, k long, n int, set_id binary, sig binary"
+SIGNED = "id binary, k long, tie long, n int, set_id binary, sig binary"
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("uid", pa.int64()), ("k", pa.int64()), ("n", pa.int32()), ("set_id", pa.binary()), ("sig", pa.binary())])
+    schema = pa.schema([("id", pa.binary()), ("k", pa.int64()), ("tie", pa.int64()), ("n", pa.int32()), ("set_id", pa.binary()), ("sig", pa.binary())])
     for b in batches:
         n, ids, sigs = [], [], []
-        for t in b.column(2):
+        for t in b.column(3):
             s = shingle_set(t.as_py())
             n.append(len(s))
             ids.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
             sigs.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int32()), pa.array(ids, pa.binary()), pa.array(sigs, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(n, pa.int32()), pa.array(ids, pa.binary()), pa.array(sigs, pa.binary())], schema=schema)
 
 
 ORDERED = "tree int, k1 long, k2 long, node long, n int"
@@ -142,28 +143,26 @@ def crowded(tree: np.ndarray, k1: np.ndarray) -> np.ndarray:
     return (np.bincount(group)[group] > FEW) | (group == 0) | (group == group[-1])
 
 
-PROPOSED = "a long, b long, tree int, k1 long, k2 long, node long, n int, crowd boolean"
+PROPOSED = "a long, b long, tree int, prefix long, node long, n int"
 
 
 def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a < b) of a range, its outermost rows, which may have neighbours in the ranges beside it, and the rows of crowded regions."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("crowd", pa.bool_())])
+    """Candidate pairs (a < b) of a range, and the rows of regions that are crowded or reach the range's edges."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("prefix", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
     got = [b for b in batches if b.num_rows]
     if not got:
         return
-    cols = [np.concatenate([b.column(i).to_numpy() for b in got]) for i in range(5)]
-    i, j = candidates(*cols[:3])
-    node, n = cols[3], cols[4].astype(np.int64)
-    fit = 100 * np.minimum(n[i], n[j]) >= PER_CENT * np.maximum(n[i], n[j])
+    tree, k1, k2, node, n = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in range(5))
+    i, j = candidates(tree, k1, k2)
+    fit = 100 * np.minimum(n[i], n[j]).astype(np.int64) >= PER_CENT * np.maximum(n[i], n[j]).astype(np.int64)
     a, b = np.minimum(node[i], node[j])[fit], np.maximum(node[i], node[j])[fit]
     if len(a):
         pairs = np.unique(np.column_stack([a, b]), axis=0)
         none = [pa.nulls(len(pairs), f.type) for f in list(schema)[2:]]
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *none], schema=schema)
-    rows = len(node)
-    ends = np.unique(np.concatenate([np.arange(min(FEW, rows)), np.arange(max(0, rows - FEW), rows)]))
-    for at, crowd in ((ends, False), (np.flatnonzero(crowded(*cols[:2])), True)):
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), *(pa.array(c[at], f.type) for c, f in zip(cols, list(schema)[2:7], strict=True)), pa.array(np.full(len(at), crowd))], schema=schema)
+    at = np.flatnonzero(crowded(tree, k1))
+    prefix = (k1[at].view(np.uint64) >> np.uint64(16 * (4 - LEAST_DEPTH))).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.array(tree[at], pa.int32()), pa.array(prefix), pa.array(node[at]), pa.array(n[at], pa.int32())], schema=schema)
 
 
 def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,11 +248,31 @@ def against_hubs(crowd: DataFrame, links: DataFrame, labels: DataFrame, sets: Da
     return materialise(confirmed(pairs, sets), "op4-hub-links")
 
 
+BLOCKED = "tree int, prefix long, node long, n int, root long, block long"
+
+
+def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows with the number of their block; a block ends with its region or at ``BLOCK_SHINGLES``."""
+    from pyspark import TaskContext
+
+    block, held, last = TaskContext.get().partitionId() << 32, 0, None
+    for b in batches:
+        out = []
+        for region, n in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), b.column(3).to_pylist(), strict=True):
+            weight = max(n, BLOCK_SHINGLES // 1000)
+            if region != last or held + weight > BLOCK_SHINGLES:
+                block, held, last = block + 1, 0, region
+            held += weight
+            out.append(block)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], names=[*b.schema.names, "block"])
+
+
 def against_all(crowd: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between the components that are left in crowded regions: each region in blocks, each pair of blocks a task's work."""
-    order = W.partitionBy("tree", "prefix").orderBy("root", "node").rowsBetween(W.unboundedPreceding, 0)
-    block = F.floor((F.sum(F.greatest("n", F.lit(BLOCK_SHINGLES // 1000)).cast("long")).over(order) - 1) / BLOCK_SHINGLES)
-    rows = materialise(untested(crowd, labels).withColumn("block", block), "op4-blocks")
+    order = ["tree", "prefix", "root", "node"]
+    rows = materialise(untested(crowd, labels), "op4-open")
+    ranges = max(8, -(-rows.count() // ROWS_PER_RANGE))
+    rows = materialise(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("tree", "prefix", "node", "n", "root").mapInArrow(cut_blocks, BLOCKED), "op4-blocks")
     blocks = rows.groupBy("tree", "prefix", "block").agg(F.min("root").alias("least"), F.max("root").alias("most"))
     x, y = blocks.alias("x"), blocks.alias("y")
     met = x.join(y, (F.col("x.tree") == F.col("y.tree")) & (F.col("x.prefix") == F.col("y.prefix")) & (F.col("x.block") <= F.col("y.block")))
@@ -262,9 +281,17 @@ def against_all(crowd: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFra
     sides = F.when(F.col("x.block") == F.col("y.block"), F.array(F.struct(F.lit(0).alias("side"), F.col("x.block").alias("block")))).otherwise(
         F.array(F.struct(F.lit(0).alias("side"), F.col("x.block").alias("block")), F.struct(F.lit(1).alias("side"), F.col("y.block").alias("block")))
     )
-    met = met.select(F.col("x.tree").alias("tree"), F.col("x.prefix").alias("prefix"), F.col("x.block").alias("bi"), F.col("y.block").alias("bj"), F.explode(sides).alias("e")).select("tree", "prefix", "bi", "bj", "e.*")
-    work = met.join(rows, ["tree", "prefix", "block"]).join(sets, "node").select("tree", "prefix", "bi", "bj", "side", "node", "root", "n", "s")
-    return work.groupBy("tree", "prefix", "bi", "bj").applyInArrow(join_blocks, "a long, b long")
+    met = met.select(F.col("x.block").alias("bi"), F.col("y.block").alias("bj"), F.explode(sides).alias("e")).select("bi", "bj", "e.*")
+    work = met.join(rows, "block").join(sets, "node").select("bi", "bj", "side", "node", "root", "n", "s")
+    return work.groupBy("bi", "bj").applyInArrow(join_blocks, "a long, b long")
+
+
+def edge_pairs(edge: DataFrame, counts: DataFrame) -> DataFrame:
+    """All pairs of the regions at edges of ranges that turn out to hold few classes."""
+    few = edge.join(counts.where((F.col("m") > 1) & (F.col("m") <= FEW)).select("tree", "prefix"), ["tree", "prefix"])
+    held = few.groupBy("tree", "prefix").agg(F.sort_array(F.collect_list(F.struct("node", "n"))).alias("c"))
+    pairs = F.flatten(F.transform("c", lambda x, i: F.transform(F.slice("c", i + 2, F.lit(FEW)), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b"), F.least(x["n"], y["n"]).alias("low"), F.greatest(x["n"], y["n"]).alias("high")))))
+    return held.select(F.explode(pairs).alias("p")).where(100 * F.col("p.low") >= PER_CENT * F.col("p.high")).select("p.a", "p.b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -287,28 +314,30 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: uid (hash of key and text), k (key), n_shingles, component_id and kept."""
-    rows = docs.select(F.xxhash64(F.col(key), F.col(text)).alias("uid"), F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+    """Per row: id (see ``row_id``), tie (a hash of the other columns), k (key), n_shingles, component_id and kept."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (key, text)]
+    tie = F.xxhash64(F.struct(*others).cast("string")) if others else F.lit(0).cast("long")
+    rows = docs.select(row_id(F.col(key), F.col(text)).alias("id"), F.col(key).cast("long").alias("k"), tie.alias("tie"), F.col(text).alias("t"))
     signed = materialise(rows.mapInArrow(sign, SIGNED), "op4-signatures")
-    classes = materialise(signed.where("set_id is not null").groupBy("set_id").agg(F.min("uid").alias("node"), F.min("k").alias("k"), F.min("n").alias("n"), F.first("sig").alias("sig")), "op4-classes")
+    # Classes are numbered as they are written, so no two share a number.
+    classes = signed.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("id"), F.min("k").alias("k"), F.min("n").alias("n"), F.first("sig").alias("sig"))
+    classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "op4-classes")
 
     forest = classes.select("node", "n", "sig").mapInArrow(plant, ORDERED)
     ranges = max(8, -(-classes.count() * ORDERS // ROWS_PER_RANGE))
-    dealt = forest.repartitionByRange(ranges, "tree", "k1", "k2").sortWithinPartitions("tree", "k1", "k2")
-    proposed = materialise(dealt.mapInArrow(propose, PROPOSED), "op4-proposed")
-    # The outermost rows of all ranges, a few for each range, meet in one more pass.
-    seams = proposed.where("not crowd").select("tree", "k1", "k2", "node", "n").coalesce(1).sortWithinPartitions("tree", "k1", "k2").mapInArrow(propose, PROPOSED)
-    both = proposed.where("a is not null").select("a", "b").unionByName(seams.where("a is not null").select("a", "b"))
+    order = ["tree", "k1", "k2", "node"]
+    proposed = materialise(forest.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(propose, PROPOSED), "op4-proposed")
+    edge = proposed.where("a is null").select("tree", "prefix", "node", "n")
+    counts = materialise(edge.groupBy("tree", "prefix").agg(F.count("*").alias("m")).where("m > 1"), "op4-regions")
+    both = proposed.where("a is not null").select("a", "b").unionByName(edge_pairs(edge, counts))
     pairs = materialise(both.groupBy("a", "b").agg(F.count("*").alias("votes")), "op4-pairs")
-
-    prefix = F.shiftrightunsigned("k1", 16 * (4 - LEAST_DEPTH)).alias("prefix")
-    crowd = proposed.where("crowd").select("tree", prefix, "node", "n")
-    crowd = materialise(crowd.withColumn("m", F.count("*").over(W.partitionBy("tree", "prefix"))).where(F.col("m") > FEW).drop("m"), "op4-crowd")
+    crowd = materialise(edge.join(counts.where(F.col("m") > FEW).select("tree", "prefix"), ["tree", "prefix"]), "op4-crowd")
 
     # Shingle sets of the classes that have any partner or stand in a crowded region.  The list of those grows with the input, so the texts are always
-    # dealt out by uid and never met by a broadcast of a list that happens to be short.
-    nodes = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).unionByName(crowd.select(F.col("node").alias("uid"))).distinct()
-    sets = materialise(rows.select("uid", "t").join(nodes.hint("merge"), "uid").dropDuplicates(["uid"]).select("uid", "t").mapInArrow(sets_of, "node long, s binary"), "op4-sets")
+    # dealt out by id and never met by a broadcast of a list that happens to be short.
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(crowd.select("node")).distinct()
+    wanted = classes.select("id", "node").join(nodes, "node", "left_semi")
+    sets = materialise(rows.select("id", "t").join(wanted.hint("merge"), "id").dropDuplicates(["id"]).select("node", "t").mapInArrow(sets_of, "node long, s binary"), "op4-sets")
 
     # Round one: the partner that most orders propose.
     ways = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), "votes").unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v"), "votes"))
@@ -336,9 +365,11 @@ def near_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     rooted = classes.select("set_id", "node", "k").join(labels, "node", "left").select("set_id", "k", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("k").alias("component_id"))
     named = rooted.join(smallest, "root").select("set_id", "component_id")
-    out = signed.select("uid", "k", "n", "set_id").join(named, "set_id", "left")
-    component = F.when(F.col("set_id").isNull(), F.col("k")).otherwise(F.col("component_id"))
-    return out.select("uid", "k", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.col("k").eqNullSafe(component).alias("kept"))
+    # Texts without words are their own component; they have no set, so they take no part in the join.
+    own = F.col("n").cast("long").alias("n_shingles")
+    named_rows = signed.where("set_id is not null").join(named, "set_id").select("id", "tie", "k", own, "component_id")
+    alone = signed.where("set_id is null").select("id", "tie", "k", own, F.col("k").alias("component_id"))
+    return named_rows.unionByName(alone).withColumn("kept", F.col("k").eqNullSafe(F.col("component_id")))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -347,9 +378,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component; of equal rows one stays."""
-    kept = near_rows(docs, key, text).where("kept").select(F.col("uid").alias("_uid")).distinct()
-    return docs.withColumn("_uid", F.xxhash64(F.col(key), F.col(text))).join(kept, "_uid").dropDuplicates(["_uid"]).select(*[f"`{c}`" for c in docs.columns])
+    """``docs`` with one row of each component."""
+    kept = near_rows(docs, key, text).where("kept").groupBy("id").agg(F.min("tie").alias("tie"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (key, text)]
+    tie = F.xxhash64(F.struct(*others).cast("string")) if others else F.lit(0).cast("long")
+    rows = docs.select(row_id(F.col(key), F.col(text)).alias("id"), tie.alias("tie"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(kept, ["id", "tie"]).dropDuplicates(["id"]).select("row.*")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

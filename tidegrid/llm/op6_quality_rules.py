@@ -1,14 +1,18 @@
 """Quality rules whose thresholds adapt to language and source, with DataFrame functions only.
 
-Each rule is a ratio in thousandths.  Its distribution within a (language, source) is held in a fixed-grid histogram
-sketch: one count for each grid value, which merges by adding counts, is the same in whatever order it is merged, and
-answers quantiles exactly on the grid.  A source with few documents merges its sketch with that of its language, and a
-language with few with that of the whole table.  The threshold is the far fence, q75 + 3 * (q75 - q25), moved outward by
-a least slack so that a distribution without spread does not reject its own neighbours.  Documents are then joined
-with their thresholds.
+Each rule is a ratio in thousandths.  Its distribution within a (language, source) is held in a log-linear quantile
+sketch: values are kept to ``DIGITS`` binary digits and each kept value has a count.  Sketches merge by adding counts, in
+whatever order with the same outcome; a quantile is at most one part in 2**(DIGITS - 1) too low; and since a value twice
+as large opens only 2**(DIGITS - 1) more bins, a sketch has a bounded size though no value is clipped.  Thresholds belong
+to the group that can bear them: a source with fewer than ``MIN_GROUP`` documents merges its sketch into its language's,
+and a language with fewer into the whole table's; ``thresholds_of`` says which was used.  The threshold is the far
+fence, q75 + 3 * (q75 - q25), moved outward by a least slack so that a distribution without spread does not reject its
+own neighbours.  Documents are then joined with their thresholds.
 
 Defined results: null and empty texts have no words and fail the base rule; a null language or source is a group of its
-own; equal rows are judged alike; an empty table gives no rows.
+own; equal rows are judged alike; very long texts are measured whole; where no document of a group has enough words to
+be sketched, its documents fail the base rule and ``thresholds_of`` is null; an empty table gives no rows; only the
+named columns are read, so further columns cannot clash.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ RULES = {
     "dup_lines": ("n_dup_lines", "n_lines", 500, False),
     "repeats": ("n_repeat_words", "n_words", 400, False),
 }
-#: Grid values end here, so a sketch has a bounded size.
-GRID = 50_000
+#: Leading binary digits of a value that a sketch keeps.
+DIGITS = 10
 
 
 def _repeat_words(h: Column) -> Column:
@@ -51,7 +55,6 @@ def _repeat_words(h: Column) -> Column:
         return F.when(F.size(p) > 1, covered(p)).otherwise(F.size(p) * 3)
 
     found = let(F.sort_array(windows), lambda s: F.sort_array(F.transform(places(s), lambda x: x["i"])))
-    # Most texts repeat no window; the sizes of the distinct and of all windows show that without a sort.
     return F.when(F.size(h) >= 4, let(found, count)).otherwise(0).cast("long")
 
 
@@ -88,13 +91,19 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
 def _ratio(rule: str) -> Column:
     top, bottom, _, _ = RULES[rule]
-    return F.least(F.floor(1000 * F.col(top) / F.greatest(F.col(bottom), F.lit(1))), F.lit(GRID)).cast("long")
+    return F.floor(1000 * F.col(top) / F.greatest(F.col(bottom), F.lit(1))).cast("long")
+
+
+def _bin(value: Column) -> Column:
+    """``value`` with only its ``DIGITS`` leading binary digits."""
+    drop = F.greatest(F.length(F.bin(value)) - DIGITS, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
-    """Per (lang, source, rule): the bounds in thousandths, from sketches that merge by adding."""
+    """Per (lang, source, rule): the bounds in thousandths and whose they are, from sketches that merge by adding."""
     usable = measured.where(F.col("n_words") >= MIN_WORDS)
-    values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _ratio(r).alias("value")) for r in RULES])).alias("x")
+    values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _bin(_ratio(r)).alias("value")) for r in RULES])).alias("x")
     own = usable.select("lang", "source", values).select("lang", "source", "x.*").groupBy("lang", "source", "rule", "value").agg(F.count("*").alias("n"))
     own = materialise(own, "op6-sketches")
     by_lang = own.groupBy("lang", "rule", "value").agg(F.sum("n").alias("n"))
@@ -107,15 +116,16 @@ def thresholds(measured: DataFrame) -> DataFrame:
 
     out = fences(own, ["lang", "source"], "own").alias("o").join(fences(by_lang, ["lang"], "lang").alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.rule") == F.col("l.rule")))
     out = out.select("o.*", "lang_q1", "lang_q3", "lang_n").join(fences(whole, [], "all"), "rule")
-    pick = lambda k: F.when(F.col("own_n") >= MIN_GROUP, F.col(f"own_q{k}")).when(F.col("lang_n") >= MIN_GROUP, F.col(f"lang_q{k}")).otherwise(F.col(f"all_q{k}"))
+    pick = lambda own, lang, whole: F.when(F.col("own_n") >= MIN_GROUP, own).when(F.col("lang_n") >= MIN_GROUP, lang).otherwise(whole)
+    q1, q3 = (pick(F.col(f"own_q{k}"), F.col(f"lang_q{k}"), F.col(f"all_q{k}")) for k in (1, 3))
     slack = F.create_map(*[F.lit(v) for r, x in RULES.items() for v in (r, x[2])])[F.col("rule")]
-    reach = F.greatest(3 * (pick(3) - pick(1)), slack)
-    return out.select("lang", "source", "rule", (pick(1) - reach).alias("low"), (pick(3) + reach).alias("high"))
+    reach = F.greatest(3 * (q3 - q1), slack)
+    return out.select("lang", "source", "rule", (q1 - reach).alias("low"), (q3 + reach).alias("high"), pick(F.lit("source"), F.lit("language"), F.lit("all")).alias("whose"))
 
 
 def judge(measured: DataFrame) -> DataFrame:
-    """``measured`` with ``base_failed`` and ``kept``: every ratio within its group's bounds."""
-    bounds = thresholds(measured).groupBy("lang", "source").pivot("rule", list(RULES)).agg(F.first("low").alias("low"), F.first("high").alias("high"))
+    """``measured`` with ``base_failed``, ``kept`` (every ratio within its group's bounds) and ``thresholds_of``."""
+    bounds = thresholds(measured).groupBy("lang", "source").pivot("rule", list(RULES)).agg(F.first("low").alias("low"), F.first("high").alias("high"), F.first("whose").alias("whose"))
     inside = F.lit(True)
     for r, (_, _, _, both) in RULES.items():
         inside = inside & F.coalesce(_ratio(r) <= F.col(f"{r}_high"), F.lit(True))
@@ -124,18 +134,19 @@ def judge(measured: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     b = bounds.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = measured.join(b, measured["lang"].eqNullSafe(b["_lang"]) & measured["source"].eqNullSafe(b["_source"]), "left")
-    return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & inside).select(*measured.columns, "base_failed", "kept")
+    return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & inside).withColumn("thresholds_of", F.col(f"{next(iter(RULES))}_whose")).select(*measured.columns, "base_failed", "kept", "thresholds_of")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document, whether the base rule fails it and whether it is kept."""
     measured = materialise(measure(table(spark, sf_dir, "documents")), "op6-counts")
-    return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "thresholds_of")
 
 
 def oracle_sql() -> str:
-    ratio = {r: f"least(1000 * {top} // greatest({bottom}, 1), {GRID})" for r, (top, bottom, _, _) in RULES.items()}
-    values = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, {x} AS value FROM counts WHERE n_words >= {MIN_WORDS}" for r, x in ratio.items())
+    ratio = {r: f"1000 * {top} // greatest({bottom}, 1)" for r, (top, bottom, _, _) in RULES.items()}
+    digits = f"((({{x}}) >> greatest(length(bin({{x}})) - {DIGITS}, 0)) << greatest(length(bin({{x}})) - {DIGITS}, 0))"
+    values = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, {digits.format(x=x)} AS value FROM counts WHERE n_words >= {MIN_WORDS}" for r, x in ratio.items())
     pick = lambda k: f"CASE WHEN o.n >= {MIN_GROUP} THEN o.q{k} WHEN l.n >= {MIN_GROUP} THEN l.q{k} ELSE a.q{k} END"
     slack = "CASE o.rule " + " ".join(f"WHEN '{r}' THEN {x[2]}" for r, x in RULES.items()) + " END"
     quartiles = "quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3, count(*) AS n"
@@ -161,9 +172,10 @@ o AS (SELECT lang, source, rule, {quartiles} FROM vals GROUP BY ALL),
 l AS (SELECT lang, rule, {quartiles} FROM vals GROUP BY ALL),
 a AS (SELECT rule, {quartiles} FROM vals GROUP BY ALL),
 picked AS (
-  SELECT o.lang, o.source, o.rule, {pick(1)} AS q1, {pick(3)} AS q3, {slack} AS slack
+  SELECT o.lang, o.source, o.rule, CASE WHEN o.n >= {MIN_GROUP} THEN 'source' WHEN l.n >= {MIN_GROUP} THEN 'language' ELSE 'all' END AS whose, {pick(1)} AS q1, {pick(3)} AS q3, {slack} AS slack
   FROM o JOIN l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rule = l.rule JOIN a ON a.rule = o.rule),
-bounds AS (SELECT lang, source, rule, q1 - greatest(3 * (q3 - q1), slack) AS low, q3 + greatest(3 * (q3 - q1), slack) AS high FROM picked),
+bounds AS (SELECT lang, source, rule, whose, q1 - greatest(3 * (q3 - q1), slack) AS low, q3 + greatest(3 * (q3 - q1), slack) AS high FROM picked),
 flags AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM counts)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND {inside}) AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND {inside}) AS kept,
+  (SELECT any_value(whose) FROM bounds b WHERE b.lang IS NOT DISTINCT FROM c.lang AND b.source IS NOT DISTINCT FROM c.source) AS thresholds_of
 FROM flags c"""

@@ -27,7 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_root, table
+from tidegrid.sources.scratch import scratch_root
+
+from .common import table
 
 SEGMENT_BYTES = 1 << 16
 CHUNK_BYTES = 1 << 12
