@@ -52,25 +52,68 @@ def toks(t):
 # --- 1 and 3 -----------------------------------------------------------------
 
 
+def lexicon(insults="idiot", harm="kill"):
+    return op1_toxicity.Lexicon(dict.fromkeys([*insults.split(), *harm.split()], 2.0), frozenset(harm.split()))
+
+
 def test_grammar_scores_clauses_not_words():
-    m, w = op1_toxicity.grammar(), {"idiot": 2.0, "kill": 2.0}
-    plain = sum(op1_toxicity.clause_weights("you idiot", w, m))
-    assert plain > sum(op1_toxicity.clause_weights("an idiot", w, m)) > sum(op1_toxicity.clause_weights("not an idiot", w, m)) > 0
-    assert sum(op1_toxicity.clause_weights("he said idiot", w, m)) < plain
-    assert op1_toxicity.clause_weights("i will kill you", w, m) and not op1_toxicity.clause_weights("kill the lights", w, m)
+    m, w = op1_toxicity.grammar(), lexicon()
+    weigh = lambda t: sum(op1_toxicity.clause_weights(t, w, m))
+    assert weigh("you idiot") > weigh("an idiot") > weigh("not an idiot") > 0
+    assert weigh("he said idiot") < weigh("you idiot") and weigh("idiot that you are") > weigh("idiot that is")
+    assert weigh("an idiot idiot") > 2 * weigh("an idiot")
+    assert weigh("i will kill you") > weigh("i will not kill you") >= 0 and not weigh("kill the lights")
     assert not op1_toxicity.clause_weights("no harm here. none", w, m)
 
 
-def test_toxicity_learns_and_scores_every_row(spark, docs, labels):
+def test_composition_equals_the_cascade():
+    """The composed machine against one transducer after another over the whole clause."""
+    rng, composed = random.Random(6), op1_toxicity.grammar()
+    vocab = ["idiot", "kill", "you", "will", "not", "said", "tree", "moss"]
+    lex = lexicon("idiot", "kill")
+    for _ in range(400):
+        clause = [rng.choice(vocab) for _ in range(rng.randint(1, 9))]
+        tape, weights = [lex.symbol(w) for w in clause], [1.0] * len(clause)
+        read = list(tape)
+        for t in op1_toxicity.transducers():
+            state, out = t.start, []
+            for i, x in enumerate(tape):
+                state, y, w = t.step(state, x)
+                out.append(y)
+                weights[i] *= w
+            tape = out
+        state, got = composed.start, []
+        for x in read:
+            state, y, w = composed.step(state, x)
+            got.append((y, w))
+        assert [y for y, _ in got] == tape and np.allclose([w for _, w in got], weights)
+        held, total = {"I": 0.0, "H": 0.0}, 0.0
+        for w, x, y, f in zip(clause, read, tape, weights, strict=True):
+            if x in held:
+                held[x] = 2.0 * f
+                total += held[x] if y == x else 0.0
+            elif y in held:
+                total += held[y] * f
+        assert math.isclose(op1_toxicity.clause_weight(clause, lex, composed), total, abs_tol=1e-12)
+
+
+def test_toxicity_learns_and_scores_every_row(spark, docs, labels, empty):
     rows = [(i, f"{' '.join(words(i, 20))} {'you idiot' if i % 4 == 0 else ''}", int(i % 4 == 0)) for i in range(100)]
     d = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
     y = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
     model = op1_toxicity.fit(op1_toxicity.labelled_train(d, y, "toxic"))
     got = {r.doc_id: r.score for r in op1_toxicity.score(d, model).collect()}
     assert all((got[i] >= 0.5) == bool(x) for i, _, x in rows)
-    assert op1_toxicity.score(docs, model).count() == 16
-    assert op1_toxicity.reject(d, model).count() == 75
-    assert op1_toxicity.reject(docs, model).columns == docs.columns
+    lex, beta = model
+    for i, t, _ in rows:
+        x = op1_toxicity.text_features(t, lex, op1_toxicity.grammar())
+        assert math.isclose(got[i], 1 / (1 + math.exp(-(beta[0] + sum(b * v for b, v in zip(beta[1:], x, strict=True))))), rel_tol=1e-9)
+    wide = docs.withColumns({c: F.lit(1) for c in ("score", "clause_weight", "t", "x0")})
+    assert op1_toxicity.score(wide, model).count() == 16 and op1_toxicity.score(empty, model).count() == 0
+    assert op1_toxicity.reject(d, model).count() == 75 and op1_toxicity.reject(empty, model).count() == 0
+    assert op1_toxicity.reject(wide, model).columns == wide.columns
+    nothing, bias = op1_toxicity.fit(op1_toxicity.labelled_train(empty, labels.limit(0), "toxic"))
+    assert not nothing and op1_toxicity.score(docs, (nothing, bias)).where("score >= 0.5").count() == 0
 
 
 def test_toxic_words_are_learned_from_labels(spark):
@@ -86,6 +129,25 @@ def test_toxic_words_are_learned_from_labels(spark):
     assert "blork" in learned.harm and not op1_toxicity.clause_weights("blork the lights", learned, op1_toxicity.grammar())
 
 
+def test_toxic_words_far_into_a_long_text_count(spark):
+    """Learned and found beyond any prefix; conflicting labels of a key count as the least."""
+    long = " ".join(words(3, 30_000))
+    rows = [(i, f"{long} {i}. you blork" if i % 2 else f"{long} {i}", i % 2) for i in range(24)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    y = spark.createDataFrame([(i, x) for i, _, x in rows] + [(1, 0)], "doc_id long, toxic int")
+    model = op1_toxicity.fit(op1_toxicity.labelled_train(d, y, "toxic"))
+    assert "blork" in model[0]
+    got = {r.doc_id: r.clause_weight for r in op1_toxicity.score(d, model).collect()}
+    assert all((got[i] > 0) == bool(x) for i, _, x in rows)
+
+
+def test_held_out_toxicity(spark):
+    d = "/root/testdata/sf0.01"
+    out = op1_toxicity.op1_toxicity(spark, d).join(common.table(spark, d, "labels"), "doc_id").where("held_out").groupBy("toxic").agg(F.avg("predicted").alias("hit")).collect()
+    hit = {r.toxic: r.hit for r in out}
+    assert hit[0] <= 0.02 and hit[1] >= 0.6
+
+
 def test_crf_marginals_match_enumeration():
     rng = np.random.default_rng(0)
     unary, trans = rng.normal(size=(1, 4, 2)), rng.normal(size=(2, 2))
@@ -102,14 +164,86 @@ def test_crf_marginals_match_enumeration():
     assert np.allclose(node[0], want / z) and np.allclose(edges, pairs / z)
 
 
-def test_crf_separates_shapes_of_lines(spark, docs):
+def test_crf_pair_counts_are_weighted_by_chain():
+    rng = np.random.default_rng(1)
+    unary, trans = rng.normal(size=(3, 5, 2)), rng.normal(size=(2, 2))
+    lengths, weight = np.array([5, 2, 1]), np.array([0.5, 2.0, 3.0])
+    _, both = op3_quality_crf.marginals(unary, trans, lengths, weight)
+    alone = sum(w * op3_quality_crf.marginals(unary[i : i + 1, :n], trans, np.array([n]))[1] for i, (n, w) in enumerate(zip(lengths, weight, strict=True)))
+    assert np.allclose(both, alone)
+
+
+def test_crf_separates_shapes_of_lines(spark, docs, empty):
     good = [" ".join(words(i, 30)) + ".\n" + " ".join(words(i + 500, 25)) + "." for i in range(60)]
     bad = [" ".join(w + "%%%" for w in words(i, 40)) for i in range(60)]
-    field = op3_quality_crf.train(good[:40] + bad[:40], np.array([1.0] * 40 + [0.0] * 40), rounds=60)
+    field = op3_quality_crf.train([op3_quality_crf.line_features(t) for t in good[:40] + bad[:40]], np.array([1.0] * 40 + [0.0] * 40), rounds=60)
     s, _ = field.scores(good[40:] + bad[40:])
     assert (s[:20] > 0.5).all() and (s[20:] < 0.3).all()
-    got = op3_quality_crf.score(docs, field)
+    got = op3_quality_crf.score(docs.withColumns({c: F.lit(1) for c in ("score", "good_share", "t")}), field)
     assert got.count() == 16 and got.where("score is null or isnan(score)").count() == 0
+    assert op3_quality_crf.score(empty, field).count() == 0
+
+
+def test_crf_score_is_the_weighted_marginal(spark):
+    """Scores of short texts against the enumeration of all labellings of their lines."""
+    rng = np.random.default_rng(2)
+    field = op3_quality_crf.Field(rng.normal(size=(1 + 3 * op3_quality_crf.WIDTH, 2)), rng.normal(size=(2, 2)), [0.3, 0.7])
+    texts = ["a b c.\nd e!\n\n## x", "one line", "", "p q\np q\nr"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.score, r.good_share) for r in op3_quality_crf.score(d, field).collect()}
+    for i, t in enumerate(texts):
+        x, sizes = op3_quality_crf.line_features(t)
+        unary, n = op3_quality_crf.with_neighbours(x) @ field.w, len(x)
+        z, good = 0.0, np.zeros(n)
+        for code in range(1 << n):
+            y = [(code >> j) & 1 for j in range(n)]
+            p = math.exp(sum(unary[j, y[j]] for j in range(n)) + sum(field.trans[y[j], y[j + 1]] for j in range(n - 1)))
+            z, good = z + p, good + p * np.array(y)
+        share = float((good / z * sizes).sum() / sizes.sum())
+        q = min(max(share, 1e-4), 1 - 1e-4)
+        assert np.allclose(got[i], (1 / (1 + math.exp(-(0.3 + 0.7 * math.log(q / (1 - q))))), share), atol=1e-5)
+
+
+def test_crf_climbs_the_likelihood_of_latent_lines():
+    """The gradient against differences of the likelihood, which is summed over all labellings of the lines."""
+    rng = np.random.default_rng(7)
+    x, n, y = rng.normal(size=(3, 4, 2)), np.array([4, 2, 1]), np.array([0, 1, 1])
+    share = np.array([0.5, 2.0])
+
+    def likelihood(theta):
+        w, trans, total = theta[:4].reshape(2, 2), theta[4:].reshape(2, 2), 0.0
+        for chain, m, label in zip(x, n, y, strict=True):
+            z, seen = 0.0, 0.0
+            for code in range(1 << m):
+                ls = [(code >> j) & 1 for j in range(m)]
+                p = math.exp(sum((chain[j] @ w)[ls[j]] for j in range(m)) + sum(trans[ls[j], ls[j + 1]] for j in range(m - 1)))
+                z += p
+                seen += p * math.prod(1 - op3_quality_crf.FLIP if v == label else op3_quality_crf.FLIP for v in ls)
+            total += share[label] * math.log(seen / z)
+        return total
+
+    theta = rng.normal(size=8)
+    got = op3_quality_crf.gradient(theta[:4].reshape(2, 2), theta[4:].reshape(2, 2), [(x, n, y)], share)
+    step = 1e-5 * np.eye(8)
+    assert np.allclose(got, [(likelihood(theta + e) - likelihood(theta - e)) / 2e-5 for e in step], atol=1e-6)
+
+
+def test_long_chains_are_learned_whole(spark):
+    """A text of many lines whose bad ones come late."""
+    plain = "\n".join(" ".join(words(i, 8)) + "." for i in range(1500))
+    texts = [(plain, 1)] * 4 + [(plain[:3000] + "\n" + "\n".join("%% ## 11 $$" for _ in range(2000)), 0)] * 4
+    made, ys = op3_quality_crf.described(spark.createDataFrame(texts, "text string, label int"))
+    assert sorted(len(x) for x, _ in made)[-1] > 1900
+    field = op3_quality_crf.train(made, ys, rounds=40)
+    s, _ = field.scores([t for t, _ in texts])
+    assert s[:4].min() > 0.5 > s[4:].max()
+
+
+def test_held_out_quality(spark):
+    d = "/root/testdata/sf0.01"
+    out = op3_quality_crf.op3_quality_crf(spark, d).join(common.table(spark, d, "labels"), "doc_id").where("held_out").groupBy("quality").agg(F.avg("predicted").alias("hit")).collect()
+    hit = {r.quality: r.hit for r in out}
+    assert hit[1] >= 0.95 and hit[0] <= 0.25
 
 
 # --- 2 -----------------------------------------------------------------------
@@ -502,11 +636,12 @@ def test_a_hot_key_is_spread_over_buckets(spark):
 
 # --- 10 ----------------------------------------------------------------------
 
+END = "\0end"
+
 
 def test_language_model(spark, docs, empty):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    end = "\0end"
-    tk = [[*(w.decode() for w in (t or "").encode().lower().split()), end] for _, t in rows]
+    tk = [[*(w.decode() for w in (t or "").encode().lower().split()), END] for _, t in rows]
     learn = [k is None or zlib.crc32(str(k).encode()) % 5 != 1 for k, _ in rows]
     count = Counter(w for w, y in zip(tk, learn, strict=True) if y for w in w)
     n, v = sum(count.values()), len(count)
@@ -515,16 +650,108 @@ def test_language_model(spark, docs, empty):
     assert Counter((r.doc_id, r.train, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
     assert op10_language_model.score(empty, F.lit(True)).count() == 0
-
-
-def test_interpolation_weights_sum_to_one_and_probabilities_too():
-    w = op10_language_model.learn_weights([(3 * 130 * 130 + 100 * 130 + 40, 50), (40, 10)], 100)
-    assert np.allclose(w.sum(axis=1), 1) and w[0, 0] == 0
+    assert op10_language_model.score(docs, F.lit(False)).where("train_tokens = 0 and score < 0").count() == 16
+
+
+class Interpolated:
+    """The model by dictionaries: counts of words, pairs and triples, and one token's mixture."""
+
+    def __init__(self, texts, learn):
+        self.tk = [[*(t or "").lower().split(), END] for t in texts]
+        self.w, self.p, self.t, self.c, self.cc = Counter(), Counter(), Counter(), Counter(), Counter()
+        for w in (w for w, y in zip(self.tk, learn, strict=True) if y):
+            for a, b, c in self.grams(w):
+                self.w[c] += 1
+                self.p[b, c] += 1
+                self.t[a, b, c] += 1
+                self.c[b] += 1
+                self.cc[a, b] += 1
+        self.n, self.v = sum(self.w.values()), len(self.w)
+
+    @staticmethod
+    def grams(w):
+        padded = ["\0s", "\0s", *w]
+        return list(zip(padded, padded[1:], w, strict=False))
+
+    def mixture(self, gram, less=0):
+        a, b, c = gram
+        wide, narrow = self.cc[a, b] - less, self.c[b] - less
+        row = op10_language_model.LEVELS + wide.bit_length() if wide > 0 else max(narrow, 0).bit_length()
+        parts = [max(self.t[a, b, c] - less, 0) / max(wide, 1), max(self.p[b, c] - less, 0) / max(narrow, 1), max(self.w[c] - less, 0) / max(self.n - less, 1), 1 / (self.v + 1)]
+        return row, parts
+
+
+def model_rows():
+    rng = random.Random(12)
+    return [(i, " ".join(rng.choice(VOCAB[: 3 + i % 9]) for _ in range(rng.randint(0, 60)))) for i in range(80)] + [(900, None), (901, "A a A unseen")]
+
+
+def test_scores_are_the_interpolated_probabilities(spark):
+    rows = model_rows()
+    learn = [zlib.crc32(str(k).encode()) % 5 != 1 for k, _ in rows]
+    brute = Interpolated([t for _, t in rows], learn)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts = op10_language_model.count(d, common.fold(F.col("doc_id")) != 1)
+    weights = op10_language_model.fit(counts)
+    assert (counts.n, counts.v) == (brute.n, brute.v)
+    got = {r.doc_id: r.score for r in op10_language_model.score(d, common.fold(F.col("doc_id")) != 1).collect()}
+    for (k, _), w in zip(rows, brute.tk, strict=True):
+        mixed = [brute.mixture(g) for g in brute.grams(w)]
+        assert math.isclose(got[k], sum(math.log10(float(np.dot(weights[row], parts))) for row, parts in mixed), rel_tol=1e-9)
+    # Of one context the probabilities of all known words and an unknown one sum to one.
+    for a, b in [("\0s", "\0s"), (VOCAB[0], VOCAB[1]), *list(brute.cc)[:40]]:
+        if b != END and brute.c[b]:
+            row, _ = brute.mixture((a, b, END))
+            total = sum(float(np.dot(weights[row], brute.mixture((a, b, c))[1])) for c in brute.w) + weights[row][3] / (brute.v + 1)
+            assert math.isclose(total, 1.0, rel_tol=1e-9)
+
+
+def test_weights_climb_the_held_out_likelihood(spark):
+    """Learned weights against plain expectation-maximisation on every deleted token, without the grid."""
+    rows = model_rows()
+    brute = Interpolated([t for _, t in rows], [True] * len(rows))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = op10_language_model.fit(op10_language_model.count(d, F.lit(True)))
+    tokens = [brute.mixture(g, 1) for w in brute.tk for g in brute.grams(w)]
+    likelihood = lambda w: sum(math.log(float(np.dot(w[row], parts))) for row, parts in tokens)
+    own = op10_language_model.floor_uniform(op10_language_model.allowed() / op10_language_model.allowed().sum(axis=1, keepdims=True))
+    start = likelihood(own)
+    for _ in range(60):
+        new = np.full(own.shape, 1e-9)
+        for row, parts in tokens:
+            share = own[row] * parts
+            new[row] += share / share.sum()
+        own = op10_language_model.floor_uniform(op10_language_model.allowed() * new / (op10_language_model.allowed() * new).sum(axis=1, keepdims=True))
+    assert start < likelihood(weights) and likelihood(weights) > likelihood(own) - 0.01 * len(tokens)
+
+
+def test_interpolation_weights_sum_to_one():
+    steps = op10_language_model.GRID_STEPS
+    w = op10_language_model.learn_weights([((3 * steps + 20) * steps**2 + 30 * steps + 40, 50), (40, 10)], 100)
+    assert np.allclose(w.sum(axis=1), 1) and not w[0, :2].any() and not w[: op10_language_model.LEVELS, 0].any()
+
+
+def test_chunks_ask_only_where_they_have_keys(spark, monkeypatch):
+    """A request a chunk and bucket with keys, so that requests stay linear in the tokens."""
+    monkeypatch.setattr(op10_language_model, "CHUNK_TOKENS", 3)
+    d = spark.createDataFrame([(i, f"w{i}") for i in range(40)], "doc_id long, text string").coalesce(1)
+    rows = d.select(F.col("doc_id").alias("k"), F.col("text").alias("t"), F.lit(True).alias("learn"))
+    chunks = rows.mapInArrow(op10_language_model.to_chunks, op10_language_model.CHUNK).select("chunk", "train", "lengths", "tokens", "vocab")
+    asked = chunks.mapInArrow(op10_language_model.requests(8), op10_language_model.REQUEST).collect()
+    assert 0 < len(asked) < 20 * 20 and all(r.words or r.pairs or r.triples for r in asked)
+
+
+def test_squeezed_keys_come_back():
+    keys = np.unique(np.random.default_rng(3).integers(0, 2**63, 500, dtype=np.uint64))
+    at = op10_language_model.slices(keys, 3)
+    for a, z in zip(at, at[1:], strict=False):
+        low = (keys[a:z] << np.uint64(3)) >> np.uint64(24)
+        assert (op10_language_model.stretch(op10_language_model.squeeze(keys[a:z], 3, 5), 5) == low).all()
 
 
 def test_packing():
     a = np.array([0, 5, 300, 70000], np.uint64)
-    assert (op10_language_model.unpack(op10_language_model.pack(a, 4), 4) == a).all()
+    assert (common.unpack(common.pack(a, 4), 4) == a).all()
 
 
 # --- shared ------------------------------------------------------------------

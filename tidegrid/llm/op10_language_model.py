@@ -1,50 +1,48 @@
-"""Language-model scoring by deleted interpolation.
+"""Language-model scoring by deleted interpolation of trigrams, bigrams and unigrams.
 
-The probability of a token is a mixture of its bigram and unigram maximum-likelihood estimates and a uniform one.  The
-mixture weights depend on how often the context occurs (buckets of powers of two) and are learned by
-expectation-maximisation on held-out counts: every training token is deleted from the counts once and predicted from
-the rest.
+The probability of a token is a mixture of its trigram, bigram and unigram maximum-likelihood estimates and a uniform
+one.  The mixture weights depend on how often the context occurs: buckets of powers of two of the trigram context's
+count or, where that context was never seen, of the bigram context's.  They are learned by expectation-maximisation on
+held-out counts: every training token is deleted from the counts once and predicted from the rest.
 
 Counting is one exchange of packed blocks instead of a row for each token.  Documents are packed into chunks; a chunk
-sends its distinct words and word pairs with their training counts to hash buckets; a bucket adds the counts of all
-chunks and sends each chunk the totals back in the order it asked.  A frequent word is one entry a chunk, so no bucket
-is hot.  The number of buckets follows the number of tokens, so a bucket's size is bounded.
-
-Words are told apart by 64-bit hashes and pairs by 48 bits beside those of their bucket.  Defined results: null and
-empty texts are one end token; a null key is in fold 0, so it trains; equal rows score alike; an empty table gives no
-rows; without training documents every count is zero.
+sends its distinct words, word pairs and word triples with their training counts to hash buckets; a bucket adds the
+counts of all chunks and sends each chunk the totals back in the order it asked.  A frequent word is one entry a chunk,
+so no bucket is hot.  A chunk sends a bucket nothing if it has no key for it, so there are at most as many requests as
+keys and what travels is linear in the tokens; the number of buckets follows the number of tokens, so a bucket's size is
+bounded.
+
+Words are told apart by 64-bit hashes, pairs and triples by 40 bits beside those of their bucket; totals hold 48 bits.
+Defined results: null and empty texts are one end token; very long texts make a chunk of their own; a null key is in fold
+0, so it trains; equal rows score alike; an empty table gives no rows; without training documents every count is zero;
+only the named columns are read, so further columns cannot clash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BASE, ascii_lower, fold, materialise, mix64, table, word_hashes
-
-CHUNK_TOKENS = 1_000_000
-BUCKET_TOKENS = 2_000_000
-#: Context-frequency buckets: never seen, then powers of two.
-LEVELS = 18
-#: Estimates are put on a grid of a quarter of a power of two before expectation-maximisation.
-GRID, GRID_STEPS = 4, 130
+from .common import _BASE, ascii_lower, fold, materialise, mix64, pack, table, unpack, word_hashes
+
+CHUNK_TOKENS = 500_000
+BUCKET_TOKENS = 1_000_000
+#: Bit lengths that a context's count can have, 0 to 48.
+LEVELS = 49
+#: Before expectation-maximisation, estimates are put on a grid of half powers of two.
+GRID, GRID_STEPS = 2, 98
+ROUNDS, LEAST_UNIFORM = 60, 1e-3
+#: Orders of the mixture's parts: triple, pair, word, uniform.
+PARTS = 4
 END, START = np.uint64(0x5DEECE66D1234567), np.uint64(0xA24BAED4963EE407)
-
-
-def pack(a: np.ndarray, width: int) -> bytes:
-    """Little-endian bytes of ``a``, one plane after another: sorted and small values compress well."""
-    return np.ascontiguousarray(a.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def unpack(b: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(b, np.uint8).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :width] = planes.T
-    return out.view("<u8").ravel()
+#: Bytes of a key beside its bucket's bits, and of a total.
+WORD_BYTES, KEY_BYTES, TOTAL_BYTES = 8, 5, 6
+KINDS = ("words", "pairs", "triples")
 
 
 CHUNK = "chunk long, ids array<long>, train binary, lengths binary, tokens binary, vocab binary, n long, n_train long, docs_train long"
@@ -65,8 +63,8 @@ def to_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     for b in batches:
-        for k, t, learn in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            h = np.append(word_hashes(ascii_lower(t))[0], END)
+        for k, t, learn in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+            h = np.append(word_hashes(ascii_lower(t.as_py()))[0], END)
             ids.append(k)
             train.append(learn)
             hashes.append(h)
@@ -86,21 +84,34 @@ def one_by_one(b: pa.RecordBatch) -> Iterator[dict]:
 
 
 class Chunk:
-    """A chunk's tokens and word pairs, the same each time it is read."""
+    """A chunk's tokens, word pairs and triples, the same each time it is read."""
 
     def __init__(self, train: bytes, lengths: bytes, tokens: bytes, vocab: bytes):
         self.vocab = np.frombuffer(vocab, "<u8")
         self.tokens = unpack(tokens, 4).astype(np.int64)
         self.lengths = unpack(lengths, 4).astype(np.int64)
         self.flags = np.frombuffer(train, np.uint8).astype(bool)
-        self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1])).astype(np.int64)
+        self.starts = starts_of(self.lengths)
         self.learn = np.repeat(self.flags, self.lengths)
 
-    def pairs(self) -> np.ndarray:
+    def keys(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Distinct keys in ascending order and each token's place among them: of words, pairs and triples."""
         own = self.vocab[self.tokens]
-        before = np.concatenate((own[:1], own[:-1]))
-        before[self.starts] = START
-        return mix64(before * _BASE + own)
+        yield self.vocab, self.tokens
+        pairs = mix64(shifted(own, self.starts, START) * _BASE + own)
+        yield np.unique(pairs, return_inverse=True)
+        yield np.unique(mix64(shifted(pairs, self.starts, START) * _BASE + own), return_inverse=True)
+
+
+def starts_of(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+
+
+def shifted(a: np.ndarray, starts: np.ndarray, first) -> np.ndarray:
+    """What precedes each element in its document; ``first`` at the documents' starts."""
+    out = np.concatenate((a[:1], a[:-1]))
+    out[starts] = first
+    return out
 
 
 def slices(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -109,81 +120,98 @@ def slices(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, inner), [len(keys)])).astype(np.int64)
 
 
-def low48(keys: np.ndarray, bits: int) -> np.ndarray:
-    return ((keys << np.uint64(bits)) if bits else keys) >> np.uint64(16)
+def squeeze(keys: np.ndarray, bits: int, width: int) -> bytes:
+    """Sorted keys of one bucket as differences of their ``width`` bytes after the bucket's bits."""
+    rest = ((keys << np.uint64(bits)) if bits else keys) >> np.uint64(64 - 8 * width)
+    return pack(np.diff(rest, prepend=np.uint64(0)), width)
+
+
+def stretch(data: bytes, width: int) -> np.ndarray:
+    return np.cumsum(unpack(data, width), dtype=np.uint64)
+
 
+def width_of(kind: str) -> int:
+    return WORD_BYTES if kind == "words" else KEY_BYTES
 
-REQUEST = "bucket int, chunk long, words binary, word_counts binary, pairs binary, pair_counts binary"
+
+REQUEST = "bucket int, chunk long, " + ", ".join(f"{k} binary, {k}_counts binary" for k in KINDS)
 
 
 def requests(bits: int):
-    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64())] + [(n, pa.binary()) for n in ("words", "word_counts", "pairs", "pair_counts")])
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64())] + [(n, pa.binary()) for k in KINDS for n in (k, f"{k}_counts")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in one_by_one(b):
                 c = Chunk(r["train"], r["lengths"], r["tokens"], r["vocab"])
-                word_counts = np.bincount(c.tokens, weights=c.learn, minlength=len(c.vocab)).astype(np.uint64)
-                pairs, back = np.unique(c.pairs(), return_inverse=True)
-                pair_counts = np.bincount(back, weights=c.learn, minlength=len(pairs)).astype(np.uint64)
-                at, to = slices(c.vocab, bits), slices(pairs, bits)
-                cols = [[], [], [], [], [], []]
-                for i in range(1 << bits):
-                    a, z, p, q = at[i], at[i + 1], to[i], to[i + 1]
-                    for col, v in zip(cols, (i, r["chunk"], pack(c.vocab[a:z], 8), pack(word_counts[a:z], 4), pack(low48(pairs[p:q], bits), 6), pack(pair_counts[p:q], 4)), strict=True):
-                        col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(cols, schema, strict=True)], schema=schema)
+                cols, used = [], np.zeros(1 << bits, bool)
+                for kind, (keys, back) in zip(KINDS, c.keys(), strict=True):
+                    counts = np.bincount(back, weights=c.learn, minlength=len(keys)).astype(np.uint64)
+                    at = slices(keys, bits)
+                    used |= at[1:] > at[:-1]
+                    cols.append([squeeze(keys[a:z], bits, width_of(kind)) for a, z in zip(at, at[1:], strict=False)])
+                    cols.append([pack(counts[a:z], 4) for a, z in zip(at, at[1:], strict=False)])
+                some = np.flatnonzero(used)
+                row = [some, np.full(len(some), r["chunk"]), *([col[i] for i in some] for col in cols)]
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     return run
 
 
-REPLY = "chunk long, bucket int, words binary, pairs binary, v long, n long"
+REPLY = "chunk long, bucket int, " + ", ".join(f"{k} binary" for k in KINDS) + ", v long, n long"
 
 
 def totals(group: pa.Table) -> pa.Table:
     """Counts of a bucket's keys over all chunks, for each chunk in its own order; the row without a chunk has V and N."""
 
-    def add(keys: list[bytes], counts: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
-        own = [unpack(k, width) for k in keys]
-        _, back = np.unique(np.concatenate(own), return_inverse=True)
-        got = np.bincount(back, weights=np.concatenate([unpack(c, 4) for c in counts]).astype(float), minlength=1).astype(np.uint64)
-        return np.split(got[back], np.cumsum([len(x) for x in own])[:-1]), got
+    def add(kind: str) -> tuple[list[bytes], np.ndarray]:
+        own = [stretch(k.as_py(), width_of(kind)) for k in group[kind]]
+        keys, back = np.unique(np.concatenate(own), return_inverse=True)
+        got = np.zeros(len(keys), np.uint64)
+        np.add.at(got, back, np.concatenate([unpack(c.as_py(), 4) for c in group[f"{kind}_counts"]]))
+        return [pack(x, TOTAL_BYTES) for x in np.split(got[back], np.cumsum([len(x) for x in own])[:-1])], got
 
-    words, got = add(group["words"].to_pylist(), group["word_counts"].to_pylist(), 8)
-    pairs, _ = add(group["pairs"].to_pylist(), group["pair_counts"].to_pylist(), 6)
     chunks, bucket = group["chunk"].to_pylist(), group["bucket"][0].as_py()
-    cols = [[*chunks, None], [bucket] * (len(chunks) + 1), [*(pack(w, 4) for w in words), None], [*(pack(p, 4) for p in pairs), None], [*[None] * len(chunks), int((got > 0).sum())], [*[None] * len(chunks), int(got.sum())]]
-    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("pairs", pa.binary()), ("v", pa.int64()), ("n", pa.int64())])
+    sent = {kind: add(kind) for kind in KINDS}
+    got = sent["words"][1]
+    cols = [[*chunks, None], [bucket] * (len(chunks) + 1), *([*sent[k][0], None] for k in KINDS), [*[None] * len(chunks), int((got > 0).sum())], [*[None] * len(chunks), int(got.sum())]]
+    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *((k, pa.binary()) for k in KINDS), ("v", pa.int64()), ("n", pa.int64())])
     return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(cols, schema, strict=True)], schema=schema)
 
 
-COUNTED = "ids array<long>, train binary, lengths binary, own binary, pair binary"
+COUNTED = "ids array<long>, train binary, lengths binary, " + ", ".join(f"{k} binary" for k in KINDS)
 
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each token's count and that of the pair it ends, from the totals sent back."""
-    schema = pa.schema([("ids", pa.list_(pa.int64())), ("train", pa.binary()), ("lengths", pa.binary()), ("own", pa.binary()), ("pair", pa.binary())])
+    """Each token's count and those of the pair and the triple it ends, from the totals sent back."""
+    schema = pa.schema([("ids", pa.list_(pa.int64())), ("train", pa.binary()), ("lengths", pa.binary()), *((k, pa.binary()) for k in KINDS)])
     for b in batches:
         for r in one_by_one(b):
             c = Chunk(r["train"], r["lengths"], r["tokens"], r["vocab"])
             replies = sorted(r["replies"], key=lambda x: x["bucket"])
-            own = np.concatenate([unpack(x["words"], 4) for x in replies])[c.tokens]
-            _, back = np.unique(c.pairs(), return_inverse=True)
-            pair = np.concatenate([unpack(x["pairs"], 4) for x in replies])[back]
-            row = [r["ids"], r["train"], r["lengths"], pack(own, 4), pack(pair, 4)]
+            row = [r["ids"], r["train"], r["lengths"]]
+            for kind, (_, back) in zip(KINDS, c.keys(), strict=True):
+                row.append(pack(np.concatenate([unpack(x[kind], TOTAL_BYTES) for x in replies])[back], TOTAL_BYTES))
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
 
-def level(context: np.ndarray) -> np.ndarray:
-    """Bucket of a context's count."""
-    return np.minimum(np.frexp(np.maximum(context, 0).astype(float))[1], LEVELS - 1)
+class Tokens:
+    """Counts of a chunk's tokens and of their contexts."""
 
+    def __init__(self, r: dict, docs_train: int):
+        self.lengths = unpack(r["lengths"], 4).astype(np.int64)
+        self.starts = starts_of(self.lengths)
+        self.train = np.frombuffer(r["train"], np.uint8).astype(bool)
+        self.own, self.pair, self.triple = (unpack(r[k], TOTAL_BYTES).astype(np.int64) for k in KINDS)
+        # A word or pair is the context of as many tokens as it occurs; the start of a document, of its first token.
+        self.context = shifted(self.own, self.starts, docs_train)
+        self.wide_context = shifted(self.pair, self.starts, docs_train)
 
-def contexts(own: np.ndarray, lengths: np.ndarray, docs_train: int) -> np.ndarray:
-    """Count of each token's context; the start of a document is the context of its first token."""
-    out = np.concatenate((own[:1], own[:-1])).astype(np.int64)
-    out[np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)] = docs_train
-    return out
+
+def bucket_of(wide: np.ndarray, narrow: np.ndarray) -> np.ndarray:
+    """Number of the weights' bucket: the level of the pair before the token, or below LEVELS that of the word before it."""
+    level = lambda x: np.frexp(np.maximum(x, 0).astype(float))[1]
+    return np.where(wide > 0, LEVELS + level(wide), level(narrow))
 
 
 def grid(p: np.ndarray) -> np.ndarray:
@@ -199,38 +227,59 @@ def deleted_cells(n: int, docs_train: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in one_by_one(b):
-                lengths = unpack(r["lengths"], 4).astype(np.int64)
-                own, pair = unpack(r["own"], 4).astype(np.int64), unpack(r["pair"], 4).astype(np.int64)
-                learn = np.repeat(np.frombuffer(r["train"], np.uint8).astype(bool), lengths)
-                ctx = contexts(own, lengths, docs_train)[learn] - 1
-                f2 = np.maximum(pair[learn] - 1, 0) / np.maximum(ctx, 1)
-                f1 = np.maximum(own[learn] - 1, 0) / max(n - 1, 1)
-                cell, count = np.unique((level(ctx) * GRID_STEPS + grid(f2)) * GRID_STEPS + grid(f1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(count, pa.int64())], schema=schema)
+                t = Tokens(r, docs_train)
+                learn = np.repeat(t.train, t.lengths)
+                less = lambda a: a[learn] - 1  # noqa: B023, E731
+                wide, narrow = less(t.wide_context), less(t.context)
+                cell = bucket_of(wide, narrow)
+                for count, of in ((t.triple, wide), (t.pair, narrow), (t.own, np.int64(n - 1))):
+                    cell = cell * GRID_STEPS + grid(np.maximum(less(count), 0) / np.maximum(of, 1))
+                cell, tokens = np.unique(cell, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(tokens, pa.int64())], schema=schema)
 
     return run
 
 
-def learn_weights(cells: list[tuple[int, int]], v: int, rounds: int = 60) -> np.ndarray:
-    """Expectation-maximisation: weights (pair, word, uniform) of each context level.
+def allowed() -> np.ndarray:
+    """Which parts a bucket can use: none of a context that was never seen."""
+    out = np.ones((2 * LEVELS, PARTS), bool)
+    out[:LEVELS, 0] = False
+    out[0, :2] = False
+    return out
 
-    The uniform part keeps at least a thousandth, so that no token has probability zero; contexts never seen have no pair estimate.
+
+def learn_weights(cells: list[tuple[int, int]], v: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Expectation-maximisation: weights (triple, pair, word, uniform) of each bucket.
+
+    The uniform part keeps at least ``LEAST_UNIFORM``, so that no token has probability zero.
     """
-    weights = np.tile([0.4, 0.5, 0.1], (LEVELS, 1))
+    use = allowed()
+    weights = use / use.sum(axis=1, keepdims=True)
     if cells:
         cell, count = (np.array(x, np.int64) for x in zip(*cells, strict=True))
         value = lambda g: np.where(g > 0, 2.0 ** ((g - GRID_STEPS + 1) / GRID), 0.0)
-        at = cell // (GRID_STEPS * GRID_STEPS)
-        parts = np.column_stack([value(cell // GRID_STEPS % GRID_STEPS), value(cell % GRID_STEPS), np.full(len(cell), 1.0 / (v + 1))])
+        at = cell // GRID_STEPS**3
+        parts = np.column_stack([value(cell // GRID_STEPS**2 % GRID_STEPS), value(cell // GRID_STEPS % GRID_STEPS), value(cell % GRID_STEPS), np.full(len(cell), 1.0 / (v + 1))])
         for _ in range(rounds):
             share = weights[at] * parts
             share *= (count / share.sum(axis=1))[:, None]
-            new = np.full((LEVELS, 3), 1e-3)
+            new = 1e-3 * use
             np.add.at(new, at, share)
-            weights = np.maximum(new / new.sum(axis=1, keepdims=True), 1e-3)
-            weights /= weights.sum(axis=1, keepdims=True)
-    weights[0] = [0.0, 1 - weights[0, 2], weights[0, 2]]
-    return weights
+            weights = floor_uniform(new / new.sum(axis=1, keepdims=True))
+    return floor_uniform(weights)
+
+
+def floor_uniform(weights: np.ndarray) -> np.ndarray:
+    """``weights`` with the uniform part raised to its least value at the cost of the others."""
+    last = np.maximum(weights[:, 3:], LEAST_UNIFORM)
+    rest = weights[:, :3]
+    total = rest.sum(axis=1, keepdims=True)
+    return np.hstack([rest * np.where(total > 0, (1 - last) / np.where(total > 0, total, 1), 0), np.where(total > 0, last, 1.0)])
+
+
+def probabilities(t: Tokens, weights: np.ndarray, v: int, n: int) -> np.ndarray:
+    w = weights[bucket_of(t.wide_context, t.context)]
+    return w[:, 0] * t.triple / np.maximum(t.wide_context, 1) + w[:, 1] * t.pair / np.maximum(t.context, 1) + w[:, 2] * t.own / max(n, 1) + w[:, 3] / (v + 1)
 
 
 SCORED = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
@@ -242,40 +291,50 @@ def score_tokens(weights: np.ndarray, v: int, n: int, docs_train: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in one_by_one(b):
-                lengths = unpack(r["lengths"], 4).astype(np.int64)
-                own, pair = unpack(r["own"], 4).astype(np.int64), unpack(r["pair"], 4).astype(np.int64)
-                ctx = contexts(own, lengths, docs_train)
-                w = weights[level(ctx)]
-                p = w[:, 0] * pair / np.maximum(ctx, 1) + w[:, 1] * own / max(n, 1) + w[:, 2] / (v + 1)
-                starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
-                base = np.log10((own + 0.5) / (n + 0.5 * (v + 1)))
-                add = lambda x: np.add.reduceat(x, starts)  # noqa: B023, E731
-                cols = [pa.array(r["ids"], pa.int64()), pa.array(np.frombuffer(r["train"], np.uint8).astype(bool)), pa.array(lengths), pa.array(add((own > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(np.log10(p)))]
+                t = Tokens(r, docs_train)
+                base = np.log10((t.own + 0.5) / (n + 0.5 * (v + 1)))
+                add = lambda x: np.add.reduceat(x, t.starts)  # noqa: B023, E731
+                cols = [pa.array(r["ids"], pa.int64()), pa.array(t.train), pa.array(t.lengths), pa.array(add((t.own > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(np.log10(probabilities(t, weights, v, n))))]
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     return run
 
 
-def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, train, n_tokens, n_known, base_score, score and train_tokens; ``train``: a boolean column over ``docs``."""
+class Counts(NamedTuple):
+    """Every token's counts in packed chunks; V, N and the number of training documents."""
+
+    chunks: DataFrame
+    v: int
+    n: int
+    docs_train: int
+
+
+def count(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> Counts:
+    """``train``: a boolean column over ``docs``."""
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), train.alias("learn"))
     chunks = materialise(rows.mapInArrow(to_chunks, CHUNK), "op10-chunks")
     size = chunks.agg(F.sum("n").alias("n"), F.sum("docs_train").alias("d")).first()
-    docs_train = size["d"] or 0
     bits = max(4, int(np.ceil(np.log2(max(1, (size["n"] or 0) / BUCKET_TOKENS)))))
 
-    asked = chunks.select("chunk", "train", "lengths", "tokens", "vocab").mapInArrow(requests(bits), REQUEST)
-    replies = materialise(asked.groupBy("bucket").applyInArrow(totals, REPLY), "op10-totals")
+    packed = chunks.select("chunk", "train", "lengths", "tokens", "vocab")
+    replies = materialise(packed.mapInArrow(requests(bits), REQUEST).groupBy("bucket").applyInArrow(totals, REPLY), "op10-totals")
     known = replies.where("chunk is null").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
-    v, n = known["v"] or 0, known["n"] or 0
-
-    back = replies.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "words", "pairs")).alias("replies"))
+    back = replies.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", *KINDS)).alias("replies"))
     counts = materialise(chunks.select("chunk", "ids", "train", "lengths", "tokens", "vocab").join(back, "chunk").mapInArrow(counted, COUNTED), "op10-counts")
+    return Counts(counts, known["v"] or 0, known["n"] or 0, size["d"] or 0)
+
 
-    cells = counts.mapInArrow(deleted_cells(n, docs_train), "cell long, tokens long").groupBy("cell").agg(F.sum("tokens").alias("tokens"))
-    weights = learn_weights([(r["cell"], r["tokens"]) for r in cells.collect()], v)
-    out = counts.mapInArrow(score_tokens(weights, v, n, docs_train), SCORED)
-    return out.withColumn("train_tokens", F.lit(n).cast("long")).withColumnRenamed("doc_id", key)
+def fit(counts: Counts) -> np.ndarray:
+    """The mixture weights; what reaches the driver is bounded by the grid."""
+    cells = counts.chunks.mapInArrow(deleted_cells(counts.n, counts.docs_train), "cell long, tokens long").groupBy("cell").agg(F.sum("tokens").alias("tokens"))
+    return learn_weights(sorted((r["cell"], r["tokens"]) for r in cells.collect()), counts.v)
+
+
+def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: key, train, n_tokens, n_known, base_score, score and train_tokens; ``train``: a boolean column over ``docs``."""
+    counts = count(docs, train, key, text)
+    out = counts.chunks.mapInArrow(score_tokens(fit(counts), counts.v, counts.n, counts.docs_train), SCORED)
+    return out.withColumn("train_tokens", F.lit(counts.n).cast("long")).withColumnRenamed("doc_id", key)
 
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,20 @@
 
 Every line is a position of the chain and is labelled good or bad.  A line's features describe its own shape and that of
 the lines before and after it; forward-backward gives each line's marginal, and the marginals weighted by the lines'
-lengths give the document's share of good text, which a logistic curve turns into the score.  Lines take their
-document's label when the field is learned; labels, lang, source and the key are never inputs.
-
-The fit uses a bounded sample: at most ``FIT_ROWS`` labelled rows of either label, drawn by a seeded hash of the key, and
-of each at most its first ``FIT_LINES`` lines.  Scoring reads every line of every whole text.  Defined results: a
-null or empty text is one empty line; equal texts score alike; without labelled rows of both labels every score is 0.5.
+lengths give the document's share of good text, which a logistic curve turns into the score.
+
+Lines have no labels of their own: they are latent, and a document's label tells each line's through a channel that is
+wrong with probability ``FLIP``.  Learning climbs the likelihood of the documents' labels by generalised
+expectation-maximisation: forward-backward on the chain held to the channel gives the expected counts of line labels and
+of neighbouring pairs, forward-backward on the free chain what the field expects, and the weights follow the difference.
+So good documents may hold bad lines and the weights of neighbouring pairs learn how labels change along a text.
+
+The fit uses a bounded sample: at most ``FIT_ROWS`` labelled rows of either label, drawn by a seeded hash of the key.  Their
+lines are described on the executors, all lines of whole texts; to learn, chains over ``SEGMENT`` lines are cut into
+segments, which lose the weight of the pair at a cut and nothing else.  Scoring reads every line of every whole text as
+one chain.  Labels, lang, source and the key are never inputs.  Defined results: a null or empty text is one empty line;
+equal texts score alike; of conflicting labels of one key the least counts; without labelled rows of both labels every
+score is 0.5; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,11 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import _GAP, fold, mix64, ngram_hashes, table, word_hashes
-from .op1_toxicity import collect_sample, labelled_train, logistic
+from .op1_toxicity import labelled_train, logistic
 
-FIT_ROWS = 2000
-FIT_LINES = 200
-ROUNDS = 120
+FIT_ROWS = 1000
+SEGMENT = 128
+FLIP = 0.1
+ROUNDS = 80
 _KINDS = {"symbol": b"#*$%&|<>@^~=+_{}[]\\/", "call": b"!?", "digit": b"0123456789", "upper": bytes(range(65, 91)), "stop": b".,;:", "lower": bytes(range(97, 123))}
 _TABLE = np.zeros((len(_KINDS), 256), np.float32)
 for _i, _cs in enumerate(_KINDS.values()):
@@ -82,8 +91,11 @@ def with_neighbours(x: np.ndarray) -> np.ndarray:
     return np.hstack([np.ones((len(x), 1), x.dtype), x, np.vstack([pad, x[:-1]]), np.vstack([x[1:], pad])])
 
 
-def marginals(unary: np.ndarray, trans: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward of many chains at once; ``unary``: chains x lines x 2, padded.  Node and expected edge marginals."""
+def marginals(unary: np.ndarray, trans: np.ndarray, lengths: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward of many chains at once; ``unary``: chains x lines x 2, padded.
+
+    Node marginals, and the expected number of each pair of neighbouring labels, summed over chains with their weights.
+    """
     n, t, _ = unary.shape
     e = np.exp(trans)
     psi = np.exp(unary - unary.max(axis=2, keepdims=True))
@@ -102,7 +114,8 @@ def marginals(unary: np.ndarray, trans: np.ndarray, lengths: np.ndarray) -> tupl
     if t > 1:
         pair = fwd[:, :-1, :, None] * e * (psi[:, 1:] * bwd[:, 1:])[:, :, None, :]
         pair /= pair.sum(axis=(2, 3), keepdims=True)
-        edges = (pair * (np.arange(1, t)[None, :] < lengths[:, None])[:, :, None, None]).sum(axis=(0, 1))
+        real = (np.arange(1, t)[None, :] < lengths[:, None]) * (1.0 if weight is None else weight[:, None])
+        edges = (pair * real[:, :, None, None]).sum(axis=(0, 1))
     return node, edges
 
 
@@ -148,50 +161,71 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def train(texts: list[str], ys: np.ndarray, rounds: int = ROUNDS) -> Field:
-    """Gradient ascent (Adam) on the field's conditional likelihood, either label weighing the same."""
-    made = [line_features(t) for t in texts]
-    made = [(x[:FIT_LINES], s[:FIT_LINES]) for x, s in made]
-    order = np.argsort([len(x) for x, _ in made], kind="stable")
-    blocks = [order[i : i + 256] for i in range(0, len(order), 256)]
-    data = [(padded([with_neighbours(made[g][0]) for g in b]), np.array([len(made[g][0]) for g in b]), ys[b].astype(int)) for b in blocks]
+def segments(x: np.ndarray) -> list[np.ndarray]:
+    """A chain with its neighbours' features, in pieces of at most ``SEGMENT`` lines."""
+    whole = with_neighbours(x)
+    return [whole[i : i + SEGMENT] for i in range(0, len(whole), SEGMENT)]
+
+
+def gradient(w: np.ndarray, trans: np.ndarray, data: list[tuple[np.ndarray, np.ndarray, np.ndarray]], share: np.ndarray) -> np.ndarray:
+    """Derivative of the weighted log likelihood of the documents' labels by all weights.
+
+    ``data``: blocks of (chains x lines x features, lengths, labels); ``share``: the weight of a line of either label.
+    """
+    channel = np.log(np.array([[1 - FLIP, FLIP], [FLIP, 1 - FLIP]]))
+    gw, gt = np.zeros_like(w), np.zeros_like(trans)
+    for x, n, y in data:
+        unary, weight = x @ w, share[y]
+        real = (np.arange(x.shape[1])[None, :] < n[:, None]) * weight[:, None]
+        held, held_pairs = marginals(unary + channel[y][:, None, :], trans, n, weight)
+        free, free_pairs = marginals(unary, trans, n, weight)
+        gw += x.reshape(-1, x.shape[2]).T @ ((held - free) * real[:, :, None]).reshape(-1, 2)
+        gt += held_pairs - free_pairs
+    return np.concatenate([gw.ravel(), gt.ravel()])
+
+
+def train(made: list[tuple[np.ndarray, np.ndarray]], ys: np.ndarray, rounds: int = ROUNDS) -> Field:
+    """Gradient ascent (Adam) on the likelihood of the documents' labels, either label weighing the same.
+
+    ``made``: features and lengths of each document's lines.
+    """
+    parts = [(p, int(y)) for (x, _), y in zip(made, ys, strict=True) for p in segments(x)]
+    parts.sort(key=lambda p: len(p[0]))
+    blocks = [parts[i : i + 512] for i in range(0, len(parts), 512)]
+    data = [(padded([p for p, _ in b]), np.array([len(p) for p, _ in b]), np.array([y for _, y in b])) for b in blocks]
+    lines = np.array([sum(n[y == label].sum() for _, n, y in data) for label in (0, 1)], float)
+    share = 1.0 / (2 * np.maximum(lines, 1.0))
     k = 1 + 3 * WIDTH
-    w, trans = np.zeros((k, 2)), np.zeros((2, 2))
-    total = {y: max(1.0, float(sum((n * (v == y)).sum() for _, n, v in data))) for y in (0, 1)}
     theta, m, v = np.zeros(2 * k + 4), np.zeros(2 * k + 4), np.zeros(2 * k + 4)
     for r in range(1, rounds + 1):
-        w, trans = theta[: 2 * k].reshape(k, 2), theta[2 * k :].reshape(2, 2)
-        gw, gt = np.zeros_like(w), np.zeros_like(trans)
-        for x, n, y in data:
-            for label in (0, 1):
-                own = y == label
-                if not own.any():
-                    continue
-                xs, ns = x[own], n[own]
-                node, edges = marginals(xs @ w, trans, ns)
-                real = (np.arange(x.shape[1])[None, :] < ns[:, None])[:, :, None]
-                goal = np.zeros((1, 1, 2))
-                goal[..., label] = 1
-                weight = 1.0 / (2 * total[label])
-                gw += weight * np.einsum("dtk,dtl->kl", xs, (goal - node) * real)
-                seen = np.zeros((2, 2))
-                seen[label, label] = (ns - 1).sum()
-                gt += weight * (seen - edges)
-        g = np.concatenate([gw.ravel(), gt.ravel()]) - 1e-4 * theta
+        g = gradient(theta[: 2 * k].reshape(k, 2), theta[2 * k :].reshape(2, 2), data, share) - 1e-4 * theta
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta = theta + 0.1 * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
-    out = Field(theta[: 2 * k].reshape(k, 2), np.clip(theta[2 * k :].reshape(2, 2), -3, 3), [0.0, 1.0])
-    share = out.good_share([x for x, _ in made], [s for _, s in made])
-    out.curve = logistic(logit(share)[:, None], ys)
+    out = Field(theta[: 2 * k].reshape(k, 2), theta[2 * k :].reshape(2, 2), [0.0, 1.0])
+    good = out.good_share([x for x, _ in made], [s for _, s in made])
+    out.curve = logistic(logit(good)[:, None], ys)
     return out
 
 
-def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Field:
+def described(labelled: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Lines' features and lengths of a bounded sample (text, label), made on the executors; in a definite order."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            made = [line_features(t) for t in b["text"]]
+            yield pd.DataFrame({"y": b["label"].to_numpy(), "x": [x.astype("<f4").tobytes() for x, _ in made], "s": [s.astype("<f4").tobytes() for _, s in made]})
+
+    rows = labelled.select("text", F.col("label").cast("int").alias("label")).where("label is not null")
+    got = sorted((r["y"], bytes(r["x"]), bytes(r["s"])) for r in rows.mapInPandas(run, "y int, x binary, s binary").collect())
+    return [(np.frombuffer(x, "<f4").reshape(-1, WIDTH), np.frombuffer(s, "<f4")) for _, x, s in got], np.array([y for y, _, _ in got], float)
+
+
+def fit(labelled: DataFrame) -> Field:
     """The field learned from a bounded sample (text, label)."""
-    texts, ys = collect_sample(labelled, rows)
+    made, ys = described(labelled)
     if len(set(ys.tolist())) < 2:
         return Field(np.zeros((1 + 3 * WIDTH, 2)), np.zeros((2, 2)), [0.0, 0.0])
-    return train(texts, ys)
+    return train(made, ys)
 
 
 def score(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text") -> DataFrame:
