@@ -263,12 +263,23 @@ def removed(texts, window):
 
 @pytest.mark.parametrize("many", [64, 0])
 def test_substring_dedup_is_exact(docs, many):
+    docs = docs.withColumns({c: F.lit(1) for c in ("t", "chk", "place", "owner", "piece", "los", "his")})
     rows = [(r.doc_id, toks(r.text)) for r in docs.collect()]
     want = Counter((i, len(w), len(w) - len(k), b" ".join(k)) for (i, w), k in zip(rows, removed([w for _, w in rows], 35), strict=True))
     got = op2.dedup(docs, many=many, shard_words=200)
     assert Counter((r.doc_id, r.n_words, r.n_removed, bytes(r.kept)) for r in got.collect()) == want
 
 
+def test_substring_dedup_of_very_long_texts(spark):
+    """A passage far inside two long texts, and one owner with more distinct pieces than MANY."""
+    shared, hub = words(71, 50), words(72, 34)
+    texts = [words(73, 60_000) + shared + words(74, 100), words(75, 40) + shared + words(76, 60_000)]
+    texts += [hub + [f"tail{i // 2}"] + words(100 + i, 20) for i in range(200)]
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: bytes(r.kept).decode().split() for r in op2.dedup(d).collect()}
+    assert [got[i] for i in range(len(texts))] == removed(texts, 35)
+
+
 def test_substring_dedup_of_nothing(empty):
     assert op2.dedup(empty).count() == 0
 
@@ -498,17 +509,41 @@ def test_ratios_far_out_are_judged(spark):
 # --- 7 -----------------------------------------------------------------------
 
 
+def split_members(data):
+    """Each gzip member of a file, read alone from its offset."""
+    out = []
+    while data:
+        d = zlib.decompressobj(31)
+        out.append(d.decompress(data))
+        assert d.eof
+        data = d.unused_data
+    return out
+
+
+def test_warc_of_bytes_and_repeated_rows(spark, tmp_path):
+    raw = bytes(range(256)) * 700
+    rows = [(1, "u", bytearray(raw)), (1, "u", bytearray(raw)), (2, "u", bytearray(raw)), (3, "u", None), (None, "u", bytearray(b"\x00"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html binary").repartition(2)
+    op7_warc.write_archives(pages, f"file://{tmp_path}/w")
+    got = op7_warc.read_archives(spark, f"file://{tmp_path}/w").collect()
+    assert Counter((r.page, r.kind, r.refers, r.n) for r in got) == Counter({(1, "response", None, len(raw)): 2, (2, "revisit", 1, len(raw)): 1, (3, "response", None, 0): 1, (None, "response", None, 1): 1})
+    assert all(bytes(r.payload) == raw for r in got if r.page == 1) and len({r.record_id for r in got}) == 5
+
+
 def test_warc_round_trip(spark, tmp_path):
     long = "añb\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" * 9000
     rows = [(3, "u", "same"), (1, None, "same"), (2, "u\r\nx", long), (5, "u", None), (4, "u", ""), (6, "u", "é" * 5000), (None, "u", "lone"), (7, "u", "same")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("n", F.lit(1)).withColumn("sha", F.lit("x"))
-    op7_warc.write_archives(pages, f"file://{tmp_path}/w", segment_bytes=1000)
+    op7_warc.write_archives(pages, f"file://{tmp_path}/w", segment_bytes=1000, records_per_file=50)
     got = {r.page: r for r in op7_warc.read_archives(spark, f"file://{tmp_path}/w").collect()}
+    assert {r.refers_to_record for r in got.values()} - {None} <= {r.record_id for r in got.values() if r.kind == "response"}
+    members = [m for f in tmp_path.glob("w/part-*") for m in split_members(f.read_bytes())]
+    assert len(members) > 300 and all(m.startswith(b"WARC/1.1") and m.count(b"WARC-Record-ID") == 1 for m in members)
     assert len(got) == len(rows)
     first = {1: 1, 3: 1, 7: 1, 4: 4, 5: 4}
     for k, _, h in rows:
         data = (h or "").encode()
-        assert got[k].sha == op7_warc.digest(data)
+        assert (got[k].sha, got[k].n) == (op7_warc.digest(data), len(data))
         if first.get(k, k) == k:
             assert got[k].kind == "response" and bytes(got[k].payload) == data
         else:

@@ -6,18 +6,20 @@ Every word covered by a window of ``WINDOW`` consecutive words that starts anywh
    ones), so equal windows have equal owners.  Consecutive windows with the same owner form a piece: a stretch of words
    whose windows are exactly those the owner owns.  Owners met once in the corpus cannot own a repeated window.
 2. Reference.  The distinct pieces of the owners met again, each with the number of its occurrences, are the reference.
-   It is split by owner into shards of a bounded number of words; an owner with very many distinct pieces is split
-   further, into single windows by window hash, so no shard and no task is hot.
+   It is split by owner into shards of a bounded number of words; the pieces of an owner with more than ``MANY`` distinct
+   ones are cut into single windows, dealt by window hash, so no shard and no task is hot.
 3. Matching.  A shard's suffix automaton carries the number of occurrences of every state.  Streaming a piece through it
    gives matching statistics: for each word, the longest run ending there that occurs twice or more.  Spans that reach
    the threshold are maximal repeated spans.
 4. The spans return to every occurrence of their piece, and the covered words are dropped.
 
 Shards go to the documents' pieces they can match and not to all executors: a corpus-wide automaton has no size bound
-that would allow a broadcast.
+that would allow a broadcast.  Whether words repeat is decided by the automata, which compare the words themselves, on
+both ways of cutting; hashes only bring together what may be equal.  Lists that rows are joined with are written first,
+so that both sides of a join are plain exchanges and Spark splits the rows of a hot owner.
 
-Defined results: null and empty texts have no words; texts under the window length lose nothing; equal rows are
-occurrences of each other; an empty table gives no rows.
+Defined results: null and empty texts have no words; texts under the window length lose nothing; very long texts are cut
+like any other; equal rows are occurrences of each other; an empty table gives no rows; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ RUN = 6
 MANY = 64
 SHARD_WORDS = 50_000
 
+#: A place holds, from the low end, the number of windows, the first word, and 26 bits more of its document's hash.
+COUNT_BITS, CHECK_AT = 6, 37
 OWNED = "owner long, piece long, uid long, place long"
 
 
@@ -84,7 +88,7 @@ def find_owners(window: int):
 
 
 def find_pieces(window: int):
-    """Pieces with the place (start * 64 + number of windows) packed into one number."""
+    """Pieces with their packed places."""
     schema = pa.schema([("owner", pa.int64()), ("piece", pa.int64()), ("uid", pa.int64()), ("place", pa.int64())])
 
     def emit(parts: list) -> pa.RecordBatch:
@@ -94,10 +98,10 @@ def find_pieces(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts, held = [], 0
-            for uid, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for uid, t, chk in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 owner, piece, start, owned = owned_pieces(word_hashes(t.as_py() or b"")[0], window)
                 if len(owner):
-                    parts.append((owner, piece, np.full(len(owner), uid, np.int64), start.astype(np.int64) * 64 + owned))
+                    parts.append((owner, piece, np.full(len(owner), uid, np.int64), (chk << CHECK_AT) + (start.astype(np.int64) << COUNT_BITS) + owned))
                     held += len(owner)
                 if held > 200_000:
                     yield emit(parts)
@@ -122,7 +126,7 @@ def cut_lines(window: int):
                 ws = t.as_py().split()
                 h = None
                 for p in places.as_py():
-                    s, k = divmod(p["place"], 64)
+                    s, k = divmod(p["place"] & ((1 << CHECK_AT) - 1), 1 << COUNT_BITS)
                     if not p["many"]:
                         rows = [(p["owner"], p["piece"], p["owner"], p["piece"], 0, p["n"], b" ".join(ws[s : s + k + window - 1]))]
                     else:
@@ -274,38 +278,43 @@ def drop_spans(with_text: bool):
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, many: int = MANY, shard_words: int = SHARD_WORDS, with_text: bool = True) -> DataFrame:
     """Per row: key, n_words, n_removed and ``kept`` (the kept words joined by a space, or with ``with_text`` off their SHA-256)."""
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(key), F.col(text)).alias("uid"), F.col(text).cast("binary").alias("t"))
+    # Two hashes, of 64 and 26 bits, stand for a row.
+    chk = F.pmod(F.xxhash64(F.lit(7), F.col(key), F.col(text)), F.lit(1 << 26)).alias("chk")
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(key), F.col(text)).alias("uid"), F.col(text).cast("binary").alias("t"), chk)
+    row = ["uid", "chk"]
+    by_row = lambda place: F.shiftright(place, CHECK_AT).alias("chk")
 
     # Owners met twice or more, then their pieces; the many others are never shuffled with their places.
-    met = rows.select("t").mapInArrow(find_owners(window), "owner long").groupBy("owner").agg(F.count("*").alias("met")).where("met > 1").select("owner")
-    pieces = materialise(rows.select("uid", "t").mapInArrow(find_pieces(window), OWNED).join(met, "owner"), "op2-pieces")
+    met = materialise(rows.select("t").mapInArrow(find_owners(window), "owner long").groupBy("owner").agg(F.count("*").alias("met")).where("met > 1").select("owner"), "op2-owners")
+    pieces = materialise(rows.select("uid", "t", "chk").mapInArrow(find_pieces(window), OWNED).join(met, "owner"), "op2-pieces")
 
     # The reference: distinct pieces with their number of occurrences and one place.
     distinct = pieces.groupBy("owner", "piece").agg(F.count("*").alias("n"), F.min(F.struct("uid", "place")).alias("at"))
-    crowded = pieces.select("owner", "piece").distinct().groupBy("owner").agg(F.count("*").alias("pieces")).where(F.col("pieces") > many).select("owner", F.lit(True).alias("many"))
-    reference = materialise(distinct.join(crowded, "owner", "left").select("owner", "piece", "n", "at.uid", "at.place", F.coalesce("many", F.lit(False)).alias("many")), "op2-reference")
+    distinct = materialise(distinct.select("owner", "piece", "n", "at.uid", "at.place"), "op2-distinct")
+    crowded = distinct.groupBy("owner").agg(F.count("*").alias("pieces")).where(F.col("pieces") > many).select("owner", F.lit(True).alias("many"))
+    reference = materialise(distinct.join(materialise(crowded, "op2-crowded"), "owner", "left").withColumn("many", F.coalesce("many", F.lit(False))), "op2-reference")
 
-    # The texts are dealt by uid three times in one plan: Spark shuffles them once and reuses the exchange.
+    # The texts are dealt by row three times in one plan: Spark shuffles them once and reuses the exchange.
     def lines(wanted: DataFrame) -> DataFrame:
-        places = wanted.groupBy("uid").agg(F.collect_list(F.struct("owner", "piece", "n", "place", "many")).alias("places"))
-        return rows.join(places, "uid").select("k", "t", "places").mapInArrow(cut_lines(window), LINES)
+        places = wanted.groupBy("uid", by_row("place")).agg(F.collect_list(F.struct("owner", "piece", "n", "place", "many")).alias("places"))
+        return rows.join(places, row).select("k", "t", "places").mapInArrow(cut_lines(window), LINES)
 
     # A window that many pieces share is one line of the reference.
     whole = lines(reference.where("not many")).select("route", "pid", "n", "words")
     windows = lines(reference.where("many"))
-    shared = windows.groupBy("route", "pid").agg(F.sum("n").alias("n"), F.min("words").alias("words"))
+    shared = windows.groupBy("route", "pid", "words").agg(F.sum("n").alias("n")).select("route", "pid", "n", "words")
     shards = whole.unionByName(shared).repartition("route").sortWithinPartitions("route")
-    spans = shards.mapInArrow(match_shards(window, shard_words), "pid long, route long, los array<int>, his array<int>")
+    spans = materialise(shards.mapInArrow(match_shards(window, shard_words), "pid long, route long, los array<int>, his array<int>"), "op2-spans")
 
     own = reference.where("not many").select(F.col("owner").alias("route"), F.col("piece").alias("pid"), "owner", "piece", F.lit(0).alias("off"))
     shift = lambda c, by: F.transform(c, lambda x: x + by)
     found = own.unionByName(windows.select("route", "pid", "owner", "piece", "off")).join(spans, ["route", "pid"])
     found = found.select("owner", "piece", shift("los", F.col("off")).alias("los"), shift("his", F.col("off")).alias("his"))
-    found = found.groupBy("owner", "piece").agg(F.flatten(F.collect_list("los")).alias("los"), F.flatten(F.collect_list("his")).alias("his"))
-    start = F.floor(F.col("place") / 64).cast("int")
-    placed = pieces.join(found, ["owner", "piece"]).select("uid", shift("los", start).alias("los"), shift("his", start).alias("his"))
-    by_doc = placed.groupBy("uid").agg(F.flatten(F.collect_list("los")).alias("los"), F.flatten(F.collect_list("his")).alias("his"))
-    return rows.join(by_doc, "uid", "left").select("k", "t", "los", "his").mapInArrow(drop_spans(with_text), CLEANED).withColumnRenamed("doc_id", key)
+    found = materialise(found.groupBy("owner", "piece").agg(F.flatten(F.collect_list("los")).alias("los"), F.flatten(F.collect_list("his")).alias("his")), "op2-found")
+    start = F.shiftright(F.col("place").bitwiseAND(F.lit((1 << CHECK_AT) - 1)), COUNT_BITS).cast("int")
+    placed = pieces.join(found, ["owner", "piece"]).select("uid", by_row("place"), shift("los", start).alias("los"), shift("his", start).alias("his"))
+    by_doc = placed.groupBy(*row).agg(F.flatten(F.collect_list("los")).alias("los"), F.flatten(F.collect_list("his")).alias("his"))
+    return rows.join(by_doc, row, "left").select("k", "t", "los", "his").mapInArrow(drop_spans(with_text), CLEANED).withColumnRenamed("doc_id", key)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,21 @@
 
 Writing: each row becomes a response whose block is an HTTP message with a chunked body; a block over ``SEGMENT_BYTES``
 is cut into a first record and ``continuation`` records that name their origin.  Of rows with equal payloads, the one
-with the smallest id is the response and the others are ``revisit`` records without a body.  Archives are written by
-Spark's text writer, so executors need no shared local folder and a lost task is written again.
+with the smallest id is the response and the others are ``revisit`` records without a body, which name the response's
+record and state the payload's length in their HTTP header.  Every record is a gzip member of its own, so it can be read
+alone from its offset.  Archives are written by Spark's text writer, so executors need no shared local folder and a lost
+task is written again: a member's last byte, the high byte of its length, is always zero and is left to the writer's line
+separator.  A file holds at most ``RECORDS_PER_FILE`` records and so stays far below what one row can hold when read.
 
 Reading: records are split by their Content-Length, never by searching for the next header; continuation records are
 grouped by origin, ordered by segment number and held against the total length that the last one states; then the
 chunked framing is decoded and the payload's digest compared with the header's.
 
-Defined results: null html is an empty payload; rows that share the smallest id and the payload are all responses; a
-null id is kept, and is a response only if no row with an id has its payload; equal rows get records of their own; a
-segment that is missing, doubled or short raises ``ValueError``; an empty table gives an empty archive and no rows.
+Defined results: null html is an empty payload; payloads may be text or any bytes; very long ones are cut into as many
+segments as they need; a null id is kept, and is a response only if no row with an id has its payload; rows that share
+the smallest id and the payload are all responses, and revisits of theirs name the record of that id and payload without
+the suffix that tells such copies apart; equal rows get records of their own; a segment that is missing, doubled or short
+raises ``ValueError``; an empty table gives an empty archive and no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -20,20 +25,20 @@ import base64
 import gzip
 import hashlib
 import io
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.sources.scratch import scratch_root
+from tidegrid.sources.scratch import scratch_path
 
 from .common import table
 
 SEGMENT_BYTES = 1 << 16
 CHUNK_BYTES = 1 << 12
-_EOL = "\r\n"
+RECORDS_PER_FILE = 4000
+_EOL = b"\r\n"
 
 
 def digest(payload: bytes) -> str:
@@ -41,21 +46,13 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def cut_utf8(data: bytes, limit: int) -> list[bytes]:
-    """Pieces of at most ``limit`` bytes that end between characters."""
-    out, at = [], 0
-    while at < len(data):
-        end = min(len(data), at + limit)
-        while end < len(data) and data[end] & 0xC0 == 0x80:
-            end -= 1
-        out.append(data[at:end])
-        at = end
-    return out
+def cut(data: bytes, limit: int) -> list[bytes]:
+    return [data[at : at + limit] for at in range(0, len(data), limit)]
 
 
 def chunked(payload: bytes, limit: int = CHUNK_BYTES) -> bytes:
     """HTTP/1.1 chunked transfer framing."""
-    return b"".join(b"%x\r\n%s\r\n" % (len(p), p) for p in cut_utf8(payload, limit)) + b"0\r\n\r\n"
+    return b"".join(b"%x\r\n%s\r\n" % (len(p), p) for p in cut(payload, limit)) + b"0\r\n\r\n"
 
 
 def unchunked(body: bytes) -> bytes:
@@ -74,22 +71,27 @@ def unchunked(body: bytes) -> bytes:
         at += size + 2
 
 
-def record(kind: str, rid: str, headers: list[tuple[str, str]], block: bytes) -> str:
-    """One record without its last line end, which the writer's line separator adds."""
+def record(kind: str, rid: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
+    """One record as a gzip member."""
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{rid}>", "WARC-Date: 1970-01-01T00:00:00Z"]
     lines += [f"{k}: {v}" for k, v in headers] + [f"Content-Length: {len(block)}"]
-    return _EOL.join(lines) + _EOL * 2 + block.decode() + _EOL
+    return gzip.compress(_EOL.join(x.encode() for x in lines) + 2 * _EOL + block + 2 * _EOL, 6, mtime=0)
+
 
+def record_id(page: str, sha: str, copy: str = "") -> str:
+    return f"urn:page:{page}:{sha}" + (f":{copy}" if copy else "")
 
-def page_records(page: str, serial: str, url: str | None, payload: bytes, refers: str | None, segment_bytes: int = SEGMENT_BYTES) -> list[str]:
-    """All records of a row; ``refers``: the page that a revisit refers to."""
-    rid, sha = f"urn:page:{page}:{serial}", digest(payload)
+
+def page_records(page: str, copy: str, url: str | None, payload: bytes, refers: str | None, segment_bytes: int = SEGMENT_BYTES) -> list[bytes]:
+    """All records of a row; ``copy`` tells equal rows apart, ``refers``: the page that a revisit refers to."""
+    sha = digest(payload)
+    rid = record_id(page, sha, copy)
     uri = "".join(c for c in (url or "about:blank") if c not in "\r\n")
     head = [("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{sha}"), ("Content-Type", "application/http; msgtype=response")]
     if refers is not None:
-        return [record("revisit", rid, [*head, ("WARC-Refers-To", f"<urn:page:{refers}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")], b"HTTP/1.1 200 OK\r\n\r\n")]
+        return [record("revisit", rid, [*head, ("WARC-Refers-To", f"<{record_id(refers, sha)}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")], b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(payload))]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
-    parts = cut_utf8(block, segment_bytes)
+    parts = cut(block, segment_bytes)
     if len(parts) == 1:
         return [record("response", rid, head, block)]
     out = [record("response", rid, [*head, ("WARC-Segment-Number", "1")], parts[0])]
@@ -119,14 +121,17 @@ def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", html: str = "html", url: str = "url", segment_bytes: int = SEGMENT_BYTES) -> None:
-    """Write ``pages`` as gzipped WARC files under ``path``."""
-    payload = F.coalesce(F.col(html), F.lit(""))
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", html: str = "html", url: str = "url", segment_bytes: int = SEGMENT_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
+    """Write ``pages`` as WARC files of gzip members under ``path``."""
+    payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(key).cast("long").alias("page"), F.col(url).alias("url"), payload.alias("html"))
-    rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary"))).withColumn("n", F.octet_length("html"))
+    rows = rows.withColumn("sha", F.sha1(F.col("html"))).withColumn("n", F.octet_length("html"))
     # Payloads that occur once need no join partner, so only repeated ones travel.
-    firsts = rows.groupBy("sha", "n").agg(F.min("page").alias("first"), F.count("*").alias("copies")).where(F.col("copies") > 1).select("sha", "n", "first")
-    typed = rows.join(firsts, ["sha", "n"], "left").select("page", "url", "html", F.when(~F.col("page").eqNullSafe(F.col("first")), F.col("first")).alias("refers"))
+    pages_of = rows.groupBy("sha", "n", "page").agg(F.count("*").alias("copies"))
+    firsts = pages_of.groupBy("sha", "n").agg(F.min("page").alias("first"), F.sum("copies").alias("copies"), F.max("copies").alias("most")).where(F.col("copies") > 1)
+    firsts = firsts.select("sha", "n", "first", (F.col("most") > 1).alias("repeated"))
+    refers = F.when(~F.col("page").eqNullSafe(F.col("first")), F.col("first")).alias("refers")
+    typed = rows.join(firsts, ["sha", "n"], "left").select("page", "url", "html", refers, F.coalesce("repeated", F.lit(False)).alias("repeated"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -134,23 +139,31 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", html: str
         task, serial = TaskContext.get().partitionId(), 0
         for b in batches:
             out = []
-            for page, u, h, ref in zip(b["page"], b["url"], b["html"], b["refers"], strict=True):
+            for page, u, h, ref, repeated in zip(b["page"], b["url"], b["html"], b["refers"], b["repeated"], strict=True):
                 serial += 1
-                out += page_records("null" if pd.isna(page) else str(int(page)), f"{task}-{serial}", u, h.encode(), None if pd.isna(ref) else str(int(ref)), segment_bytes)
+                got = page_records("null" if pd.isna(page) else str(int(page)), f"{task}-{serial}" if repeated else "", u, bytes(h), None if pd.isna(ref) else str(int(ref)), segment_bytes)
+                if any(r[-1] for r in got):
+                    raise ValueError("a record of 16 MB or more; take smaller segments")
+                out += [r[:-1] for r in got]
                 if len(out) >= 500:
                     yield pd.DataFrame({"value": out})
                     out = []
             yield pd.DataFrame({"value": out}, dtype=object)
 
-    typed.mapInPandas(run, "value string").write.option("lineSep", _EOL).option("compression", "gzip").text(path)
+    # Bytes pass the text writer as they are; its separator is the zero byte that ends every member.
+    members = typed.mapInPandas(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    members.write.option("lineSep", "\x00").option("maxRecordsPerFile", str(records_per_file)).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(page, kind, sha, refers, payload) of each reassembled record; ``payload`` is null for revisits."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    """(page, kind, sha, refers, n, payload) of each reassembled record.
+
+    ``n``: bytes of the full payload; ``payload`` is null for revisits, whose length their HTTP header states.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    cols = ["origin", "number", "total", "kind", "sha", "refers", "block"]
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["origin", "number", "total", "kind", "sha", "refers", "block"]
         for b in batches:
             for content in b["content"]:
                 out = []
@@ -174,31 +187,31 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            payloads = []
+            payloads, sizes = [], []
             for origin, kind, sha, blocks, total, whole in zip(b["origin"], b["kind"], b["sha"], b["blocks"], b["total"], b["whole"], strict=True):
-                if kind == "revisit":
-                    payloads.append(None)
-                    continue
                 block = b"".join(blocks)
                 if not whole or (len(blocks) > 1 and total != len(block)):
                     raise ValueError(f"segments of {origin} don't make up its record")
                 head, _, body = block.partition(b"\r\n\r\n")
+                if kind == "revisit":
+                    payloads.append(None)
+                    sizes.append(int(head.lower().partition(b"content-length:")[2].split(b"\r\n")[0]))
+                    continue
                 payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
                 if digest(payload) != sha:
                     raise ValueError(f"digest of {origin} differs")
                 payloads.append(payload)
-            yield pd.DataFrame({"origin": b["origin"], "kind": b["kind"], "sha": b["sha"], "refers": b["refers"], "payload": pd.Series(payloads, dtype=object)})
+                sizes.append(len(payload))
+            yield pd.DataFrame({"origin": b["origin"], "kind": b["kind"], "sha": b["sha"], "refers": b["refers"], "n": sizes, "payload": pd.Series(payloads, dtype=object)})
 
-    out = alone.unionByName(many).mapInPandas(decode, "origin string, kind string, sha string, refers string, payload binary")
+    out = alone.unionByName(many).mapInPandas(decode, "origin string, kind string, sha string, refers string, n long, payload binary")
     number = lambda c: F.expr(f"try_cast(split({c}, ':')[2] AS BIGINT)")
-    return out.select(number("origin").alias("page"), "kind", "sha", number("refers").alias("refers"), "payload")
+    return out.select(number("origin").alias("page"), "kind", "sha", number("refers").alias("refers"), "n", "payload", F.col("origin").alias("record_id"), F.col("refers").alias("refers_to_record"))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write every page, read the archives back and report each record; a revisit's length is its response's."""
-    path = f"{scratch_root(spark)}/op7-warc-{uuid.uuid4().hex}"
+    """Write every page, read the archives back and report each record."""
+    path = scratch_path(spark, "op7-warc")
     write_archives(table(spark, sf_dir, "pages"), path)
-    got = read_archives(spark, path).select("page", "kind", "sha", "refers", F.octet_length("payload").cast("long").alias("n"))
-    lengths = got.where("kind = 'response'").groupBy(F.col("page").alias("refers"), "sha").agg(F.max("n").alias("of_response"))
-    out = got.join(lengths, ["refers", "sha"], "left")
-    return out.select(F.col("page").alias("page_id"), F.coalesce("n", "of_response").alias("payload_bytes"), F.col("sha").alias("payload_digest"), F.col("kind").alias("record_type"), F.col("refers").alias("refers_to"))
+    got = read_archives(spark, path)
+    return got.select(F.col("page").alias("page_id"), F.col("n").alias("payload_bytes"), F.col("sha").alias("payload_digest"), F.col("kind").alias("record_type"), F.col("refers").alias("refers_to"))
