@@ -46,21 +46,92 @@ def test_nearest_prefers_the_earlier_of_equally_near(spark):
     assert temporal.nearest(a, b, ["k"], "day", 1, "id", ["v"]).count() == 0
 
 
-def test_whittaker_matches_the_dense_solve_and_keeps_lines():
-    y = np.array([1.0, np.nan, 3.0, 4.0, 5.0])
-    assert np.allclose(smooth.whittaker_fit(y, 10.0), [1, 2, 3, 4, 5], atol=1e-6)
-    assert np.isnan(smooth.whittaker_fit(np.full(4, np.nan), 1.0)).all()
-    y = np.random.default_rng(0).normal(size=30)
-    z = smooth.whittaker_fit(y, 3.0)
-    assert np.allclose(z + 3.0 * smooth.penalty(30) @ z, y)
+def dense(y, lam, w=None, rows=None):
+    """The same minimum by a full matrix."""
+    d = np.diff(np.eye(len(y)), 2, axis=0) if rows is None else rows
+    w = np.isfinite(y) * (1.0 if w is None else w)
+    return np.linalg.solve(np.diag(w) + lam * d.T @ d, w * np.nan_to_num(y))
 
 
-def test_envelope_lies_above_the_plain_fit_and_holds_ends():
-    y = np.concatenate([[np.nan, np.nan], 5 + np.sin(np.arange(30) / 4), [np.nan]])
-    y[10] = 0
-    e = smooth.envelope_fit(y, 2.0)
-    assert e[0] == e[1] == e[2] and e[-1] == e[-2]
-    assert e[10] > smooth.whittaker_fit(y, 2.0)[10]
+def test_whittaker_matches_the_dense_solve_and_keeps_lines():
+    rng = np.random.default_rng(0)
+    y = rng.normal(size=(6, 30))
+    y[rng.random(y.shape) < 0.3] = np.nan
+    w = rng.random(y.shape) + 0.1
+    assert np.allclose(smooth.fit_all(y, 3.0), [dense(r, 3.0) for r in y])
+    assert np.allclose(smooth.fit_all(y, 3.0, w), [dense(r, 3.0, v) for r, v in zip(y, w, strict=True)])
+    for order in (1, 3):
+        assert np.allclose(smooth.fit_all(y, 2.0, order=order), [dense(r, 2.0, rows=np.diff(np.eye(30), order, axis=0)) for r in y])
+    line = np.array([[1.0, np.nan, 3.0, 4.0, 5.0]])
+    assert np.allclose(smooth.fit_all(line, 10.0), [[1, 2, 3, 4, 5]], atol=1e-6)
+    open_ = np.array([[np.nan] * 4, [np.nan, 2.0, np.nan, np.nan]])
+    assert np.array_equal(smooth.fit_all(open_, 1.0), open_, equal_nan=True) and smooth.fit_all(np.ones((1, 2)), 1.0).tolist() == [[1, 1]]
+
+
+def test_uneven_times_keep_lines_and_match_the_dense_solve():
+    t = np.array([0.0, 1.0, 4.0, 5.0, 9.0, 10.0])
+    rows = np.zeros((4, 6))
+    for i, r in enumerate(smooth.curvature_rows(t)):
+        rows[i, i : i + 3] = r
+    assert np.allclose(rows @ (2 * t + 1), 0) and np.allclose(rows @ t**2, 2)
+    y = np.random.default_rng(1).normal(size=(3, 6))
+    assert np.allclose(smooth.fit_all(y, 4.0, times=t), [dense(r, 4.0, rows=rows) for r in y])
+
+
+def test_envelope_follows_the_upper_values_and_holds_ends():
+    days = np.arange(40)
+    truth = 0.2 + 0.6 * np.exp(-(((days - 20) / 7.0) ** 2))
+    y = truth.copy()
+    y[[12, 18, 25]] -= 0.35
+    y[[5, 30, 31, 32]] = np.nan
+    plain, fit = smooth.fit_all(y[None], 0.5)[0], smooth.envelope_all(y[None], 0.5)[0]
+    assert np.abs(fit - truth).max() < np.abs(plain - truth).max() / 2
+    y[:2] = np.nan
+    e = smooth.envelope_all(np.array([y, np.where(days < 2, 3.0, np.nan), np.full(40, np.nan)]), 2.0)
+    assert e[0, 0] == e[0, 1] == e[0, 2] and (e[1] == 3.0).all() and np.isnan(e[2]).all()
+
+
+def test_envelope_matches_reweighted_dense_solves():
+    rng = np.random.default_rng(3)
+    y = rng.normal(size=(4, 25))
+    for got, r in zip(smooth.envelope_all(y, 2.0), y, strict=True):
+        z = dense(r, 2.0)
+        for _ in range(3):
+            gap = np.maximum(z - r, 0)
+            z = dense(r, 2.0, 1 - gap / gap.max())
+        assert np.allclose(got, np.clip(z, r.min() - 0.05, r.max() + 0.05))
+
+
+def test_smoothing_columns(spark):
+    df = spark.createDataFrame([([1.0, None, 3.0, 4.0],), (None,), ([],), ([5.0, 5.0],)], "y array<double>")
+    got = [r.z for r in df.select(smooth.whittaker(F.col("y"), 10.0).alias("z")).collect()]
+    assert np.allclose(got[0], [1, 2, 3, 4]) and got[1:] == [None, [], [5.0, 5.0]]
+    with pytest.raises(ValueError):
+        smooth.whittaker(F.col("y"), -1.0)
+    db = spark.createDataFrame([([-10.0, -12.0, -11.0, -10.5, -12.5],)], "y array<double>")
+    power = 10 ** (np.array(db.first().y) / 10)
+    assert np.allclose(db.select(smooth.whittaker_power(F.col("y"), 2.0).alias("z")).first().z, 10 * np.log10(dense(power, 2.0)))
+    pulled = spark.createDataFrame([([5.0] * 7, [5.0, None, None, 1.0, None, 5.0, 5.0], [False, False, False, True, False, False, False])], "f array<double>, r array<double>, w array<boolean>")
+    z = pulled.select(smooth.pull_to_water(F.col("f"), F.col("r"), F.col("w"), 2.0, 0.5).alias("z")).first().z
+    assert np.allclose(z, [5, 5 - 4 / 3, 5 - 8 / 3, 1, 3, 5, 5])
+
+
+def test_penalties_are_scored_on_left_out_values(spark):
+    rng = np.random.default_rng(5)
+    ys = [(np.sin(np.arange(40) / 6) + 0.3 * rng.normal(size=40)).tolist() for _ in range(4)]
+    df = spark.createDataFrame([(y,) for y in ys], "y array<double>")
+    lams = [0.01, 5.0, 1e6]
+    got = {r.lam: r for r in smooth.penalty_errors(df, "y", lams).collect()}
+    for lam in lams:
+        miss = []
+        for y in map(np.array, ys):
+            for k in range(5):
+                part = y.copy()
+                part[k::5] = np.nan
+                miss += np.abs(dense(part, lam)[k::5] - y[k::5]).tolist()
+        assert np.isclose(got[lam].error, np.median(miss)) and np.isclose(got[lam]["mean"], np.mean(miss)) and got[lam].n == 160
+    assert min(got, key=lambda x: got[x].error) == 5.0
+    assert smooth.one_error_rule(smooth.penalty_errors(df, "y", lams)).first().lam == 5.0
 
 
 def test_cycles_of_two_waves():
@@ -96,6 +167,72 @@ def test_patches_and_sieve(spark):
     assert s[3, 0] == 0 and s[0, 0] == 1
 
 
+def flood(cells):
+    """Eight-connected patches by hand: cell to the smallest cell of its patch."""
+    out = {}
+    for start in sorted(cells):
+        todo = [] if start in out else [start]
+        while todo:
+            cell = todo.pop()
+            if cell in out:
+                continue
+            out[cell] = start
+            r, col = cell
+            todo += [(r + a, col + b) for a in (-1, 0, 1) for b in (-1, 0, 1) if cells.get((r + a, col + b)) == cells[cell]]
+    return out
+
+
+def test_patches_and_sieve_match_brute_force(spark):
+    rng = np.random.default_rng(11)
+    cells = {(i, j): int(v) for i, line in enumerate(rng.integers(0, 3, (12, 14))) for j, v in enumerate(line)}
+    df = spark.createDataFrame([(i, j, v) for (i, j), v in cells.items()], "row int, col int, cls int")
+    want = flood(cells)
+    got = {(r.row, r.col): r.patch for r in grid.patches(df, [], "cls").collect()}
+    assert got == {c: (p[0] << 31) + p[1] for c, p in want.items()}
+    size = {p: list(want.values()).count(p) for p in set(want.values())}
+    lead = {}
+    for (i, j), p in want.items():
+        beside = {want[i + a, j + b] for a in (-1, 0, 1) for b in (-1, 0, 1) if (i + a, j + b) in want} - {p}
+        lead.setdefault(p, set()).update(beside)
+    big = {p: max(qs, key=lambda q: (size[q], (-q[0], -q[1]))) for p, qs in lead.items()}
+
+    def end(p):
+        seen = set()
+        while size[p] < 4 and p not in seen:
+            seen.add(p)
+            p = big[p]
+        return cells[p] if size[p] >= 4 else None
+
+    sieved = {(r.row, r.col): r.sieved for r in grid.sieve(df, [], "cls", 4).collect()}
+    assert sieved == {c: cells[c] if size[p] >= 4 or end(p) is None else end(p) for c, p in want.items()}
+
+
+def test_a_long_thin_patch(spark):
+    """A snake of one class: its ends are far apart along it."""
+    art = [[1] * 30 if i % 2 == 0 else ([0] * 29 + [1] if i % 4 == 1 else [1] + [0] * 29) for i in range(25)]
+    df = spark.createDataFrame([(i, j, v) for i, line in enumerate(art) for j, v in enumerate(line)], "row int, col int, cls int")
+    assert grid.patches(df, [], "cls").where("cls = 1").select("patch").distinct().count() == 1
+
+
+def test_best_cut_is_exact(spark):
+    rng = np.random.default_rng(2)
+    rows = [(float(v), bool(v + rng.normal() > 0.3)) for v in rng.normal(size=400)]
+    r = robust.best_cut(spark.createDataFrame(rows, "v double, y boolean"), "v", F.col("y"), bins=7).first()
+
+    def purity(cut):
+        left, right = [y for v, y in rows if v <= cut], [y for v, y in rows if v > cut]
+        return (max(sum(left), len(left) - sum(left)) + max(sum(right), len(right) - sum(right))) / len(rows) if right else 0
+
+    best = max(purity(v) for v, _ in rows)
+    assert abs(r.purity - best) < 1e-6 and r.cut == min(v for v, _ in rows if abs(purity(v) - best) < 1e-9)
+
+
+def test_batches_start_from_zero(spark):
+    df = spark.createDataFrame([("a", i, w) for i, w in enumerate([4.0, 4.0, 4.0, 20.0, 1.0, 1.0, 1.0, 1.0])] + [("b", 0, 1.0)], "g string, i int, w double")
+    got = {(r.g, r.i): r.batch for r in lifecycle.greedy_batches(df, ["g"], ["i"], "w", 10.0, 3).collect()}
+    assert [got["a", i] for i in range(8)] == [0, 0, 1, 2, 3, 3, 3, 4] and got["b", 0] == 0
+
+
 def test_ring_area_and_compactness(spark):
     df = spark.createDataFrame([([(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)],)], "ring array<struct<x double, y double>>")
     r = df.select(grid.ring_area(F.col("ring")).alias("a"), grid.ring_compactness(F.col("ring")).alias("c")).first()

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
+from .graph import components
 
 
 def spread(df: DataFrame, keys: list[str], half: int, *values: str) -> DataFrame:
@@ -40,48 +41,46 @@ def interior(df: DataFrame, keys: list[str], plot: str) -> DataFrame:
 
 
 def patches(df: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """``patch``: the smallest cell id of each eight-connected patch of one class.
+    """``patch``: the smallest cell id (row * 2**31 + col) of each eight-connected patch of one class.
 
-    Runs along a row are merged by a window first, so the graph that is contracted holds runs instead of cells; every
-    round gives a run the smallest label it touches and jumps along labels, and is written out so that lineage stays short.
+    Runs along a row are merged by a window first, so the graph whose components are sought holds runs instead of cells;
+    rows meet the row above only.
     """
-    spark = df.sparkSession
     w = W.partitionBy(*keys, "row").orderBy("col")
     new = (F.lag("col").over(w) != F.col("col") - 1) | (F.lag(label).over(w) != F.col(label)) | F.lag("col").over(w).isNull()
     cells = df.withColumn("_run", F.sum(new.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    runs = cells.groupBy(*keys, "row", "_run", label).agg(F.min("col").alias("lo"), F.max("col").alias("hi"))
-    runs = written(runs.withColumn("id", F.col("row").cast("long") * (1 << 31) + F.col("lo")))
-    a, b = runs.alias("a"), runs.alias("b")
-    # Rows meet the row above only, by an equi-join; columns overlap with one to spare.
-    touch = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] + [F.col("a.row") + 1 == F.col("b.row"), F.col(f"a.{label}") == F.col(f"b.{label}"), F.col("a.lo") <= F.col("b.hi") + 1, F.col("b.lo") <= F.col("a.hi") + 1]
-    cond = touch[0]
-    for t in touch[1:]:
-        cond = cond & t
-    edges = written(a.join(b, cond).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.id").alias("u"), F.col("b.id").alias("v")))
-    both = edges.unionByName(edges.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
-    labels = runs.select(*keys, "id", F.col("id").alias("patch"))
-    while True:
-        near = both.join(labels.withColumnRenamed("id", "v"), [*keys, "v"]).groupBy(*keys, F.col("u").alias("id")).agg(F.min("patch").alias("_m"))
-        step = labels.join(near, [*keys, "id"], "left").select(*keys, "id", F.col("patch").alias("_old"), F.least("patch", F.coalesce("_m", "patch")).alias("patch"))
-        root = step.select(*keys, F.col("id").alias("patch"), F.col("patch").alias("_root"))
-        new_labels = written(step.join(root, [*keys, "patch"], "left").select(*keys, "id", "_old", F.coalesce("_root", "patch").alias("patch")))
-        moved = new_labels.where("patch <> _old").isEmpty()
-        labels = new_labels.drop("_old")
-        if moved:
-            break
-    named = runs.join(labels, [*keys, "id"]).select(*keys, "row", "_run", "patch")
+    first = F.min(F.col("row").cast("long") * (1 << 31) + F.col("col")).alias("cell")
+    runs = written(cells.groupBy(*keys, "row", "_run", label).agg(F.min("col").alias("lo"), F.max("col").alias("hi"), first), "grid-runs")
+    name = F.struct(*keys, "cell")
+    above = runs.select(*keys, (F.col("row") + 1).alias("row"), F.col(label).alias("_label"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), name.alias("b"))
+    met = runs.withColumn("a", name).join(above, [*keys, "row"]).where((F.col(label) == F.col("_label")) & (F.col("lo") <= F.col("_hi") + 1) & (F.col("_lo") <= F.col("hi") + 1))
+    found = components(met.select("a", "b"))
+    named = runs.withColumn("node", name).join(found, "node", "left").select(*keys, "row", "_run", F.coalesce("root.cell", "cell").alias("patch"))
     return cells.join(named, [*keys, "row", "_run"]).drop("_run")
 
 
 def sieve(df: DataFrame, keys: list[str], label: str, least: int) -> DataFrame:
-    """Patches smaller than ``least`` take the class of the largest patch that they touch, if they touch any."""
-    p = written(patches(df, keys, label))
+    """Patches smaller than ``least`` take the class of their largest neighbour (the smallest id of equal ones).
+
+    Where that neighbour is small too, its own largest neighbour is asked, and so on; patches that only lead to one
+    another, and those without neighbours, stay as they are.
+    """
+    p = written(patches(df, keys, label), "grid-patches")
     sizes = p.groupBy(*keys, "patch", label).agg(F.count("*").alias("size"))
     sent = spread(p, keys, 1, "patch").join(p.select(*keys, "row", "col", "patch"), [*keys, "row", "col"]).where("patch <> n_patch").select(*keys, "patch", "n_patch").distinct()
-    other = sizes.select(*keys, F.col("patch").alias("n_patch"), F.col(label).alias("_to"), F.col("size").alias("_size"))
-    best = sent.join(other, [*keys, "n_patch"]).groupBy(*keys, "patch").agg(F.max_by("_to", F.struct(F.col("_size"), -F.col("n_patch"))).alias("_to"))
-    out = p.join(sizes.where(F.col("size") < least).select(*keys, "patch", "size"), [*keys, "patch"], "left").join(best, [*keys, "patch"], "left")
-    return out.withColumn("sieved", F.when(F.col("size").isNotNull(), F.coalesce("_to", label)).otherwise(F.col(label))).drop("size", "_to")
+    other = sizes.select(*keys, F.col("patch").alias("n_patch"), F.col("size").alias("_size"))
+    small = sizes.where(F.col("size") < least).select(*keys, "patch")
+    to = sent.join(small, [*keys, "patch"]).join(other, [*keys, "n_patch"]).groupBy(*keys, "patch").agg(F.max_by(F.struct("n_patch", "_size"), F.struct(F.col("_size"), -F.col("n_patch"))).alias("t"))
+    lead = written(to.select(*keys, "patch", F.col("t.n_patch").alias("to"), (F.col("t._size") >= least).alias("done")), "grid-leads")
+    # Each round doubles the way that is followed, so chains of all lengths end within log2 of the patches.
+    for _ in range(max(1, lead.count()).bit_length()):
+        if lead.where("not done").isEmpty():
+            break
+        on = lead.select(*keys, F.col("patch").alias("to"), F.col("to").alias("_to"), F.col("done").alias("_done"))
+        lead = written(lead.join(on, [*keys, "to"], "left").select(*keys, "patch", F.when(F.col("done"), F.col("to")).otherwise(F.coalesce("_to", "to")).alias("to"), (F.col("done") | F.coalesce("_done", F.lit(False))).alias("done")), "grid-leads")
+    goal = sizes.select(*keys, F.col("patch").alias("to"), F.col(label).alias("_class"))
+    out = p.join(lead.where("done").join(goal, [*keys, "to"]).select(*keys, "patch", "_class"), [*keys, "patch"], "left")
+    return out.withColumn("sieved", F.coalesce("_class", label)).drop("_class")
 
 
 def grid_chunks(width: int, height: int, size: int, spark) -> DataFrame:

@@ -46,8 +46,25 @@ def newer(rows: DataFrame, known: DataFrame, on: str, order: str) -> DataFrame:
     return rows.join(last, on, "left").where(F.col("_last").isNull() | (F.col(order) > F.col("_last"))).drop("_last")
 
 
-def greedy_batches(df: DataFrame, group: list[str], order: list[str], weight: str, most: float) -> DataFrame:
-    """Batch number by the running weight: a batch closes where the running sum passes a multiple of ``most``."""
-    w = W.partitionBy(*group).orderBy(*order)
-    before = F.sum(weight).over(w) - F.col(weight)
-    return df.withColumn("batch", F.floor(before / most).cast("int"))
+def greedy_batches(df: DataFrame, group: list[str], order: list[str], weight: str, most: float, most_rows: int | None = None) -> DataFrame:
+    """Batch numbers from 0: a batch closes before the row that would take it over ``most`` or over ``most_rows`` rows.
+
+    A row that weighs more than ``most`` is a batch of its own.  The fold runs over rows sorted within partitions, one
+    group after another, and keeps two numbers; so no group is held in memory.
+    """
+
+    def fold(batches):
+        last, held, rows, number = None, 0.0, 0, 0
+        for b in batches:
+            out = []
+            for g, w in zip(zip(*(b[c] for c in group), strict=True), b[weight], strict=True):
+                if g != last:
+                    last, held, rows, number = g, 0.0, 0, 0
+                elif held + w > most or (most_rows is not None and rows >= most_rows):
+                    held, rows, number = 0.0, 0, number + 1
+                held, rows = held + w, rows + 1
+                out.append(number)
+            yield b.assign(batch=out)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", batch int"
+    return df.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(fold, schema)

@@ -102,14 +102,21 @@ def histogram_percentile(df: DataFrame, keys: list[str], edge: str, count: str,
     return hit.select(*keys, (F.col(edge) + width * (F.col("goal") - (F.col("upto") - F.col("n"))) / F.col("n")).alias("percentile"))
 
 
-def best_cut(df: DataFrame, value: str, flag: Column, least: int = 1) -> DataFrame:
+def best_cut(df: DataFrame, value: str, flag: Column, least: int = 1, bins: int = 1024) -> DataFrame:
     """The cut ``value <= cut`` that puts most rows on the side of their majority; one row, ties to the lowest cut.
 
-    Cumulative counts are taken within the distinct values, so the table that one task orders is as long as those.
+    Distinct values are counted, dealt into equal bins and added up within them; what stands below a bin comes from the
+    bins' totals, a table of bounded size.  So no task orders more than a bin, and the cut is exact.
     """
     tied = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"), F.count(F.when(flag, 1)).alias("p"))
-    up, whole = W.orderBy(value), W.partitionBy()
-    c = tied.withColumns({"ln": F.sum("n").over(up), "lp": F.sum("p").over(up), "tn": F.sum("n").over(whole), "tp": F.sum("p").over(whole)})
+    ends = tied.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("n").alias("tn"), F.sum("p").alias("tp"))
+    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))).otherwise(0).alias("bin")
+    dealt = tied.join(F.broadcast(ends)).select(value, "n", "p", "tn", "tp", place)
+    totals = dealt.groupBy("bin").agg(F.sum("n").alias("bn"), F.sum("p").alias("bp"))
+    below = W.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select("bin", *[F.coalesce(F.sum(f"b{x}").over(below), F.lit(0)).alias(f"s{x}") for x in "np"])
+    up = W.partitionBy("bin").orderBy(value)
+    c = dealt.join(F.broadcast(totals), "bin").withColumns({"ln": F.sum("n").over(up) + F.col("sn"), "lp": F.sum("p").over(up) + F.col("sp")})
     right = F.greatest("lp", F.col("ln") - F.col("lp")) + F.greatest(F.col("tp") - F.col("lp"), F.col("tn") - F.col("ln") - F.col("tp") + F.col("lp"))
     c = c.withColumn("purity", F.round(right / F.col("tn"), 6)).where((F.col("ln") >= least) & (F.col("tn") - F.col("ln") >= least))
     return c.orderBy(F.desc("purity"), value).limit(1).select(F.col(value).alias("cut"), "purity")

@@ -1,9 +1,7 @@
-"""Decision lists: ordered rules with named switches, simultaneous relabelling, and the main class rule."""
+"""Decision lists: ordered rules, simultaneous relabelling, and several rule sets side by side."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,37 +27,7 @@ def relabel(column: str, rules: list[tuple[Column, object, object]], keep: Colum
     return out if keep is None else F.when(sure(keep), F.col(column)).otherwise(out)
 
 
-@dataclass(frozen=True)
-class RuleSet:
-    """Switches of the relative rule; a set is a value, never a changed global."""
-
-    name: str = "defaults"
-    end_low: float = 0.25
-    end_high: float = 0.6
-    steady: float = 0.35
-    noisy: float = 60.0
-    least: int = 5
-
-    def using(self, **switches) -> RuleSet:
-        return replace(self, **switches)
-
-
-def relative_class(rules: RuleSet) -> Column:
-    """Class of a series from its own range: n, position, noise and rise, each with its default where unknown."""
-    position, noise = F.coalesce("position", F.lit(0.5)), F.coalesce("noise", F.lit(0.0))
-    rise = F.coalesce("rise", F.lit(0.0))
-    return decide([
-        (F.col("n") < rules.least, "too few"),
-        (noise > rules.noisy, "noisy"),
-        ((position >= rules.end_high) & (rise > 0), "rising"),
-        (position >= rules.end_high, "high"),
-        ((position <= rules.end_low) & (rise < 0), "falling"),
-        (position <= rules.end_low, "low"),
-        (F.abs(position - 0.5) <= rules.steady / 2, "steady"),
-    ], "between")
-
-
-def try_rule_sets(features: DataFrame, sets: list[RuleSet], keys: list[str]) -> DataFrame:
-    """(keys, rule_set, class) for every set: one scan, one column a set, then unpivoted."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(s.name).alias("rule_set"), relative_class(s).alias("class")) for s in sets])).alias("e")
+def try_rule_sets(features: DataFrame, sets: dict[str, Column], keys: list[str]) -> DataFrame:
+    """(keys, rule_set, class) for every named set of rules: one scan, one column a set, then unpivoted."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("rule_set"), column.alias("class")) for name, column in sets.items()])).alias("e")
     return features.select(*keys, pairs).select(*keys, "e.rule_set", "e.class")

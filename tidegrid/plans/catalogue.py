@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curves, fields, relations, series
+from . import crops, curves, fields, relations, series
 
 FLAGSHIP = "own_range_flagship"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-for _part in (series, relations, curves, fields):
+for _part in (series, relations, curves, fields, crops):
     QUERIES |= _part.QUERIES
     ORACLE_SQL |= _part.ORACLE_SQL

@@ -158,27 +158,6 @@ def totals_rollup(spark, d):
     return aggregate.with_totals(table(spark, d, "lineitem"), "l_returnflag", "l_linestatus", "l_quantity").withColumn("total", r("total", 2))
 
 
-FEATURES = """n0 AS (SELECT k, track, v - 2 * lag(v, 1) OVER w + lag(v, 2) OVER w AS d2 FROM obs WINDOW w AS (PARTITION BY k, track ORDER BY ts, id)), nz AS (SELECT k, track, quantile_cont(abs(d2), 0.5) * 1.4826 / sqrt(6) AS noise FROM n0 GROUP BY ALL),
-b AS (SELECT *, row_number() OVER (PARTITION BY k, track ORDER BY ts DESC, id DESC) AS b FROM obs), p AS (SELECT k, track, quantile_cont(v, 0.1) AS lo, quantile_cont(v, 0.9) AS hi, count(v) AS n, avg(v) FILTER (b <= 2) AS em, max(v) FILTER (b = 1) - max(v) FILTER (b = 3) AS rise FROM b GROUP BY ALL),
-feat AS (SELECT k, track, n, noise, CASE WHEN hi > lo THEN (em - lo) / (hi - lo) END AS position, rise FROM p JOIN nz USING (k, track))"""
-RULE = """CASE WHEN n < 5 THEN 'too few' WHEN coalesce(noise, 0) > {noisy} THEN 'noisy' WHEN coalesce(position, 0.5) >= {high} AND coalesce(rise, 0) > 0 THEN 'rising' WHEN coalesce(position, 0.5) >= {high} THEN 'high'
-WHEN coalesce(position, 0.5) <= {low} AND coalesce(rise, 0) < 0 THEN 'falling' WHEN coalesce(position, 0.5) <= {low} THEN 'low' WHEN abs(coalesce(position, 0.5) - 0.5) <= 0.175 THEN 'steady' ELSE 'between' END"""
-
-
-def _features(spark, d):
-    obs, kt = observations(spark, d), ["k", "track"]
-    own = robust.own_range(obs, kt, ["ts", "id"], "v").join(robust.pass_noise(obs, kt, ["ts", "id"], "v"), kt)
-    tail = obs.withColumn("b", F.row_number().over(W.partitionBy(*kt).orderBy(F.desc("ts"), F.desc("id")))).where("b <= 3").groupBy(*kt).agg((F.max(F.when(F.col("b") == 1, F.col("v"))) - F.max(F.when(F.col("b") == 3, F.col("v")))).alias("rise"))
-    return own.join(tail, kt, "left").select(*kt, "n", "noise", "position", "rise")
-
-
-@query("{obs}, " + FEATURES + f" SELECT k, track, 'defaults' AS rule_set, {RULE.format(noisy=60.0, high=0.6, low=0.25)} AS class FROM feat UNION ALL SELECT k, track, 'wide', {RULE.format(noisy=40.0, high=0.5, low=0.3)} FROM feat")
-def rule_class_two_sets(spark, d):
-    """The relative rule under two rule sets side by side."""
-    sets = [rules.RuleSet(), rules.RuleSet(name="wide").using(noisy=40.0, end_high=0.5, end_low=0.3)]
-    return rules.try_rule_sets(_features(spark, d), sets, ["k", "track"])
-
-
 @query("""SELECT l_returnflag AS before, CASE WHEN l_quantity < 5 THEN l_returnflag WHEN l_returnflag = 'N' AND l_discount > 0.05 THEN 'A' WHEN l_returnflag = 'R' THEN 'N' ELSE l_returnflag END AS after, count(*) AS n FROM lineitem GROUP BY ALL""")
 def relabel_simultaneous(spark, d):
     """Rules that test the class as it came; rows of small quantity are kept."""
@@ -238,10 +217,11 @@ def outlier_flags(spark, d):
     return robust.robust_z(s, ["track"], "m").where(F.abs("z") > 2).select("k", "track", r("z").alias("z"))
 
 
-@query("""WITH b AS (SELECT o_custkey, o_orderkey, o_totalprice, sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - o_totalprice AS before FROM orders)
-SELECT o_custkey, floor(before / 1000000)::INT AS batch, count(*) AS n FROM b GROUP BY ALL""")
+@query("""WITH RECURSIVE o AS (SELECT o_custkey, o_totalprice AS w, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders),
+f AS (SELECT o_custkey, i, w AS held, 1 AS size, 0 AS batch FROM o WHERE i = 1 UNION ALL SELECT o.o_custkey, o.i, CASE WHEN held + w > 500000 OR size >= 4 THEN w ELSE held + w END, CASE WHEN held + w > 500000 OR size >= 4 THEN 1 ELSE size + 1 END, CASE WHEN held + w > 500000 OR size >= 4 THEN batch + 1 ELSE batch END FROM f JOIN o ON o.o_custkey = f.o_custkey AND o.i = f.i + 1)
+SELECT o_custkey, batch, count(*) AS n FROM f GROUP BY ALL""")
 def plan_batches(spark, d):
-    got = lifecycle.greedy_batches(table(spark, d, "orders"), ["o_custkey"], ["o_orderkey"], "o_totalprice", 1000000)
+    got = lifecycle.greedy_batches(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], ["o_orderkey"], "o_totalprice", 500000, 4)
     return got.groupBy("o_custkey", "batch").agg(F.count("*").alias("n"))
 
 
@@ -252,13 +232,13 @@ def newer_than_inputs(spark, d):
     return lifecycle.newer(orders.select("o_orderkey", "o_custkey"), orders.where("o_orderstatus = 'F'"), "o_custkey", "o_orderkey")
 
 
-@query("""WITH a AS (SELECT c_custkey AS k, c_mktsegment AS seg, '' AS note FROM customer WHERE c_custkey % 2 = 0), b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'NEW' END AS seg, 'late' AS note FROM customer WHERE c_custkey % 4 = 0 OR c_custkey % 5 = 0)
+@query("""WITH a AS (SELECT c_custkey AS k, c_mktsegment AS seg, '' AS note FROM customer WHERE c_acctbal < 5000), b AS (SELECT c_custkey AS k, CASE WHEN c_nationkey < 9 THEN '' ELSE 'NEW' END AS seg, 'late' AS note FROM customer WHERE c_acctbal >= 3000)
 SELECT coalesce(b.k, a.k) AS k, CASE WHEN b.k IS NOT NULL THEN coalesce(nullif(b.seg, ''), a.seg) ELSE a.seg END AS seg, CASE WHEN b.k IS NOT NULL THEN b.note ELSE a.note END AS note FROM a FULL JOIN b ON a.k = b.k""")
 def upsert_labels(spark, d):
     """New rows win, blank segments keep the stored one."""
     cust = table(spark, d, "customer")
-    old = cust.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("seg"), F.lit("").alias("note"))
-    new = cust.where("c_custkey % 4 = 0 or c_custkey % 5 = 0").select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise("NEW").alias("seg"), F.lit("late").alias("note"))
+    old = cust.where("c_acctbal < 5000").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("seg"), F.lit("").alias("note"))
+    new = cust.where("c_acctbal >= 3000").select(F.col("c_custkey").alias("k"), F.when(F.col("c_nationkey") < 9, "").otherwise("NEW").alias("seg"), F.lit("late").alias("note"))
     return lifecycle.upsert(old, new, ["k"], ["seg"])
 
 

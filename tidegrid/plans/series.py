@@ -74,13 +74,13 @@ def acquisition_rollup(spark, d):
     return temporal.session_summary(got, ["track"], "ts", "k").select("track", "session", "members", "n", "acquisition")
 
 
-@query("""{obs}, g AS (SELECT *, day - lag(day) OVER (PARTITION BY track ORDER BY day) AS gap FROM (SELECT DISTINCT track, k % 3 AS part, day FROM obs WHERE k % 3 = 0)),
+@query("""{obs}, g AS (SELECT *, day - lag(day) OVER (PARTITION BY track ORDER BY day) AS gap FROM (SELECT DISTINCT track, day FROM obs)),
 x AS (SELECT track, count(*) AS days, min(day) AS first_day, max(day) AS last_day, median(gap) AS median_gap, max(gap) AS max_gap FROM g GROUP BY track),
 y AS (SELECT track, count(*) AS n, count(*) FILTER (v > 50) AS n_high, count(DISTINCT k) AS users FROM obs GROUP BY track)
 SELECT track, days, first_day::INT AS first_day, last_day::INT AS last_day, round(median_gap, 4) AS median_gap, max_gap::INT AS max_gap, n, n_high, users FROM x JOIN y USING (track)""")
 def track_summary(spark, d):
     obs = observations(spark, d)
-    days = obs.where(F.col("k") % 3 == 0).select("track", "day").distinct().withColumn("gap", F.col("day") - F.lag("day").over(temporal.by(["track"], "day")))
+    days = obs.select("track", "day").distinct().withColumn("gap", F.col("day") - F.lag("day").over(temporal.by(["track"], "day")))
     x = days.groupBy("track").agg(F.count("*").alias("days"), F.min("day").alias("first_day"), F.max("day").alias("last_day"), r(F.percentile("gap", F.lit(0.5))).alias("median_gap"), F.max("gap").alias("max_gap"))
     y = obs.groupBy("track").agg(F.count("*").alias("n"), F.count(F.when(F.col("v") > 50, 1)).alias("n_high"), F.countDistinct("k").alias("users"))
     return x.join(y, "track")
