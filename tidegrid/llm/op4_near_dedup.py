@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.operators.graph import components
+
 from .common import ascii_lower, materialise, mix64, ngram_hashes, pack, row_id, table, unpack, word_hashes
 
 SHINGLE = 5
@@ -294,25 +296,6 @@ def edge_pairs(edge: DataFrame, counts: DataFrame) -> DataFrame:
     return held.select(F.explode(pairs).alias("p")).where(100 * F.col("p.low") >= PER_CENT * F.col("p.high")).select("p.a", "p.b")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for each node of the links.
-
-    Each round gives a node the smallest of itself and its neighbours, jumps to that one's choice and contracts the
-    links; the links left shrink with every round until none is left.
-    """
-    edges = materialise(links, "op4-edges")
-    ends = lambda e: e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    labels = ends(edges).select(F.col("u").alias("node")).distinct().withColumn("root", F.col("node"))
-    while not edges.isEmpty():
-        parent = materialise(ends(edges).groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p")), "op4-parents")
-        jump = parent.alias("x").join(parent.alias("y"), F.col("x.p") == F.col("y.u")).select(F.col("x.u").alias("u"), F.col("y.p").alias("p"))
-        jump = materialise(jump, "op4-jumps")
-        labels = materialise(labels.join(jump, F.col("root") == F.col("u"), "left").select("node", F.coalesce("p", "root").alias("root")), "op4-labels")
-        moved = edges.join(jump.select(F.col("u").alias("a"), F.col("p").alias("pa")), "a").join(jump.select(F.col("u").alias("b"), F.col("p").alias("pb")), "b")
-        edges = materialise(moved.where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "op4-edges")
-    return labels
-
-
 def near_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id (see ``row_id``), tie (a hash of the other columns), k (key), n_shingles, component_id and kept."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (key, text)]
