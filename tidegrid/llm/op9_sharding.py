@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 
 from tidegrid.sources.scratch import scratch_path
 
-from .common import table
+from .common import materialise, table
 
 #: Bytes of text that one bucket should hold.
 BUCKET_BYTES = 8 << 20
+#: Counts of at most so many buckets, a few megabytes, are broadcast.
+BROADCAST_BUCKETS = 100_000
 
 
 def shard_of(key: Column, shards: int, seed: int) -> Column:
@@ -67,10 +69,12 @@ def write_shards(docs: DataFrame, path: str, shards: int = 8, seed: int = 17, ke
 def read_shards(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """What ``write_shards`` wrote: ``row``, ``size``, ``shard``, ``grown_shard`` and ``slot``."""
     rows = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
-    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+    counts = materialise(rows.groupBy("shard", "bucket").agg(F.count("*").alias("n")), "op9-counts")
     earlier = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    # A row for each few megabytes of text: Spark broadcasts it where it is small.
+    # A row for each few megabytes of text: broadcast up to a checked size, so that the rows needn't be dealt again.
+    if counts.count() <= BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
     return rows.join(offsets, ["shard", "bucket"]).select("row", "size", "shard", "grown_shard", (F.col("offset") + F.col("at")).alias("slot"))
 
 
