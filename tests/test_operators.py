@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.functions import columns as c
-from tidegrid.operators import aggregate, classes, evaluate, geometry, grid, lifecycle, robust, rules, smooth, temporal
+from tidegrid.operators import aggregate, classes, evaluate, events, geometry, graph, grid, joins, lifecycle, masks, reports, robust, rules, shapes, smooth, temporal
 from tidegrid.sources import tables
 
 
@@ -292,3 +292,180 @@ def test_points_inside_a_concave_ring(spark):
 
 def test_spread_pick():
     assert geometry.spread_pick([("a", 9, 0.0, 0.0), ("b", 8, 0.0, 0.01), ("c", 7, 1.0, 0.0)], 2, 15) == ["a", "c"]
+
+
+def test_components_and_further_links(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (7, 7)], "a long, b long")
+    got = {r.node: r.root for r in graph.components(links).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 90: 90, 100: 90}
+    more = graph.extend(graph.components(links), spark.createDataFrame([(100, 40), (200, 201)], "a long, b long"))
+    assert {r.node: r.root for r in more.collect()} == {**dict.fromkeys(range(41), 0), 90: 0, 100: 0, 200: 200, 201: 200}
+
+
+# --- masks and events --------------------------------------------------------
+
+
+def test_clear_mask_tests(spark):
+    names = "green red nir blue qa score"
+    rows = [(1, 0, 500, 10, 0, 90), (5, 5, 0, 10, 0, 90), (300, 300, 3000, 200, 1024, 90), (300, 300, 3000, 200, 0, 10), (300, 300, 400, 200, 0, 10), (300, 300, 3000, 950, 0, 90), (300, 300, 3000, 200, 0, 90)]
+    df = spark.createDataFrame(rows, [*names.split()]).withColumn("i", F.monotonically_increasing_id())
+    c_ = F.col
+    data = masks.has_data(c_("green"), c_("red"), c_("nir"))
+    ndvi = F.when(data, (c_("nir") - c_("red")) / (c_("nir") + c_("red")))
+    got = df.select(masks.lost_to(data, c_("qa"), c_("score"), c_("nir"), ndvi, c_("blue"), c_("red")).alias("t"), masks.has_data(c_("green"), c_("red"), c_("nir"), True).alias("w")).collect()
+    assert [r.t for r in got] == ["no_data", "no_data", "opaque", "score", "kept", "haze", "kept"] and [r.w for r in got][:2] == [False, True]
+
+
+def test_relative_scores_take_the_cells_own_level(spark):
+    rows = [(1, d, s) for d, s in enumerate([80.0, 82.0, 79.0, 48.0, 5.0])] + [(2, d, s) for d, s in enumerate([78.0, 79.0, 81.0, 4.0, 3.0])] + [(3, 0, 6.0)]
+    df = spark.createDataFrame(rows, "cell int, day int, score double")
+    lim = {r.cell: r.limit for r in masks.clear_limits(df, ["cell"], "score").collect()}
+    assert 30 < robust.otsu(df, "score").first().threshold < 78
+    up = np.array([80.0, 82.0, 79.0, 78.0, 79.0, 81.0, 48.0])
+    area = 1.4826 * np.median(np.abs(up - np.median(up)))
+    own = np.array([80.0, 82.0, 79.0, 48.0])
+    spread = 1.4826 * np.median(np.abs(own - np.median(own)))
+    assert np.isclose(lim[1], np.median(own) - 2 * np.hypot(spread, area)) and lim[1] > 48 and 6 < lim[3] < 78
+    best = {(r.cell, r.day): r.clear for r in masks.clear_beside_best(df, ["cell"], "day", "score", F.col("score") > 0).collect()}
+    assert best[1, 1] and not best[1, 3] and best[3, 0]
+
+
+def test_durable_lows_skip_short_dips(spark):
+    y = [0.8, 0.3, 0.8, 0.2, 0.2, 0.15, 0.2, 0.9]
+    df = spark.createDataFrame([(1, i, i * 5, v) for i, v in enumerate(y)], "k int, i int, day int, v double")
+    got = events.durable_lows(df, "k", "i", "day", "v", F.col("i").isin(1, 5), 10).collect()
+    assert [(r.i, r.low_days) for r in got] == [(5, 15)]
+
+
+def test_bare_near_without_views_is_bare(spark):
+    views = spark.createDataFrame([(1, 3, 0.9), (2, 3, 0.2)], "k int, i int, v double")
+    e = spark.createDataFrame([(1, 3, None), (2, 3, None), (3, 3, None)], "k int, at int, climb int")
+    assert {r.k: r.bare_near for r in events.bare_near(views, e, "k", "i", "v", 0.45, 1, 1).collect()} == {1: False, 2: True, 3: True}
+
+
+def test_onset_is_where_the_curve_turns_up(spark):
+    y = [0.1, 0.1, 0.1, 0.1, 0.3, 0.6, 0.9]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(y)], "k int, i int, v double")
+    spans = spark.createDataFrame([(1, 0, 6)], "k int, lo int, hi int")
+    accel = np.gradient(np.gradient(np.array(y)))
+    assert events.onset(df, spans, "k", "i", "v").first().onset == int(np.argmax(np.round(accel, 9)))
+
+
+def test_switches_of_the_own_scale_rule(spark):
+    base = {"ndvi_low_peak": 0.1, "vh_pos_end": 0.9, "ndvi_left": 0.9, "ndvi_rise_days": 60.0, "days_at_top": 30.0, "crop_age": 80.0, "days_off_top": 5.0}
+    rows = [{**base, "dry_water_share": 0.7}, {**base, "water_depth": 4.0}, {**base, "fit_low_peak": 0.7}, {**base, "vh_pos_end": 0.2, "crop_age": 20.0, "water_depth": -1.0, "ndvi_left": 1.0, "days_at_top": 0.0}, {**base, "ndvi_left": 0.3}]
+    names = sorted({n for r in rows for n in r})
+    df = spark.createDataFrame([(i, *[float(r[n]) if n in r else None for n in names]) for i, r in enumerate(rows)], f"i int, {', '.join(f'{n} double' for n in names)}")
+    call = lambda **kw: [r.c for r in df.select("i", classes.own_scale_class(df, classes.OwnScale().using(**kw)).alias("c")).orderBy("i").collect()]
+    assert call() == [classes.SEEDED, classes.SEEDED, classes.SEEDED, classes.FLOODED, classes.CUT]
+    assert call(pond=True)[0] == classes.FLOODED and call(any_water=True)[1] == classes.PLANTED
+    assert call(never_emptied=0.5)[2] == classes.OTHER and call(canopy_not_flooded=True)[3] == classes.YOUNG
+    assert call(canopy_not_flooded=True, young_needs_water=True)[3] == classes.SEEDED and call(harvest_needs_both=True)[4] == classes.SEEDED
+
+
+# --- shapes ------------------------------------------------------------------
+
+
+def drawn(spark, *layers):
+    rows = [(int(v), i, j) for art in layers for i, line in enumerate(art) for j, v in enumerate(line) if v != "."]
+    return spark.createDataFrame(rows, "shape long, row int, col int")
+
+
+def picture(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.shape, set()).add((r.row, r.col))
+    return out
+
+
+def test_holes_are_filled_up_to_a_size(spark):
+    art = ["11111", "1.1.1", "11111", "1...1", "1...1", "11111"]
+    got = picture(shapes.fill_holes(drawn(spark, art), "shape", 1))[1]
+    assert (1, 1) in got and (1, 3) in got and (3, 2) not in got
+    open_ = picture(shapes.fill_holes(drawn(spark, ["111", "1..", "111"]), "shape", 9))[1]
+    assert (1, 1) not in open_
+    corner = picture(shapes.fill_holes(drawn(spark, [".1.", "1.1", ".1."]), "shape", 1))[1]
+    assert (1, 1) in corner
+
+
+def test_slivers_join_the_longest_common_side(spark):
+    got = picture(shapes.absorb_slivers(drawn(spark, ["11122", "11132", "11132", "444.2"]), "shape", 4))
+    assert (1, 3) in got[1] or (1, 3) in got[2]
+    assert 3 not in got and sum(map(len, got.values())) == 19 and (3, 0) in got[1]
+
+
+def test_free_ground_in_patches(spark):
+    wanted = drawn(spark, ["1111", "1111", "1111"]).select("row", "col")
+    got = shapes.free_ground(wanted, drawn(spark, [".2..", "222.", ".2.."]), 3).collect()
+    assert {(r.row, r.col) for r in got} == {(0, 2), (0, 3), (1, 3), (2, 2), (2, 3)}
+
+
+def test_overlaps_dissolve_and_parts_split(spark):
+    cells = drawn(spark, ["11...", "11..3", "....."], [".22..", ".22..", "....."], ["...4.", ".....", "....."])
+    assert {(r.a, r.b, r.cells) for r in shapes.overlaps(cells, "shape").collect()} == {(1, 2, 2)}
+    assert set(picture(shapes.dissolve(cells, "shape"))) == {1, 3, 4}
+    cut = picture(shapes.cut_overlaps(cells, "shape"))
+    assert len(cut[1]) == 4 and len(cut[2]) == 2
+    parts = shapes.split_parts(drawn(spark, ["11.1", "11.1", "...."]), "shape", 2).collect()
+    assert {(r.part, r.row, r.col) for r in parts} == {(0, 0, 0), (0, 0, 1), (0, 1, 0), (0, 1, 1), (1, 0, 3), (1, 1, 3)}
+    tails = picture(shapes.remove_tails(drawn(spark, ["111..", "11111", "111.."]), "shape"))[1]
+    assert tails == {(i, j) for i in range(3) for j in range(3)}
+
+
+# --- lifecycle, joins, reviews ----------------------------------------------
+
+
+def test_torn_lines_are_ignored(spark):
+    lines = spark.createDataFrame([(1, '{"task":"a","state":"S1"}'), (2, '{"task":"a","size":5}'), (3, '{"task":"a","state":"S'), (4, ""), (5, '{"state":"x"}')], "seq long, value string")
+    old = spark.createDataFrame([("a", "S0", 1), ("b", "S9", 2)], "task string, state string, size long")
+    got = sorted(map(tuple, lifecycle.replay(lines, old, "task", {"state": "string", "size": "bigint"}).select("task", "state", "size").collect()))
+    assert got == [("a", "S1", 5), ("b", "S9", 2)]
+    assert lifecycle.replay(lines, None, "task", {"state": "string"}).count() == 1
+
+
+def test_issues_must_be_decided(spark):
+    found = spark.createDataFrame([(1, "low"), (2, "missing")], "k int, issue string")
+    with pytest.raises(ValueError, match="missing"):
+        lifecycle.require_decisions(found, found.where("k = 1"), ["k", "issue"])
+    assert lifecycle.require_decisions(found, found, ["k", "issue"]).count() == 2
+
+
+def test_one_row_a_file(spark):
+    rows = spark.createDataFrame([("aoi7.shp",), ("aoi12.shp",), ("x.shp",)], "f string")
+    assert sorted((r.number or 0) for r in joins.one_per_file(rows, F.col("f"), r"(\d+)\.").collect()) == [0, 7, 12]
+    with pytest.raises(ValueError, match="aoi7"):
+        joins.one_per_file(rows.unionByName(rows.limit(1)), F.col("f"), r"(\d+)\.")
+
+
+def test_nearest_chain():
+    assert joins.nearest_chain([("a", 0, 0), ("b", 5, 0), ("c", 1, 0), ("d", 6, 0)], ["a"]) == ["a", "c", "b", "d"]
+
+
+def test_hold_last(spark):
+    df = spark.createDataFrame([([1.0, None, 3.0, None, None],), ([None, None],)], "v array<double>")
+    assert [r.h for r in df.select(reports.hold_last(F.col("v")).alias("h")).collect()] == [[1.0, None, 3.0, 3.0, 3.0], [None, None]]
+
+
+def test_samples_keep_their_limits(spark):
+    df = spark.range(3000).select(F.col("id"), (F.col("id") % 3).alias("c"), (F.col("id") % 7).alias("g"))
+    got = evaluate.balanced_sample(df, "c", "g", "id", 40, 10, 1)
+    assert got.groupBy("c").count().agg(F.max("count")).first()[0] == 40 and got.groupBy("c", "g").count().agg(F.max("count")).first()[0] <= 10
+    fields = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 50).alias("size"), (F.col("id") % 4 == 0).alias("differ"))
+    picked = evaluate.review_sample(fields, "k", "size", F.col("differ"), 20, 3).collect()
+    assert len(picked) == 20 and sum(r.why == "differ" for r in picked) == 10 and min(r["size"] for r in picked if r.why == "differ") == 40
+    assert sorted(map(tuple, picked)) == sorted(map(tuple, evaluate.review_sample(fields.repartition(3), "k", "size", F.col("differ"), 20, 3).collect()))
+
+
+def test_a_variant_must_win_on_the_held_out_half(spark):
+    rows = [("x", "s0", 0, 0.5), ("x", "s0", 1, 0.5), ("x", "s1", 0, 0.9), ("x", "s1", 1, 0.4), ("y", "s0", 0, 0.5), ("y", "s0", 1, 0.5), ("y", "s1", 0, 0.9), ("y", "s1", 1, 0.6)]
+    df = spark.createDataFrame(rows, "area string, variant string, half int, ok double")
+    got = {r.area: r.variant for r in evaluate.best_variant(df, ["area"], "variant", "ok", F.col("half") == 0, F.col("half") == 1).collect()}
+    assert got == {"x": "s0", "y": "s1"}
+
+
+def test_forest_settings_are_not_run_twice(spark):
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(float(v), float(w), int(v > 0), i % 6) for i, (v, w) in enumerate(rng.normal(size=(120, 2)))], "a double, b double, y int, g int")
+    first = evaluate.tune_forest(df, ["a", "b"], "y", "g", [{"trees": 3}], 2, 1)
+    again = evaluate.tune_forest(df, ["a", "b"], "y", "g", [{"trees": 3}, {"trees": 5}], 2, 1, done=first)
+    assert again.count() == 2 and first.first().accuracy > 0.8

@@ -118,3 +118,68 @@ def volume_factor(theta_deg: Column, slope_deg: Column) -> Column:
 def geometry_ok(theta_deg: Column, slope_deg: Column) -> Column:
     """Neither layover nor shadow."""
     return (slope_deg < theta_deg) & (slope_deg > theta_deg - 90)
+
+
+def day_of_year(day: Column) -> Column:
+    """1 to 366; an unknown day is 0."""
+    return F.coalesce(F.dayofyear(day), F.lit(0))
+
+
+def pixel_x(col: Column, x0: float, size: float) -> Column:
+    """Centre of a column of cells."""
+    return F.lit(x0) + (col + 0.5) * size
+
+
+def pixel_y(row: Column, y0: float, size: float) -> Column:
+    """Centre of a row of cells, counted downwards."""
+    return F.lit(y0) - (row + 0.5) * size
+
+
+def chunk_name(row: Column, col: Column) -> Column:
+    return F.concat(F.lit("r"), F.lpad(row.cast("string"), 3, "0"), F.lit("c"), F.lpad(col.cast("string"), 3, "0"))
+
+
+def task_key(track: Column, chunk: Column) -> Column:
+    return F.concat_ws("__", track, chunk)
+
+
+def month_week(day: Column) -> Column:
+    """Week of the month with its first and last day: weeks start on the 1st, 8th, 15th and 22nd, the last one is longer."""
+    number = F.least(F.floor((F.dayofmonth(day) - 1) / 7) + 1, F.lit(4)).cast("int")
+    first = F.date_add(F.trunc(day, "month"), (number - 1) * 7)
+    last = F.when(number == 4, F.last_day(day)).otherwise(F.date_add(first, 6))
+    return F.concat(F.date_format(day, "yyyy-MM"), F.lit(" w"), number.cast("string"), F.lit(" ("), F.date_format(first, "dd"), F.lit("-"), F.date_format(last, "dd"), F.lit(")"))
+
+
+def finite(*values: Column) -> Column:
+    """All values are known numbers."""
+    out = F.lit(True)
+    for v in values:
+        out = out & F.coalesce(~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False))
+    return out
+
+
+def direct_factor(theta_deg: Column, slope_range_deg: Column, slope_azimuth_deg: Column) -> Column:
+    """cos(azimuth slope) * sin(theta - range slope) / sin(theta)."""
+    return F.cos(F.radians(slope_azimuth_deg)) * F.sin(F.radians(theta_deg - slope_range_deg)) / F.sin(F.radians(theta_deg))
+
+
+def steepest_fall(dx: Column, dy: Column) -> Column:
+    """Azimuth in degrees, clockwise from north, in which a surface with these gradients falls most."""
+    return F.pmod(F.degrees(F.atan2(-dx, -dy)), F.lit(360.0))
+
+
+def backoff(attempt: Column, most: float = 60.0) -> Column:
+    """Seconds before a further try: doubled each time up to ``most``."""
+    return F.least(F.lit(most), F.pow(F.lit(2.0), attempt))
+
+
+def headroom(limit: Column, queued: Column, margin: float, most: int | None = None) -> Column:
+    """Free places of a queue under a margin, never below zero."""
+    free = F.greatest(F.floor(limit * margin) - queued, F.lit(0))
+    return free if most is None else F.least(free, F.lit(most))
+
+
+def tone(ndvi: Column, lswi: Column, low: Column, high: Column) -> Column:
+    """Water, green or empty: below zero or wetter than green, else by the middle of the cell's own range."""
+    return F.when((ndvi < 0) | (lswi > ndvi), "water").when(ndvi >= (low + high) / 2, "green").when(ndvi.isNotNull(), "empty")

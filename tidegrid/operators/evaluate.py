@@ -84,3 +84,127 @@ def cluster(df: DataFrame, vector: str, k: int, seed: int = 0) -> DataFrame:
     got = KMeans(k=k, seed=seed, featuresCol="_x", predictionCol="_c").fit(made).transform(made).drop("_x")
     order = got.groupBy("_c").agg(F.count("*").alias("_n")).withColumn("cluster", F.row_number().over(W.orderBy(F.desc("_n"), "_c")) - 1)
     return got.join(F.broadcast(order.select("_c", "cluster")), "_c").drop("_c")
+
+
+def first_able(df: DataFrame, models: list[tuple[str, list[str], Column]]) -> Column:
+    """Name and prediction of the first model whose inputs are all known: models are (name, inputs, prediction)."""
+    from ..functions.columns import finite
+
+    out = None
+    for name, inputs, value in models:
+        able, got = finite(*[F.col(c).cast("double") for c in inputs]), F.struct(F.lit(name).alias("model"), value.cast("double").alias("prediction"))
+        out = F.when(able, got) if out is None else out.when(able, got)
+    return out.otherwise(F.struct(F.lit(None).cast("string").alias("model"), F.lit(None).cast("double").alias("prediction")))
+
+
+def consensus(df: DataFrame, cluster_column: str, distance: str, maps: list[str], names: dict[int, str], q: float = 0.75) -> DataFrame:
+    """A label only where the cluster's name and all maps agree and the row lies within its cluster's quantile of distances."""
+    edges = df.groupBy(cluster_column).agg(F.percentile(distance, F.lit(q)).alias("_q"))
+    name = F.coalesce(*[F.when(F.col(cluster_column) == c, n) for c, n in names.items()])
+    x = df.join(edges, cluster_column).withColumn("_name", name)
+    agree = F.col(distance) <= F.col("_q")
+    for m in maps:
+        agree = agree & (F.col(m) == F.col("_name"))
+    return x.withColumn("label", F.when(F.coalesce(agree, F.lit(False)), F.col("_name"))).drop("_q", "_name")
+
+
+def balanced_sample(df: DataFrame, label: str, group: str, key: str, per_class: int, per_group: int, seed: int) -> DataFrame:
+    """At most ``per_group`` rows of a group in a class and ``per_class`` of a class, by a seeded hash of the key."""
+    from .aggregate import seeded_cap
+
+    return seeded_cap(seeded_cap(df, [label, group], key, per_group, seed), [label], key, per_class, seed + 1)
+
+
+def settled_verdicts(reviews: DataFrame, checks: DataFrame, key: str, label: str, order: str) -> DataFrame:
+    """A reviewer's verdict unless a user's check says otherwise: the last check wins, an empty one drops the row, and rows
+    that only users know are added."""
+    last = checks.groupBy(key).agg(F.max_by(F.coalesce(F.col(label), F.lit("")), F.col(order)).alias("_c"))
+    both = reviews.select(key, F.col(label).alias("_r")).join(last, key, "full_outer")
+    out = both.select(key, F.coalesce("_c", "_r").alias(label))
+    return out.where(F.col(label).isNotNull() & (F.col(label) != ""))
+
+
+def rater_agreement(a: DataFrame, b: DataFrame, key: str, label: str, merged: dict[str, str]) -> DataFrame:
+    """Share of rows on which two raters agree, as named and with some names taken together."""
+    joint = lambda c: F.coalesce(*[F.when(c == old, F.lit(new)) for old, new in merged.items()], c)
+    x = a.select(key, F.col(label).alias("_a")).join(b.select(key, F.col(label).alias("_b")), key)
+    return x.agg(F.count("*").alias("n"), F.avg((F.col("_a") == F.col("_b")).cast("int")).alias("exact"), F.avg((joint(F.col("_a")) == joint(F.col("_b"))).cast("int")).alias("merged"))
+
+
+def review_sample(df: DataFrame, key: str, size: str, differ: Column, n: int, seed: int) -> DataFrame:
+    """n rows to look at: the largest ones on which rule sets differ, up to half, and a seeded draw of the rest."""
+    from pyspark.sql import Window as W
+
+    x = df.withColumn("_d", F.coalesce(differ, F.lit(False)))
+    by_size = F.row_number().over(W.partitionBy("_d").orderBy(F.desc(size), key))
+    # The two windows hold one area's fields.
+    first = x.withColumn("_r", by_size).withColumn("picked", F.col("_d") & (F.col("_r") <= n // 2))
+    have = first.where("picked").count()
+    draw = first.where(~F.col("picked")).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n - have)
+    return first.where("picked").unionByName(draw).select(*df.columns, F.when(F.col("picked"), "differ").otherwise("drawn").alias("why"))
+
+
+def best_variant(scores: DataFrame, group: list[str], variant: str, value: str, half: Column, held: Column) -> DataFrame:
+    """The variant best on one half, kept only if it beats the first variant on the held-out half as well."""
+    per = scores.groupBy(*group, variant).agg(F.avg(F.when(half, F.col(value))).alias("_a"), F.avg(F.when(held, F.col(value))).alias("_b"))
+    top = per.groupBy(*group).agg(F.max_by(F.struct(variant, "_b"), F.struct(F.round("_a", 9), -F.xxhash64(variant))).alias("t"), F.min_by("_b", variant).alias("base"), F.min(variant).alias("first"))
+    return top.select(*group, F.when(F.col("t._b") > F.col("base"), F.col(f"t.{variant}")).otherwise(F.col("first")).alias(variant), F.col("base"), F.col("t._b").alias("held"))
+
+
+def random_dates(keys: DataFrame, key: str, n: int, lo: int, hi: int, seed: int) -> DataFrame:
+    """(key, draw, day): seeded random days, for what a statistic is where nothing happened."""
+    x = keys.select(key, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
+    return x.withColumn("day", (F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("draw")), F.lit(hi - lo + 1)) + lo).cast("int"))
+
+
+def small_tree(df: DataFrame, features: list[str], label: str, depth: int = 3):
+    """A decision tree over features whose unknown values take the training median; a pipeline model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import Imputer, VectorAssembler
+
+    filled = [f"_{c}" for c in features]
+    steps = [Imputer(inputCols=features, outputCols=filled, strategy="median"), VectorAssembler(inputCols=filled, outputCol="_x"), DecisionTreeClassifier(featuresCol="_x", labelCol=label, maxDepth=depth, seed=0)]
+    return Pipeline(stages=steps).fit(df)
+
+
+def left_out_accuracy(df: DataFrame, features: list[str], label: str, group: str, groups: list) -> DataFrame:
+    """Accuracy of a small tree on each of a few named groups that it was not trained on."""
+    out = None
+    for g in groups:
+        got = small_tree(df.where(F.col(group) != g), features, label).transform(df.where(F.col(group) == g))
+        own = got.agg(F.lit(g).alias(group), F.avg((F.col("prediction") == F.col(label)).cast("int")).alias("accuracy"), F.count("*").alias("n"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def cluster_scores(df: DataFrame, vector: str, ks: list[int], seed: int = 0) -> DataFrame:
+    """(k, cost, silhouette) of k-means for a few k."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    made = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
+    rows = []
+    for k in ks:
+        model = KMeans(k=k, seed=seed).fit(made)
+        rows.append((k, float(model.summary.trainingCost), float(ClusteringEvaluator().evaluate(model.transform(made)))))
+    return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
+
+
+def tune_forest(df: DataFrame, features: list[str], label: str, group: str, grid: list[dict], folds: int, seed: int, done: DataFrame | None = None) -> DataFrame:
+    """Grouped cross-validation of forests: one row a setting, named by its digest; settings among ``done`` are not run again."""
+    import hashlib
+    import json
+
+    known = {r["spec"] for r in done.select("spec").collect()} if done is not None else set()
+    rows = []
+    for spec in grid:
+        name = hashlib.sha256(json.dumps(spec, sort_keys=True).encode()).hexdigest()[:12]
+        if name in known:
+            continue
+        got = poisson_folds_model(df, features, label, group, folds, spec["trees"], seed)
+        accuracy = got.agg(F.avg((F.col("prediction") == F.col(label)).cast("int"))).first()[0]
+        rows.append((name, json.dumps(spec, sort_keys=True), accuracy))
+    out = df.sparkSession.createDataFrame(rows, "spec string, setting string, accuracy double")
+    return out if done is None else done.unionByName(out)

@@ -12,15 +12,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for each node of the links; the root is the smallest node of its component.
 
     Each round gives a node the smallest of itself and its neighbours, jumps to that one's choice and contracts the
-    links; the links left shrink with every round until none is left, so a long thin component takes few rounds.
+    links; the links left shrink with every round until none is left, so a long thin component takes few rounds.  The
+    rounds' jumps are written and put together at the end.
     """
-    edges = written(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b"), "graph-edges")
-    ends = lambda e: e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    labels = links.select(F.col(a).alias("node")).unionByName(links.select(F.col(b).alias("node"))).distinct().withColumn("root", F.col("node"))
+    edges = written(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), "graph-edges")
+    labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
+    jumps = []
     while not edges.isEmpty():
-        parent = written(ends(edges).groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p")), "graph-parents")
+        ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        parent = ends.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p"))
         jump = written(parent.alias("x").join(parent.alias("y"), F.col("x.p") == F.col("y.u")).select(F.col("x.u").alias("u"), F.col("y.p").alias("p")), "graph-jumps")
-        labels = written(labels.join(jump, F.col("root") == F.col("u"), "left").select("node", F.coalesce("p", "root").alias("root")), "graph-labels")
+        jumps.append(jump)
         moved = edges.join(jump.select(F.col("u").alias("a"), F.col("p").alias("pa")), "a").join(jump.select(F.col("u").alias("b"), F.col("p").alias("pb")), "b")
         edges = written(moved.where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "graph-edges")
-    return labels
+    for jump in jumps:
+        labels = labels.join(jump, F.col("root") == F.col("u"), "left").select("node", F.coalesce("p", "root").alias("root"))
+    return written(labels, "graph-labels")
+
+
+def extend(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links: only the roots that the new links join are contracted."""
+    root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    new = links.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    over = components(new)
+    old = labels.join(over.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+    return written(old.unionByName(over.join(labels.select("node"), "node", "left_anti")), "graph-labels")

@@ -68,3 +68,69 @@ def greedy_batches(df: DataFrame, group: list[str], order: list[str], weight: st
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", batch int"
     return df.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(fold, schema)
+
+
+def replay(lines: DataFrame, snapshot: DataFrame | None, key: str, fields: dict[str, str], text: str = "value", place: str = "seq") -> DataFrame:
+    """A table from its snapshot and the journal written since: each line is a JSON object that changes only the fields it
+    names; a torn line, which is no whole object, is ignored.
+
+    ``place`` orders the lines; the snapshot comes before all of them.
+    """
+    schema = ", ".join([f"{key} string", *(f"{n} {t}" for n, t in fields.items())])
+    whole = F.col(text).rlike(r"^\s*\{.*\}\s*$") & F.try_parse_json(F.col(text)).isNotNull()
+    log = lines.where(whole).select(F.col(place).alias("_at"), F.from_json(text, schema).alias("j")).select("_at", "j.*").where(F.col(key).isNotNull())
+    if snapshot is not None:
+        log = snapshot.select(F.lit(-1).cast("long").alias("_at"), key, *fields).unionByName(log)
+    return latest(log, key, ["_at"], list(fields)).drop("entries")
+
+
+def claim(table: DataFrame, wanted: DataFrame, key: str, state: str, expected: list[str], to: str) -> DataFrame:
+    """Compare and set: (key, granted) for each wanted row; granted where the row is in an expected state. Of several
+    claims of one row the first by ``claimant`` wins."""
+    own = wanted.groupBy(key).agg(F.min("claimant").alias("_first"))
+    got = wanted.join(own, key).join(table.select(key, F.col(state).alias("_s")), key, "left")
+    granted = F.coalesce(F.col("_s").isin(*expected) & (F.col("claimant") == F.col("_first")), F.lit(False))
+    return got.select(key, "claimant", granted.alias("granted"), F.when(granted, F.lit(to)).otherwise(F.col("_s")).alias(state))
+
+
+def work_list(tracks: DataFrame, chunks: DataFrame, uncovered: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
+    """Every track and chunk that is covered and not yet known. Chunks are few (a grid's), so the product is the work itself."""
+    return tracks.crossJoin(F.broadcast(chunks)).join(uncovered, on, "left_anti").join(known, on, "left_anti")
+
+
+def confirm(table: DataFrame, scope: Column, state: str, before: str, after: str) -> DataFrame:
+    """Rows of the scope move on from one state; all others stay."""
+    return table.withColumn(state, F.when(scope & (F.col(state) == before), F.lit(after)).otherwise(F.col(state)))
+
+
+def in_scope(table: DataFrame, state: str, left_out: list[str], parent: str, key: str) -> DataFrame:
+    """Rows that count: none of the states left out, and no row that others name as their parent."""
+    split = table.where(F.col(parent).isNotNull()).select(F.col(parent).alias(key)).distinct()
+    return table.where(~F.col(state).isin(*left_out)).join(split, key, "left_anti")
+
+
+def require_decisions(found: DataFrame, accepted: DataFrame, on: list[str]) -> DataFrame:
+    """The issues, if every one is accepted; otherwise an error that names some."""
+    open_ = found.join(accepted, on, "left_anti").limit(5).collect()
+    if open_:
+        raise ValueError(f"undecided: {[tuple(r[c] for c in on) for r in open_]}")
+    return found
+
+
+def pin(current: DataFrame, wanted: DataFrame, name: str, version: str, replace: bool = False) -> DataFrame:
+    """Pointers (name, version): new names are added; a pinned one moves only with ``replace``."""
+    both = current.select(name, F.col(version).alias("_old")).join(wanted.select(name, F.col(version).alias("_new")), name, "full_outer")
+    return both.select(name, (F.coalesce("_new", "_old") if replace else F.coalesce("_old", "_new")).alias(version))
+
+
+def refuse_new_dates(rows: DataFrame, frozen: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is among the frozen inputs, and those that came later and are left out."""
+    return rows.join(frozen, on, "left_semi"), rows.join(frozen, on, "left_anti")
+
+
+def stage_of(table: DataFrame, steps: list[tuple[str, Column]], done: str) -> DataFrame:
+    """The first step that is not finished names the stage."""
+    out = F.lit(done)
+    for name, finished in reversed(steps):
+        out = F.when(~F.coalesce(finished, F.lit(False)), F.lit(name)).otherwise(out)
+    return table.withColumn("stage", out)

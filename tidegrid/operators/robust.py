@@ -41,18 +41,21 @@ def own_range(df: DataFrame, keys: list[str], order: list[str], value: str, low:
 
 
 def otsu(df: DataFrame, value: str, bins: int = 256, flat_top: bool = True) -> DataFrame:
-    """Otsu's threshold over equal bins: the mean of the best bin centres, or the first; one row, NULL for a constant."""
-    ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    """Otsu's threshold over equal bins; one row, NULL for a constant.
+
+    Two groups far apart give a flat top over the empty bins between them: the middle of it is taken, or its first centre.
+    """
+    ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).where("hi > lo")
     place = F.least(F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)).cast("int")
-    counts = df.select(value).where(F.col(value).isNotNull()).crossJoin(F.broadcast(ends)).where("hi > lo").groupBy(place.alias("bin"), "lo", "hi").agg(F.count("*").alias("n"))
-    centre = F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins
-    # At most ``bins`` rows from here on.
+    counts = df.select(value).where(F.col(value).isNotNull()).crossJoin(F.broadcast(ends)).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
+    # ``bins`` rows from here on.
+    spine = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     up, all_ = W.orderBy("bin"), W.partitionBy()
-    c = counts.withColumn("centre", centre)
+    c = spine.withColumn("centre", F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins)
     c = c.withColumns({"w0": F.sum("n").over(up), "s0": F.sum(F.col("n") * F.col("centre")).over(up), "w": F.sum("n").over(all_), "s": F.sum(F.col("n") * F.col("centre")).over(all_)})
     gap = F.try_divide(F.col("s0"), F.col("w0")) - F.try_divide(F.col("s") - F.col("s0"), F.col("w") - F.col("w0"))
-    c = c.withColumn("between", F.round(F.col("w0") * (F.col("w") - F.col("w0")) * gap * gap, 6)).where("w > w0")
-    best = c.withColumn("top", F.max("between").over(all_)).where("between = top")
+    c = c.withColumn("between", F.col("w0") * (F.col("w") - F.col("w0")) * gap * gap).where((F.col("w") > F.col("w0")) & (F.col("bin") < bins - 1))
+    best = c.withColumn("top", F.max("between").over(all_)).where(F.col("between") >= F.col("top") * (1 - 1e-9))
     return best.agg((F.avg("centre") if flat_top else F.min("centre")).alias("threshold"))
 
 

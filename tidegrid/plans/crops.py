@@ -189,9 +189,9 @@ def scoreless_scenes(spark, d):
     return masks.scoreless_dates(_bands(spark, d), ["cell", "scene"], "score", F.col("data"))
 
 
-@query("""WITH x AS (SELECT user_id AS k, value AS x FROM events WHERE value > 0), lim AS (SELECT min(x) AS lo, max(x) AS hi FROM x), h AS (SELECT least(floor((x - lo) / (hi - lo) * 256), 255)::INT AS bin, count(*) AS n, any_value(lo) AS lo, any_value(hi) AS hi FROM x, lim GROUP BY 1),
+@query("""WITH x AS (SELECT user_id AS k, value AS x FROM events WHERE value > 0), lim AS (SELECT min(x) AS lo, max(x) AS hi FROM x), h0 AS (SELECT least(floor((x - lo) / (hi - lo) * 256), 255)::INT AS bin, count(*) AS n FROM x, lim GROUP BY 1), h AS (SELECT b.bin, coalesce(n, 0) AS n, lo, hi FROM (SELECT unnest(range(0, 256)) AS bin) b LEFT JOIN h0 USING (bin), lim),
 c AS (SELECT *, lo + (bin + 0.5) * (hi - lo) / 256 AS centre FROM h), w AS (SELECT *, sum(n) OVER u AS w0, sum(n * centre) OVER u AS s0, sum(n) OVER () AS w, sum(n * centre) OVER () AS s FROM c WINDOW u AS (ORDER BY bin)),
-g AS (SELECT centre, round(w0 * (w - w0) * (s0 / w0 - (s - s0) / (w - w0)) * (s0 / w0 - (s - s0) / (w - w0)), 6) AS between_ FROM w WHERE w > w0), sp AS (SELECT avg(centre) AS t FROM g WHERE between_ = (SELECT max(between_) FROM g)),
+g AS (SELECT centre, w0 * (w - w0) * (s0 / w0 - (s - s0) / (w - w0)) * (s0 / w0 - (s - s0) / (w - w0)) AS between_ FROM w WHERE w > w0 AND bin < 255), sp AS (SELECT avg(centre) AS t FROM g WHERE between_ >= (SELECT max(between_) FROM g) * (1 - 1e-9)),
 up AS (SELECT k, x FROM x, sp WHERE x >= t), lv AS (SELECT k, quantile_cont(x, 0.5) AS level FROM up GROUP BY k), ow AS (SELECT k, any_value(level) AS level, 1.4826 * quantile_cont(abs(x - level), 0.5) AS own FROM up JOIN lv USING (k) GROUP BY k),
 ar AS (SELECT 1.4826 * quantile_cont(abs(x - (SELECT quantile_cont(x, 0.5) FROM up)), 0.5) AS area FROM up)
 SELECT e.k, round(coalesce(level - 2 * sqrt(own ** 2 + coalesce(area, 0) ** 2), t), 4) AS limit_ FROM (SELECT DISTINCT user_id AS k FROM events) e LEFT JOIN ow USING (k), sp, ar""")

@@ -19,11 +19,11 @@ def r(col, n=4):
 
 
 @query("""WITH e AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer),
-b AS (SELECT least(floor((c_acctbal - lo) / (hi - lo) * 64), 63)::INT AS bin, lo, hi, count(*) AS n FROM customer, e GROUP BY ALL),
+b0 AS (SELECT least(floor((c_acctbal - lo) / (hi - lo) * 64), 63)::INT AS bin, count(*) AS n FROM customer, e GROUP BY 1), b AS (SELECT x.bin, coalesce(n, 0) AS n, lo, hi FROM (SELECT unnest(range(0, 64)) AS bin) x LEFT JOIN b0 USING (bin), e),
 c AS (SELECT *, lo + (bin + 0.5) * (hi - lo) / 64 AS centre FROM b),
 d AS (SELECT *, sum(n) OVER (ORDER BY bin) AS w0, sum(n * centre) OVER (ORDER BY bin) AS s0, sum(n) OVER () AS w, sum(n * centre) OVER () AS s FROM c),
-f AS (SELECT *, round(w0 * (w - w0) * power(s0 / w0 - (s - s0) / nullif(w - w0, 0), 2), 6) AS between_ FROM d WHERE w > w0)
-SELECT round(avg(centre), 4) AS threshold FROM f WHERE between_ = (SELECT max(between_) FROM f)""")
+f AS (SELECT *, w0 * (w - w0) * power(s0 / w0 - (s - s0) / nullif(w - w0, 0), 2) AS between_ FROM d WHERE w > w0 AND bin < 63)
+SELECT round(avg(centre), 4) AS threshold FROM f WHERE between_ >= (SELECT max(between_) FROM f) * (1 - 1e-9)""")
 def otsu_split(spark, d):
     return robust.otsu(table(spark, d, "customer"), "c_acctbal", 64).select(r("threshold").alias("threshold"))
 
