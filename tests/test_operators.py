@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.functions import columns as c
-from tidegrid.operators import aggregate, classes, evaluate, events, geometry, graph, grid, joins, lifecycle, masks, reports, robust, rules, shapes, smooth, temporal
-from tidegrid.sources import tables
+from tidegrid.operators import aggregate, classes, evaluate, events, geometry, graph, grid, joins, lifecycle, masks, reports, robust, rules, season, shapes, smooth, temporal
+from tidegrid.sources import scans, tables
 
 
 def test_composite_takes_clear_maximum_and_its_row(spark):
@@ -469,3 +469,40 @@ def test_forest_settings_are_not_run_twice(spark):
     first = evaluate.tune_forest(df, ["a", "b"], "y", "g", [{"trees": 3}], 2, 1)
     again = evaluate.tune_forest(df, ["a", "b"], "y", "g", [{"trees": 3}, {"trees": 5}], 2, 1, done=first)
     assert again.count() == 2 and first.first().accuracy > 0.8
+
+
+def test_field_status_of_curves(spark):
+    days = [float(10 * i) for i in range(12)]
+    curves = {
+        "standing": [0.1, 0.1, 0.2, 0.5, 0.7, 0.8, 0.8, 0.8, 0.79, 0.8, 0.78, 0.79],
+        "harvested": [0.1, 0.1, 0.2, 0.5, 0.7, 0.8, 0.8, 0.78, 0.75, 0.3, 0.25, 0.25],
+        "just cut": [0.1, 0.1, 0.2, 0.5, 0.7, 0.8, 0.8, 0.8, 0.79, 0.8, 0.78, 0.3],
+        "short": [0.1, 0.5],
+    }
+    df = spark.createDataFrame([(n, days[: len(v)], v) for n, v in curves.items()], "n string, d array<double>, v array<double>")
+    got = {r.n: r.s for r in df.select("n", season.field_status(F.col("d"), F.col("v")).alias("s")).collect()}
+    assert [got[n].status for n in curves] == ["standing", "harvested", "harvested", "no data"]
+    assert (got["harvested"].cut_from, got["harvested"].cut_to) == (80.0, 90.0) and got["just cut"].cut_to == 110.0
+
+
+def test_peers_must_be_enough(spark):
+    df = spark.createDataFrame([(i, float(i)) for i in range(10)], "k int, v double").withColumn("noise", F.lit(0.0))
+    few = season.beside_peers(df, "v", "noise", season.peer_level(df, "v", F.col("k") < 5, 50))
+    assert few.where("reaches or above is not null").count() == 0 and few.count() == 10
+    enough = {r.k: r.reaches for r in season.beside_peers(df, "v", "noise", season.peer_level(df, "v", F.lit(True), 5)).collect()}
+    assert enough[9] and enough[4] and not season.beside_peers(df.limit(1).withColumn("v", F.lit(-99.0)), "v", "noise", season.peer_level(df, "v", F.lit(True), 5)).first().reaches
+
+
+def test_metadata_must_be_whole(spark):
+    lines = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": 2}',)], "value string")
+    assert scans.checked_metadata(lines, "a int, b string", ["a"]).count() == 2
+    with pytest.raises(ValueError, match='"a": 2'):
+        scans.checked_metadata(lines, "a int, b string", ["a", "b"])
+    assert scans.same_grid({"w": 1, "h": 2}, {"w": 1, "h": 3}) == "h: 2 and 3" and scans.same_grid({"w": 1}, {"w": 1}) is None
+
+
+def test_a_table_is_written_whole(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    scans.write_whole(spark.range(5), path)
+    scans.write_whole(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7 and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t"]
