@@ -280,6 +280,14 @@ def test_substring_dedup_of_very_long_texts(spark):
     assert [got[i] for i in range(len(texts))] == removed(texts, 35)
 
 
+def test_least_values_of_windows():
+    rng = np.random.default_rng(4)
+    for n, wide, top in ((30, 30, 9), (31, 30, 9), (200, 7, 4), (95, 30, 2**62), (60, 1, 5)):
+        v = rng.integers(0, top, n).astype(np.uint64)
+        seen = np.lib.stride_tricks.sliding_window_view(v, wide)[:, ::-1]
+        assert (op2.rightmost_least(v, wide) == np.arange(len(seen)) + wide - 1 - seen.argmin(axis=1)).all()
+
+
 def test_substring_dedup_of_nothing(empty):
     assert op2.dedup(empty).count() == 0
 
@@ -780,8 +788,9 @@ def test_squeezed_keys_come_back():
     keys = np.unique(np.random.default_rng(3).integers(0, 2**63, 500, dtype=np.uint64))
     at = op10_language_model.slices(keys, 3)
     for a, z in zip(at, at[1:], strict=False):
-        low = (keys[a:z] << np.uint64(3)) >> np.uint64(24)
-        assert (op10_language_model.stretch(op10_language_model.squeeze(keys[a:z], 3, 5), 5) == low).all()
+        for kept in (36, 64):
+            low = (keys[a:z] << np.uint64(3)) >> np.uint64(64 - kept)
+            assert (op10_language_model.stretch(op10_language_model.squeeze(keys[a:z], 3, kept), kept) == low).all()
 
 
 def test_packing():
@@ -809,6 +818,49 @@ def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontaminate", "mixing", "sharding"]
 
 
+def test_pipeline_stages_against_brute_force(spark):
+    """Each stage on what the one before kept, held against a plain version of its rule."""
+    import corpus_pipeline
+
+    d = "/root/testdata/sf0.001"
+    stages = dict(corpus_pipeline.STAGES)
+    docs = common.table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    lex, beta = op1_toxicity.fit(op1_toxicity.labelled_train(docs, common.table(spark, d, "labels"), "toxic"))
+    machine = op1_toxicity.grammar()
+    mild = {r.doc_id for r in docs.collect() if beta[0] + sum(b * x for b, x in zip(beta[1:], op1_toxicity.text_features(r.text, lex, machine), strict=True)) < 0}
+    one = stages["toxicity"](spark, docs, d)
+    assert {r.doc_id for r in one.collect()} == mild
+    two = stages["near_dedup"](spark, one, d)
+    rows = [(r.doc_id, r.text) for r in one.collect()]
+    assert sorted(r.doc_id for r in two.collect()) == sorted(k for k, _, c in components(rows) if k == c)
+    three = stages["decontaminate"](spark, two, d)
+    items = [r.text for r in common.table(spark, d, "benchmark").collect() if toks(r.text)]
+    assert {r.doc_id for r in three.collect()} == {r.doc_id for r in two.collect() if not any(leaks(r.text, q) for q in items)}
+    four = stages["mixing"](spark, three, d)
+    rates = {r.doc_id: (r.copies, r.rate) for r in op5_mixing.mix(three, common.table(spark, d, "labels").where(common.fold(F.col("doc_id")) != 0)).select("row.doc_id", "copies", "rate").collect()}
+    assert Counter(r.doc_id for r in four.collect()) == Counter({k: c for k, (c, _) in rates.items() if c}) and all(c in (math.floor(x), math.floor(x) + 1) for c, x in rates.values())
+    five = stages["sharding"](spark, four, d).collect()
+    assert Counter(r.doc_id for r in five) == Counter(r.doc_id for r in four.collect())
+    for s in range(8):
+        assert sorted(r.slot for r in five if r.shard_no == s) == list(range(sum(r.shard_no == s for r in five)))
+
+
+def test_pipeline_stages_take_nothing_and_clashing_names(spark):
+    import corpus_pipeline
+
+    d = "/root/testdata/sf0.001"
+    extra = ("slot", "shard_no", "shard", "row", "id", "tie", "p", "rate", "copies", "n_items", "items", "draw", "tokens", "key", "k", "t", "_uid", "_n")
+    docs = common.table(spark, d, "documents").limit(30).withColumns({c: F.lit(7) for c in extra})
+    odd = spark.createDataFrame([(None, None, None, None, None, *[7] * len(extra)), (900001, "", "en", "s", 0, *[7] * len(extra)), (900001, "", "en", "s", 0, *[7] * len(extra))], docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), d).count() == 0
+        out = stage(spark, docs.unionByName(odd), d)
+        assert out.columns[: len(docs.columns)] == docs.columns and out.where("doc_id is null").count() == 1
+        assert out.where("doc_id = 900001").count() in ((1,) if name == "near_dedup" else (0, 2) if name == "mixing" else (2,))
+        if name == "sharding":
+            assert out.columns[len(docs.columns) :] == ["_shard_no", "_slot"] and {r.slot for r in out.collect()} == {7}
+
+
 def test_digest_of_kept_words(spark):
     d = spark.createDataFrame([(1, "a  b\nc")], "doc_id long, text string")
     r = op2.dedup(d, with_text=False).first()
