@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,3 +32,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of plans whose tables are written.
+
+    Spark drops the exchanges of a plan when its driver's garbage is collected, which a driver with room to spare may put
+    off for long; the shuffle files stay on every executor until then, and the driver keeps the plans.  Jobs of many steps
+    call this between them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
