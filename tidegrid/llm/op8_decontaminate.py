@@ -29,6 +29,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.sources.scratch import release
+
 from .common import let, materialise, row_id, table, words
 
 SHINGLE = 5
@@ -49,11 +51,6 @@ def _shingles(text: Column) -> Column:
     return let(F.transform(words(F.lower(text)), lambda w: F.xxhash64(w)), of)
 
 
-def _long(x: int) -> Column:
-    """The signed 64-bit number with the bits of ``x``."""
-    return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
-
-
 def fingerprints(rows: DataFrame, by: list[str], shingle: str) -> DataFrame:
     """``by`` and the SimHash (``lo``, ``hi``) of each group's shingles, one row for each occurrence.
 
@@ -62,33 +59,38 @@ def fingerprints(rows: DataFrame, by: list[str], shingle: str) -> DataFrame:
     halves = {"lo": F.col(shingle), "hi": F.xxhash64(F.lit(1), F.col(shingle))}
     sums = [F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(LANE))).alias(f"{name}{j}") for name, h in halves.items() for j in range(32)]
     counted = rows.select(*by, shingle).groupBy(*by).agg(F.count("*").alias("votes"), *sums)
+    bit = lambda count, at: F.call_function("shiftleft", F.when(2 * count > F.col("votes"), F.lit(1)).otherwise(F.lit(0)).cast("long"), at)
 
     def bits(name: str) -> Column:
-        out = F.lit(0).cast("long")
-        for j in range(32):
-            c = F.col(f"{name}{j}")
-            for part, at in ((c.bitwiseAND(F.lit((1 << 32) - 1)), j), (F.shiftrightunsigned(c, 32), j + 32)):
-                out = out.bitwiseOR(F.when(2 * part > F.col("votes"), _long(1 << at)).otherwise(F.lit(0).cast("long")))
-        return out
+        pairs = F.transform(F.array(*[F.col(f"{name}{j}") for j in range(32)]), lambda c, j: bit(c.bitwiseAND(F.lit((1 << 32) - 1)), j).bitwiseOR(bit(F.shiftrightunsigned(c, 32), j + 32)))
+        return F.aggregate(pairs, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
 
     return counted.select(*by, bits("lo").alias("lo"), bits("hi").alias("hi"))
 
 
-def _blocks(flips: int) -> Column:
-    """(block, value) of a fingerprint; with ``flips``, also every value of a block within so many bits."""
+def _edges(block: int) -> tuple[str, int, int]:
+    """Which half a block lies in, and its first and end bit there."""
     half = BLOCKS // 2
-    out = []
+    name, at = ("lo", block) if block < half else ("hi", block - half)
+    return name, round(at * 64 / half), round((at + 1) * 64 / half)
+
+
+def _blocks(prints: DataFrame) -> DataFrame:
+    """Fingerprints with (block, value), a row for each block."""
+    parts = []
     for i in range(BLOCKS):
-        name, at = ("lo", i) if i < half else ("hi", i - half)
-        a, b = round(at * 64 / half), round((at + 1) * 64 / half)
-        value = F.shiftrightunsigned(F.col(name), a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long"))
-        masks = [sum(1 << x for x in c) for k in range(flips + 1) for c in combinations(range(b - a), k)]
-        out.append(_within(F.lit(i), value, masks))
-    return F.concat(*out)
+        name, a, b = _edges(i)
+        parts.append(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.col(name), a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long")).alias("value")))
+    return prints.select("*", F.inline(F.array(*parts)))
 
 
-def _within(block: Column, value: Column, masks: list[int]) -> Column:
-    return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: F.struct(block.alias("block"), value.bitwiseXOR(m).alias("value")))
+def _masks(spark: SparkSession) -> DataFrame:
+    """(block, mask): all changes of at most ``FLIPS`` bits of each block, a table of fixed size."""
+    rows = []
+    for i in range(BLOCKS):
+        _, a, b = _edges(i)
+        rows += [(i, sum(1 << x for x in c)) for k in range(FLIPS + 1) for c in combinations(range(b - a), k)]
+    return spark.createDataFrame(rows, "block int, mask long")
 
 
 def item_table(benchmark: DataFrame, item: str, item_text: str) -> DataFrame:
@@ -122,11 +124,13 @@ def candidate_windows(docs: DataFrame, items: DataFrame, key: str, text: str) ->
 def nearby(windows: DataFrame, items: DataFrame) -> DataFrame:
     """(m, w1, w2, iid): distinct windows and items whose fingerprints lie within the radius, found block by block."""
     key = ["m", "w1", "w2"]
-    left = fingerprints(windows.select(*key, F.explode("s").alias("sh")), key, "sh").select("*", F.inline(_blocks(0)))
-    goals = fingerprints(items.select("iid", "m", F.explode("s").alias("sh")), ["iid", "m"], "sh")
-    right = goals.select("iid", "m", F.col("lo").alias("glo"), F.col("hi").alias("ghi"), F.inline(_blocks(FLIPS)))
+    left = _blocks(fingerprints(windows.select(*key, F.explode("s").alias("sh")), key, "sh"))
+    goals = _blocks(fingerprints(items.select("iid", "m", F.explode("s").alias("sh")), ["iid", "m"], "sh"))
+    near = goals.join(F.broadcast(_masks(windows.sparkSession)), "block")
+    right = near.select("iid", "m", "block", F.col("value").bitwiseXOR(F.col("mask")).alias("value"), F.col("lo").alias("glo"), F.col("hi").alias("ghi"))
     apart = F.bit_count(F.col("lo").bitwiseXOR(F.col("glo"))) + F.bit_count(F.col("hi").bitwiseXOR(F.col("ghi")))
-    return left.join(right, ["m", "block", "value"]).where(apart <= RADIUS).select(*key, "iid").distinct()
+    # The items' entries grow with the benchmark, so they are dealt out and never sent to every executor.
+    return left.join(right.hint("merge"), ["m", "block", "value"]).where(apart <= RADIUS).select(*key, "iid").distinct()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -137,6 +141,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     wkey = ["m", "w1", "w2"]
     # The same passage in many documents is fingerprinted and verified once.
     distinct = materialise(windows.groupBy(*wkey).agg(F.first("s").alias("s")), "op8-distinct")
+    release(docs.sparkSession)
     near = nearby(distinct, items)
 
     # Exact: sum of the lesser weights over sum of the greater ones.
