@@ -36,7 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.operators.graph import components
+from tidegrid.operators.graph import components, extend
+from tidegrid.sources.scratch import release
 
 from .common import ascii_lower, materialise, mix64, ngram_hashes, pack, row_id, table, unpack, word_hashes
 
@@ -316,6 +317,7 @@ def near_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     pairs = materialise(both.groupBy("a", "b").agg(F.count("*").alias("votes")), "op4-pairs")
     crowd = materialise(edge.join(counts.where(F.col("m") > FEW).select("tree", "prefix"), ["tree", "prefix"]), "op4-crowd")
 
+    release(docs.sparkSession)
     # Shingle sets of the classes that have any partner or stand in a crowded region.  The list of those grows with the input, so the texts are always
     # dealt out by id and never met by a broadcast of a list that happens to be short.
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(crowd.select("node")).distinct()
@@ -329,21 +331,26 @@ def near_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     first = materialise(confirmed(best, sets), "op4-links")
     joined = components(first)
 
+    release(docs.sparkSession)
     # Round two: every other pair that these links don't join already.
     label = lambda c: joined.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
     rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
     rest = rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-    links = materialise(first.unionByName(confirmed(rest, sets)), "op4-links")
-    labels = components(links)
+    second = materialise(confirmed(rest, sets), "op4-links")
+    links, labels = first, joined
+    if not second.isEmpty():
+        links, labels = first.unionByName(second), extend(joined, second)
 
+    release(docs.sparkSession)
     # Round three: what is in different components of a crowded region, first with its hub, then all of it.
     hubbed = against_hubs(crowd, links, labels, sets)
     if not hubbed.isEmpty():
-        links = links.unionByName(hubbed)
-        labels = components(links)
+        labels = extend(labels, hubbed)
+    release(docs.sparkSession)
     found = materialise(against_all(crowd, labels, sets), "op4-block-links")
     if not found.isEmpty():
-        labels = components(links.unionByName(found))
+        labels = extend(labels, found)
+    release(docs.sparkSession)
 
     rooted = classes.select("set_id", "node", "k").join(labels, "node", "left").select("set_id", "k", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("k").alias("component_id"))
