@@ -506,3 +506,32 @@ def test_a_table_is_written_whole(spark, tmp_path):
     scans.write_whole(spark.range(5), path)
     scans.write_whole(spark.range(7), path)
     assert spark.read.parquet(path).count() == 7 and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t"]
+
+
+def test_peaks_by_prominence():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        y = rng.permutation(18) / 18
+        want = []
+        for i in range(1, 17):
+            if not (y[i - 1] < y[i] > y[i + 1]):
+                continue
+            left = next((j for j in range(i - 1, -1, -1) if y[j] > y[i]), 0)
+            right = next((j for j in range(i + 1, 18) if y[j] > y[i]), 17)
+            if y[i] - max(y[left : i + 1].min(), y[i : right + 1].min()) >= 0.3:
+                want.append(i)
+        assert [p for p in smooth.prominent_peaks(y, 0.3) if p < 17] == want
+    assert smooth.prominent_peaks(np.array([0.0, 1.0, 1.0, 1.0, 0.0, 0.5]), 0.4) == [2, 5]
+    assert smooth.shoulder(np.array([0.5, 0.1, 0.11, 0.4, 0.9]), 0, 4, True) == 2 and smooth.shoulder(np.array([0.5, 0.1, 0.11, 0.4, 0.9]), 0, 4, False) == 1
+
+
+def test_scans_and_sinks(spark, tmp_path):
+    old, new = spark.createDataFrame([(1, "a")], "k int, s string"), spark.createDataFrame([(2, 0.5)], "k int, v double")
+    got = tables.union_by_name({"old": old, "new": new}).orderBy("k").collect()
+    assert [(r.k, r.s, r.v, r.source) for r in got] == [(1, "a", None, "old"), (2, None, 0.5, "new")]
+    path = f"file://{tmp_path}/w"
+    tables.write_partitioned(spark.range(20).withColumn("g", F.col("id") % 3), path, "g")
+    assert sorted(p.name for p in (tmp_path / "w").glob("g=*")) == ["g=0", "g=1", "g=2"] and spark.read.parquet(path).count() == 20
+    (tmp_path / "x.csv").write_text("k,s\n1,a\n2,\n")
+    rows = tables.scan_with_schema(spark, f"file://{tmp_path}/x.csv", "k int, s string").orderBy("k").collect()
+    assert [(r.k, r.s) for r in rows] == [(1, "a"), (2, None)]

@@ -160,3 +160,35 @@ def judge_shapes(shapes: DataFrame, reference: DataFrame, noise: float, k: float
     out = x.groupBy(key).agg(F.sqrt(F.avg(F.pow("_z", 2))).alias("gap"), F.max("step").alias("age"))
     verdict = F.when(F.col("age") > oldest, "too old").when(F.col("age") < half_rise, "undecided").when(F.col("gap") <= k, "alike").when(F.col("gap").isNotNull(), "unlike").otherwise("none")
     return out.withColumn("verdict", verdict)
+
+
+def share_around(cells: DataFrame, label: str, value, half: int) -> DataFrame:
+    """Share of the known cells in the box around each cell that are of one class."""
+    from .grid import spread
+
+    flagged = cells.withColumn("_is", (F.col(label) == value).cast("int"))
+    got = spread(flagged, [], half, "_is").groupBy("row", "col").agg(F.avg("n__is").alias("share"))
+    return cells.join(got, ["row", "col"]).select("row", "col", label, "share")
+
+
+def region_blocks(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
+    """Square blocks with the rows in them and the box that these fill."""
+    return df.groupBy(F.floor(F.col(x) / size).alias("bx"), F.floor(F.col(y) / size).alias("by")).agg(F.count("*").alias("n"), F.min(x).alias("xmin"), F.max(x).alias("xmax"), F.min(y).alias("ymin"), F.max(y).alias("ymax"))
+
+
+def flagged_shapes(cells: DataFrame, shape: str, flag: Column, share: float) -> DataFrame:
+    """Shapes of whose cells at least that share is flagged."""
+    return cells.groupBy(shape).agg(F.avg(F.coalesce(flag, F.lit(False)).cast("int")).alias("share"), F.count("*").alias("cells")).where(F.col("share") >= share)
+
+
+def too_young(fields: DataFrame, mode: str, limit: float) -> Column:
+    """Fields that are too young to deliver, by one of three readings: open water on the newest clear date, a small dry
+    share, or open water on half of the field or within so many days."""
+    c = F.col
+    if mode == "water":
+        return F.coalesce(c("ndwi") > 0, F.lit(False))
+    if mode == "dry":
+        return F.coalesce(c("dry_share") < limit, F.lit(False))
+    if mode == "days":
+        return F.coalesce(c("open_share") >= 0.5, F.lit(False)) | F.coalesce(c("days_since_open") <= limit, F.lit(False))
+    raise ValueError(f"no such reading: {mode}")

@@ -70,6 +70,13 @@ def kmeans_curves(spark, d):
     return evaluate.cluster(table(spark, d, "embeddings"), "embedding", 5).groupBy("cluster").agg(F.count("*").alias("n"))
 
 
+@query()
+def curve_segments(spark, d):
+    """Peaks of each smoothed series by prominence, each with the floor before it; held against brute force in the tests."""
+    fit = _daily(spark, d).select("k", smooth.whittaker(F.col("y"), 5.0).alias("z"))
+    return fit.select("k", F.explode(smooth.segments(F.col("z"), 0.3, 0.1)).alias("c")).select("k", "c.start", "c.peak", r("c.rise").alias("rise"))
+
+
 CELLS = "cells AS (SELECT (o_orderkey // 100)::INT AS \"row\", (o_orderkey % 100)::INT AS col, o_totalprice AS v, CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS cls FROM orders)"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import reports
 from ..sources import scans
 from ..sources.scratch import scratch_path
 from ..sources.tables import table
@@ -68,3 +69,50 @@ def checked_metadata(spark, d):
     e = table(spark, d, "events").select(F.to_json(F.struct("user_id", F.get_json_object("props", "$.k").cast("long").alias("k"))).alias("value"))
     got = scans.checked_metadata(e, "user_id long, k long", ["user_id", "k"])
     return got.groupBy(F.col("user_id").alias("k")).agg(F.count("*").alias("n"), F.sum(F.col("k")).alias("total"))
+
+
+GRID = "g AS (SELECT (o_orderkey // 100)::INT AS \"row\", (o_orderkey % 100)::INT AS col, CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS cls, o_totalprice AS v, o_custkey FROM orders)"
+
+
+def _grid(spark, d):
+    o = table(spark, d, "orders")
+    return o.select(F.floor(F.col("o_orderkey") / 100).cast("int").alias("row"), (F.col("o_orderkey") % 100).cast("int").alias("col"), F.when(F.col("o_totalprice") > 150000, 1).otherwise(0).alias("cls"), F.col("o_totalprice").alias("v"), "o_custkey")
+
+
+@query(f"""WITH {GRID} SELECT a."row", a.col, any_value(a.cls) AS cls, round(avg(b.cls), 6) AS share FROM g a CROSS JOIN (SELECT unnest(range(-4, 5)) AS dr) CROSS JOIN (SELECT unnest(range(-4, 5)) AS dc) JOIN g b ON b."row" = a."row" + dr AND b.col = a.col + dc GROUP BY a."row", a.col""")
+def class_context(spark, d):
+    """Share of class 1 in the nine by nine cells around each cell."""
+    return reports.share_around(_grid(spark, d).select("row", "col", "cls"), "cls", 1, 4).withColumn("share", r("share", 6))
+
+
+@query(f"""WITH {GRID} SELECT col // 16 AS bx, "row" // 16 AS by, count(*) AS n, min(col) AS xmin, max(col) AS xmax, min("row") AS ymin, max("row") AS ymax FROM g GROUP BY 1, 2""")
+def region_blocks(spark, d):
+    return reports.region_blocks(_grid(spark, d), "col", "row", 16)
+
+
+@query(f"""WITH {GRID} SELECT o_custkey, round(avg((v < 60000)::INT), 6) AS share, count(*) AS cells FROM g GROUP BY 1 HAVING avg((v < 60000)::INT) >= 0.3""")
+def flagged_ponds(spark, d):
+    """Shapes of which a share of the cells is water."""
+    return reports.flagged_shapes(_grid(spark, d), "o_custkey", F.col("v") < 60000, 0.3).withColumn("share", r("share", 6))
+
+
+@query("""WITH f AS (SELECT o_custkey AS k, arg_max(o_totalprice, [epoch(o_orderdate), o_orderkey]) / 100000 - 2 AS ndwi, avg((o_orderstatus = 'O')::INT) AS dry_share, avg((o_totalprice < 100000)::INT) AS open_share, date_diff('day', max(o_orderdate) FILTER (o_totalprice < 50000)::DATE, DATE '2002-01-01') AS ds FROM orders GROUP BY 1)
+SELECT k, coalesce(ndwi > 0, false) AS water, coalesce(dry_share < 0.3, false) AS dry, coalesce(open_share >= 0.5, false) OR coalesce(ds <= 600, false) AS days FROM f""")
+def too_young_fields(spark, d):
+    """Fields too young to deliver, by each of the three readings."""
+    o = table(spark, d, "orders")
+    newest = F.max_by("o_totalprice", F.struct("o_orderdate", "o_orderkey"))
+    f = o.groupBy(F.col("o_custkey").alias("k")).agg((newest / 100000 - 2).alias("ndwi"), F.avg((F.col("o_orderstatus") == "O").cast("int")).alias("dry_share"), F.avg((F.col("o_totalprice") < 100000).cast("int")).alias("open_share"), F.max(F.when(F.col("o_totalprice") < 50000, F.col("o_orderdate"))).alias("open"))
+    f = f.withColumn("days_since_open", F.datediff(F.lit("2002-01-01").cast("date"), F.to_date("open")))
+    return f.select("k", reports.too_young(f, "water", 0).alias("water"), reports.too_young(f, "dry", 0.3).alias("dry"), reports.too_young(f, "days", 600).alias("days"))
+
+
+@query("SELECT event_id, (ceil(event_id / 5.0) - floor((event_id - 24) / 5.0))::INT AS images, substr(regexp_replace(event_type || ' ' || props, '[^A-Za-z0-9_.,:;-]', '_', 'g'), 1, 8) AS name FROM events")
+def image_counts(spark, d):
+    """Images that overlap the day before, and names of allowed characters."""
+    from ..functions import columns as c
+
+    e = table(spark, d, "events")
+    text = F.concat_ws(" ", "event_type", "props")
+    name = c.short_name(F.concat(text, F.lit(" "), F.repeat(F.lit("x"), 30)), 30)
+    return e.select("event_id", c.steps_touched(F.col("event_id"), 24, 5.0).alias("images"), F.substring(name, 1, 8).alias("name"))
