@@ -80,10 +80,21 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
+#: Powers up to this many are kept; longer texts make their own.
+_KEPT = 1 << 20
+_kept_powers: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """1, base, base squared, … : n of them; not to be written to."""
+    have = _kept_powers.get(int(base))
+    if have is None or len(have) < n:
+        out = np.full(max(n, min(_KEPT, 2 * n, 1 << 16)), base, np.uint64)
+        out[:1] = 1
+        have = np.multiply.accumulate(out)
+        if n <= _KEPT:
+            _kept_powers[int(base)] = have
+    return have[:n]
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -51,21 +51,67 @@ def range_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix64((sums[end] - sums[start]) * _powers(_BASE_INV, len(h))[start] + (end - start).astype(np.uint64))
 
 
-def owned_pieces(h: np.ndarray, window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, ...]:
-    """(owner, piece, start, number of windows) of a text's pieces, from its word hashes."""
+def rightmost_least(values: np.ndarray, wide: int) -> np.ndarray:
+    """Place of the least value, the last of equal ones, in each window of ``wide`` values.
+
+    In blocks as long as a window, every window is the end of one block and the beginning of the next: running minima from
+    either side of the blocks give it in a few passes, whatever the width.
+    """
+    n = len(values)
+    rows = -(-n // wide)
+    v = np.full(rows * wide, np.uint64(2**64 - 1))
+    v[:n] = values
+    v, at = v.reshape(rows, wide), np.arange(rows * wide).reshape(rows, wide)
+    low = np.minimum.accumulate(v, axis=1)
+    low_at = np.maximum.accumulate(np.where(v == low, at, 0), axis=1)
+    back = np.minimum.accumulate(v[:, ::-1], axis=1)
+    first = np.ones(v.shape, bool)
+    first[:, 1:] = back[:, 1:] < back[:, :-1]
+    back_at = np.minimum.accumulate(np.where(first, at[:, ::-1], rows * wide), axis=1)[:, ::-1].ravel()
+    back, low, low_at = back[:, ::-1].ravel(), low.ravel(), low_at.ravel()
+    starts = np.arange(n - wide + 1)
+    ends = starts + wide - 1
+    return np.where(low[ends] <= back[starts], low_at[ends], back_at[starts])
+
+
+def owned_pieces(texts: list[bytes], window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, ...]:
+    """(owner, piece, text, start, number of windows) of the pieces of some texts, all texts in one pass.
+
+    The texts are laid end to end; windows that reach into the next text are left out.
+    """
+    none = np.zeros(0, np.int64)
+    h, first_byte, _ = word_hashes(b"\n".join(texts))
     if len(h) < window:
-        none = np.zeros(0, np.uint64)
-        return none, none, none.astype(np.int32), none.astype(np.int32)
+        return none.view(np.uint64), none.view(np.uint64), none, none, none
+    text_of = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), first_byte, side="right")
+    kept = np.flatnonzero(text_of[: len(h) - window + 1] == text_of[window - 1 :])
+    if not len(kept):
+        return none.view(np.uint64), none.view(np.uint64), none, none, none
     runs = ngram_hashes(h, run)
-    wide = window - run + 1
-    seen = np.lib.stride_tricks.sliding_window_view(runs, wide)[:, ::-1]
-    at = np.arange(len(seen)) + wide - 1 - seen.argmin(axis=1)
-    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    count = np.diff(np.concatenate((first, [len(at)])))
-    owner = runs[at[first]]
-    place = (at[first] - first).astype(np.uint64)
-    piece = mix64(range_hashes(h, first, first + count + window - 1) + place * _BASE)
-    return owner, piece, first.astype(np.int32), count.astype(np.int32)
+    at = rightmost_least(runs, window - run + 1)[kept]
+    new = np.ones(len(kept), bool)
+    new[1:] = (at[1:] != at[:-1]) | (kept[1:] != kept[:-1] + 1)
+    edge = np.flatnonzero(new)
+    count = np.diff(np.append(edge, len(kept)))
+    start, at = kept[edge], at[edge]
+    piece = mix64(range_hashes(h, start, start + count + window - 1) + (at - start).astype(np.uint64) * _BASE)
+    first_word = np.searchsorted(text_of, np.arange(len(texts)))
+    text = text_of[start]
+    return runs[at], piece, text, start - first_word[text], count
+
+
+def in_groups(texts: Iterator[pa.Scalar], size: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
+    """(place of the first, texts) of consecutive texts of about ``size`` bytes together."""
+    group, held, first = [], 0, 0
+    for i, t in enumerate(texts):
+        data = t.as_py() or b""
+        group.append(data)
+        held += len(data)
+        if held >= size:
+            yield first, group
+            group, held, first = [], 0, i + 1
+    if group:
+        yield first, group
 
 
 def find_owners(window: int):
@@ -74,15 +120,8 @@ def find_owners(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts, held = [], 0
-            for t in b.column(0):
-                parts.append(owned_pieces(word_hashes(t.as_py() or b"")[0], window)[0])
-                held += len(parts[-1])
-                if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], schema=schema)
-                    parts, held = [], 0
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64))], schema=schema)
+            for _, texts in in_groups(b.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(owned_pieces(texts, window)[0].view(np.int64))], schema=schema)
 
     return run
 
@@ -91,23 +130,14 @@ def find_pieces(window: int):
     """Pieces with their packed places."""
     schema = pa.schema([("owner", pa.int64()), ("piece", pa.int64()), ("uid", pa.int64()), ("place", pa.int64())])
 
-    def emit(parts: list) -> pa.RecordBatch:
-        owner, piece, uid, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(owner.view(np.int64)), pa.array(piece.view(np.int64)), pa.array(uid), pa.array(place)], schema=schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts, held = [], 0
-            for uid, t, chk in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                owner, piece, start, owned = owned_pieces(word_hashes(t.as_py() or b"")[0], window)
-                if len(owner):
-                    parts.append((owner, piece, np.full(len(owner), uid, np.int64), (chk << CHECK_AT) + (start.astype(np.int64) << COUNT_BITS) + owned))
-                    held += len(owner)
-                if held > 200_000:
-                    yield emit(parts)
-                    parts, held = [], 0
-            if parts:
-                yield emit(parts)
+            uid, chk = b.column(0).to_numpy(), b.column(2).to_numpy()
+            for first, texts in in_groups(b.column(1)):
+                owner, piece, text, start, count = owned_pieces(texts, window)
+                text = text + first
+                place = (chk[text] << CHECK_AT) + (start << COUNT_BITS) + count
+                yield pa.RecordBatch.from_arrays([pa.array(owner.view(np.int64)), pa.array(piece.view(np.int64)), pa.array(uid[text]), pa.array(place)], schema=schema)
 
     return run
 
@@ -146,50 +176,48 @@ def cut_lines(window: int):
 
 
 class SuffixAutomaton:
-    """Generalised suffix automaton over words; each text has a weight, the number of its occurrences."""
+    """Generalised suffix automaton over words, or numbers that stand for them; each text has a weight, its occurrences."""
 
     def __init__(self) -> None:
-        self.next: list[dict[bytes, int]] = [{}]
+        self.next: list[dict] = [{}]
         self.link, self.length, self.count = [-1], [0], [0]
 
-    def add(self, text: list[bytes], weight: int) -> None:
+    def add(self, text: list, weight: int) -> None:
+        nxt, link, length, count = self.next, self.link, self.length, self.count
         last = 0
         for w in text:
-            last = self._extend(last, w)
-            self.count[last] += weight
-
-    def _state(self, length: int, link: int, arcs: dict[bytes, int]) -> int:
-        self.next.append(arcs)
-        self.length.append(length)
-        self.link.append(link)
-        self.count.append(0)
-        return len(self.link) - 1
-
-    def _clone(self, p: int, q: int, w: bytes) -> int:
+            q = nxt[last].get(w)
+            if q is not None:
+                last = q if length[q] == length[last] + 1 else self._clone(last, q, w)
+            else:
+                new, p = len(link), last
+                nxt.append({})
+                length.append(length[last] + 1)
+                link.append(0)
+                count.append(0)
+                while p >= 0:
+                    q = nxt[p].setdefault(w, new)
+                    if q != new:
+                        link[new] = q if length[q] == length[p] + 1 else self._clone(p, q, w)
+                        break
+                    p = link[p]
+                last = new
+            count[last] += weight
+
+    def _clone(self, p: int, q: int, w) -> int:
         """The part of state q that is as long as p and w; p and its suffixes lead there from now on."""
         nxt, link = self.next, self.link
-        copy = self._state(self.length[p] + 1, link[q], nxt[q].copy())
+        copy = len(link)
+        nxt.append(nxt[q].copy())
+        self.length.append(self.length[p] + 1)
+        link.append(link[q])
+        self.count.append(0)
         link[q] = copy
         while p >= 0 and nxt[p].get(w) == q:
             nxt[p][w] = copy
             p = link[p]
         return copy
 
-    def _extend(self, last: int, w: bytes) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        q = nxt[last].get(w)
-        if q is not None:
-            return q if length[q] == length[last] + 1 else self._clone(last, q, w)
-        new = self._state(length[last] + 1, 0, {})
-        p = last
-        while p >= 0 and w not in nxt[p]:
-            nxt[p][w] = new
-            p = link[p]
-        if p >= 0:
-            q = nxt[p][w]
-            link[new] = q if length[q] == length[p] + 1 else self._clone(p, q, w)
-        return new
-
     def repeated(self) -> list[int]:
         """For each state the length of its longest suffix that occurs twice or more."""
         order = np.argsort(self.length, kind="stable").tolist()
@@ -203,7 +231,7 @@ class SuffixAutomaton:
         return best
 
 
-def repeated_spans(automaton: SuffixAutomaton, best: list[int], text: list[bytes], window: int) -> list[tuple[int, int]]:
+def repeated_spans(automaton: SuffixAutomaton, best: list[int], text: list, window: int) -> list[tuple[int, int]]:
     """Maximal spans of words covered by repeated runs of at least ``window`` words, by matching statistics."""
     spans: list[tuple[int, int]] = []
     state, nxt = 0, automaton.next
@@ -221,6 +249,9 @@ def match_shards(window: int, shard_words: int):
     schema = pa.schema([("pid", pa.int64()), ("route", pa.int64()), ("los", pa.list_(pa.int32())), ("his", pa.list_(pa.int32()))])
 
     def solve(shard: list[tuple[int, int, int, list[bytes]]]) -> pa.RecordBatch:
+        # Equal words are one number from here on: what the automaton compares is as exact and quicker.
+        number: dict[bytes, int] = {}
+        shard = [(route, pid, n, [number.setdefault(w, len(number)) for w in text]) for route, pid, n, text in shard]
         a = SuffixAutomaton()
         for _, _, n, text in shard:
             a.add(text, n)
@@ -294,7 +325,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     crowded = distinct.groupBy("owner").agg(F.count("*").alias("pieces")).where(F.col("pieces") > many).select("owner", F.lit(True).alias("many"))
     reference = materialise(distinct.join(materialise(crowded, "op2-crowded"), "owner", "left").withColumn("many", F.coalesce("many", F.lit(False))), "op2-reference")
 
-    # The texts are dealt by row three times in one plan: Spark shuffles them once and reuses the exchange.
+    # The texts are dealt by row twice in one plan: Spark shuffles them once and reuses the exchange.
     def lines(wanted: DataFrame) -> DataFrame:
         places = wanted.groupBy("uid", by_row("place")).agg(F.collect_list(F.struct("owner", "piece", "n", "place", "many")).alias("places"))
         return rows.join(places, row).select("k", "t", "places").mapInArrow(cut_lines(window), LINES)
@@ -304,7 +335,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     windows = lines(reference.where("many"))
     shared = windows.groupBy("route", "pid", "words").agg(F.sum("n").alias("n")).select("route", "pid", "n", "words")
     shards = whole.unionByName(shared).repartition("route").sortWithinPartitions("route")
-    spans = materialise(shards.mapInArrow(match_shards(window, shard_words), "pid long, route long, los array<int>, his array<int>"), "op2-spans")
+    spans = shards.mapInArrow(match_shards(window, shard_words), "pid long, route long, los array<int>, his array<int>")
 
     own = reference.where("not many").select(F.col("owner").alias("route"), F.col("piece").alias("pid"), "owner", "piece", F.lit(0).alias("off"))
     shift = lambda c, by: F.transform(c, lambda x: x + by)
