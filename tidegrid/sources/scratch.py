@@ -39,7 +39,8 @@ def release(spark: SparkSession) -> None:
 
     Spark drops the exchanges of a plan when its driver's garbage is collected, which a driver with room to spare may put
     off for long; the shuffle files stay on every executor until then, and the driver keeps the plans.  Jobs of many steps
-    call this between them.
+    call this between them.  The scheduler holds on to the job that ran last, so a small one is run first.
     """
     gc.collect()
+    spark.range(1).count()
     spark.sparkContext._jvm.System.gc()
