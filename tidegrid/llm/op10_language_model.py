@@ -1,7 +1,7 @@
-"""Language-model scoring by deleted interpolation of trigrams, bigrams and unigrams.
+"""Language-model scoring by deleted interpolation of n-grams up to ``order``: trigrams, bigrams and unigrams.
 
 The probability of a token is a mixture of its trigram, bigram and unigram maximum-likelihood estimates and a uniform
-one.  The mixture weights depend on how often the context occurs: buckets of powers of two of the trigram context's
+one; with ``order`` 2 there are no trigrams.  The mixture weights depend on how often the context occurs: buckets of powers of two of the trigram context's
 count or, where that context was never seen, of the bigram context's.  They are learned by expectation-maximisation on
 held-out counts: every training token is deleted from the counts once and predicted from the rest.
 
@@ -12,7 +12,8 @@ so no bucket is hot.  A chunk sends a bucket nothing if it has no key for it, so
 keys and what travels is linear in the tokens; the number of buckets follows the number of tokens, so a bucket's size is
 bounded.
 
-Words are told apart by 64-bit hashes, pairs and triples by 40 bits beside those of their bucket; totals hold 48 bits.
+In a bucket, which is named by the first bits of a hash and holds about a million tokens, words are told apart by 48
+further bits and pairs and triples by 32 (about one of those in 10,000 is so mixed up); totals hold 48 bits.
 Defined results: null and empty texts are one end token; very long texts make a chunk of their own; a null key is in fold
 0, so it trains; equal rows score alike; an empty table gives no rows; without training documents every count is zero;
 only the named columns are read, so further columns cannot clash.
@@ -28,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.sources.scratch import release
+
 from .common import _BASE, ascii_lower, fold, materialise, mix64, pack, table, unpack, word_hashes
 
-CHUNK_TOKENS = 500_000
+CHUNK_TOKENS = 150_000
 BUCKET_TOKENS = 1_000_000
 #: Bit lengths that a context's count can have, 0 to 48.
 LEVELS = 49
@@ -40,9 +43,10 @@ ROUNDS, LEAST_UNIFORM = 60, 1e-3
 #: Orders of the mixture's parts: triple, pair, word, uniform.
 PARTS = 4
 END, START = np.uint64(0x5DEECE66D1234567), np.uint64(0xA24BAED4963EE407)
-#: Bytes of a key beside its bucket's bits, and of a total.
-WORD_BYTES, KEY_BYTES, TOTAL_BYTES = 8, 5, 6
+#: Bits of a word's and of another key beside its bucket's bits, and bytes of a total.
+WORD_BITS, KEY_BITS, TOTAL_BYTES = 48, 32, 6
 KINDS = ("words", "pairs", "triples")
+ORDER = 3
 
 
 CHUNK = "chunk long, ids array<long>, train binary, lengths binary, tokens binary, vocab binary, n long, n_train long, docs_train long"
@@ -59,7 +63,7 @@ def to_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.array([len(h) for h in hashes], np.uint64)
         flags = np.array(train, bool)
         vocab, back = np.unique(np.concatenate(hashes), return_inverse=True)
-        row = [(task << 32) + serial, ids, flags.astype(np.uint8).tobytes(), pack(lengths, 4), pack(back.astype(np.uint64), 4), vocab.astype("<u8").tobytes(), int(lengths.sum()), int(lengths[flags].sum()), int(flags.sum())]
+        row = [(task << 32) + serial, ids, flags.astype(np.uint8).tobytes(), pack(lengths, 4), shut(back.astype(np.uint64), 4), squeeze(vocab, 0, 64), int(lengths.sum()), int(lengths[flags].sum()), int(flags.sum())]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     for b in batches:
@@ -86,20 +90,23 @@ def one_by_one(b: pa.RecordBatch) -> Iterator[dict]:
 class Chunk:
     """A chunk's tokens, word pairs and triples, the same each time it is read."""
 
-    def __init__(self, train: bytes, lengths: bytes, tokens: bytes, vocab: bytes):
-        self.vocab = np.frombuffer(vocab, "<u8")
-        self.tokens = unpack(tokens, 4).astype(np.int64)
+    def __init__(self, train: bytes, lengths: bytes, tokens: bytes, vocab: bytes, order: int):
+        self.order = order
+        self.vocab = stretch(vocab, 64)
+        self.tokens = opened(tokens, 4).astype(np.int64)
         self.lengths = unpack(lengths, 4).astype(np.int64)
         self.flags = np.frombuffer(train, np.uint8).astype(bool)
         self.starts = starts_of(self.lengths)
         self.learn = np.repeat(self.flags, self.lengths)
 
     def keys(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Distinct keys in ascending order and each token's place among them: of words, pairs and triples."""
+        """Distinct keys in ascending order and each token's place among them: of words, pairs and, by the order, triples."""
         own = self.vocab[self.tokens]
         yield self.vocab, self.tokens
         pairs = mix64(shifted(own, self.starts, START) * _BASE + own)
         yield np.unique(pairs, return_inverse=True)
+        if self.order < 3:
+            return
         yield np.unique(mix64(shifted(pairs, self.starts, START) * _BASE + own), return_inverse=True)
 
 
@@ -120,37 +127,49 @@ def slices(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, inner), [len(keys)])).astype(np.int64)
 
 
-def squeeze(keys: np.ndarray, bits: int, width: int) -> bytes:
-    """Sorted keys of one bucket as differences of their ``width`` bytes after the bucket's bits."""
-    rest = ((keys << np.uint64(bits)) if bits else keys) >> np.uint64(64 - 8 * width)
-    return pack(np.diff(rest, prepend=np.uint64(0)), width)
+def shut(a: np.ndarray, width: int) -> bytes:
+    """Packed numbers, compressed: keys' differences and counts are mostly small, which the exchange's own codec leaves long."""
+    planes = pack(a, width)
+    return len(planes).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def opened(data: bytes, width: int) -> np.ndarray:
+    size = int.from_bytes(data[:4], "little")
+    return unpack(pa.decompress(data[4:], size, codec="zstd", asbytes=True), width)
+
 
+def squeeze(keys: np.ndarray, bits: int, kept: int) -> bytes:
+    """Sorted keys of one bucket as differences of the ``kept`` bits after the bucket's."""
+    rest = ((keys << np.uint64(bits)) if bits else keys) >> np.uint64(64 - kept)
+    return shut(np.diff(rest, prepend=np.uint64(0)), -(-kept // 8))
 
-def stretch(data: bytes, width: int) -> np.ndarray:
-    return np.cumsum(unpack(data, width), dtype=np.uint64)
 
+def stretch(data: bytes, kept: int) -> np.ndarray:
+    return np.cumsum(opened(data, -(-kept // 8)), dtype=np.uint64)
 
-def width_of(kind: str) -> int:
-    return WORD_BYTES if kind == "words" else KEY_BYTES
 
+def bits_of(kind: str) -> int:
+    return WORD_BITS if kind == "words" else KEY_BITS
 
-REQUEST = "bucket int, chunk long, " + ", ".join(f"{k} binary, {k}_counts binary" for k in KINDS)
 
+def request_schema(order: int) -> str:
+    return "bucket int, chunk long, " + ", ".join(f"{k} binary, {k}_counts binary" for k in KINDS[:order])
 
-def requests(bits: int):
-    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64())] + [(n, pa.binary()) for k in KINDS for n in (k, f"{k}_counts")])
+
+def requests(bits: int, order: int = ORDER):
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64())] + [(n, pa.binary()) for k in KINDS[:order] for n in (k, f"{k}_counts")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in one_by_one(b):
-                c = Chunk(r["train"], r["lengths"], r["tokens"], r["vocab"])
+                c = Chunk(r["train"], r["lengths"], r["tokens"], r["vocab"], order)
                 cols, used = [], np.zeros(1 << bits, bool)
-                for kind, (keys, back) in zip(KINDS, c.keys(), strict=True):
+                for kind, (keys, back) in zip(KINDS[:order], c.keys(), strict=True):
                     counts = np.bincount(back, weights=c.learn, minlength=len(keys)).astype(np.uint64)
                     at = slices(keys, bits)
                     used |= at[1:] > at[:-1]
-                    cols.append([squeeze(keys[a:z], bits, width_of(kind)) for a, z in zip(at, at[1:], strict=False)])
-                    cols.append([pack(counts[a:z], 4) for a, z in zip(at, at[1:], strict=False)])
+                    cols.append([squeeze(keys[a:z], bits, bits_of(kind)) for a, z in zip(at, at[1:], strict=False)])
+                    cols.append([shut(counts[a:z], 4) for a, z in zip(at, at[1:], strict=False)])
                 some = np.flatnonzero(used)
                 row = [some, np.full(len(some), r["chunk"]), *([col[i] for i in some] for col in cols)]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
@@ -158,41 +177,52 @@ def requests(bits: int):
     return run
 
 
-REPLY = "chunk long, bucket int, " + ", ".join(f"{k} binary" for k in KINDS) + ", v long, n long"
+def reply_schema(order: int) -> str:
+    return "chunk long, bucket int, " + ", ".join(f"{k} binary" for k in KINDS[:order]) + ", v long, n long"
 
 
-def totals(group: pa.Table) -> pa.Table:
+def totals(order: int = ORDER):
     """Counts of a bucket's keys over all chunks, for each chunk in its own order; the row without a chunk has V and N."""
+    kinds = KINDS[:order]
+    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *((k, pa.binary()) for k in kinds), ("v", pa.int64()), ("n", pa.int64())])
+
+    def run(group: pa.Table) -> pa.Table:
+        def add(kind: str) -> tuple[list[bytes], np.ndarray]:
+            own = [stretch(k.as_py(), bits_of(kind)) for k in group[kind]]
+            keys, back = np.unique(np.concatenate(own), return_inverse=True)
+            got = np.zeros(len(keys), np.uint64)
+            np.add.at(got, back, np.concatenate([opened(c.as_py(), 4) for c in group[f"{kind}_counts"]]))
+            return [shut(x, TOTAL_BYTES) for x in np.split(got[back], np.cumsum([len(x) for x in own])[:-1])], got
+
+        chunks, bucket = group["chunk"].to_pylist(), group["bucket"][0].as_py()
+        sent = {kind: add(kind) for kind in kinds}
+        got = sent["words"][1]
+        cols = [[*chunks, None], [bucket] * (len(chunks) + 1), *([*sent[k][0], None] for k in kinds), [*[None] * len(chunks), int((got > 0).sum())], [*[None] * len(chunks), int(got.sum())]]
+        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(cols, schema, strict=True)], schema=schema)
 
-    def add(kind: str) -> tuple[list[bytes], np.ndarray]:
-        own = [stretch(k.as_py(), width_of(kind)) for k in group[kind]]
-        keys, back = np.unique(np.concatenate(own), return_inverse=True)
-        got = np.zeros(len(keys), np.uint64)
-        np.add.at(got, back, np.concatenate([unpack(c.as_py(), 4) for c in group[f"{kind}_counts"]]))
-        return [pack(x, TOTAL_BYTES) for x in np.split(got[back], np.cumsum([len(x) for x in own])[:-1])], got
-
-    chunks, bucket = group["chunk"].to_pylist(), group["bucket"][0].as_py()
-    sent = {kind: add(kind) for kind in KINDS}
-    got = sent["words"][1]
-    cols = [[*chunks, None], [bucket] * (len(chunks) + 1), *([*sent[k][0], None] for k in KINDS), [*[None] * len(chunks), int((got > 0).sum())], [*[None] * len(chunks), int(got.sum())]]
-    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), *((k, pa.binary()) for k in KINDS), ("v", pa.int64()), ("n", pa.int64())])
-    return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip(cols, schema, strict=True)], schema=schema)
+    return run
 
 
-COUNTED = "ids array<long>, train binary, lengths binary, " + ", ".join(f"{k} binary" for k in KINDS)
+def counted_schema(order: int) -> str:
+    return "ids array<long>, train binary, lengths binary, " + ", ".join(f"{k} binary" for k in KINDS[:order])
 
 
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def counted(order: int = ORDER):
     """Each token's count and those of the pair and the triple it ends, from the totals sent back."""
-    schema = pa.schema([("ids", pa.list_(pa.int64())), ("train", pa.binary()), ("lengths", pa.binary()), *((k, pa.binary()) for k in KINDS)])
-    for b in batches:
-        for r in one_by_one(b):
-            c = Chunk(r["train"], r["lengths"], r["tokens"], r["vocab"])
-            replies = sorted(r["replies"], key=lambda x: x["bucket"])
-            row = [r["ids"], r["train"], r["lengths"]]
-            for kind, (_, back) in zip(KINDS, c.keys(), strict=True):
-                row.append(pack(np.concatenate([unpack(x[kind], TOTAL_BYTES) for x in replies])[back], TOTAL_BYTES))
-            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+    kinds = KINDS[:order]
+    schema = pa.schema([("ids", pa.list_(pa.int64())), ("train", pa.binary()), ("lengths", pa.binary()), *((k, pa.binary()) for k in kinds)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in one_by_one(b):
+                c = Chunk(r["train"], r["lengths"], r["tokens"], r["vocab"], order)
+                replies = sorted(r["replies"], key=lambda x: x["bucket"])
+                row = [r["ids"], r["train"], r["lengths"]]
+                for kind, (_, back) in zip(kinds, c.keys(), strict=True):
+                    row.append(shut(np.concatenate([opened(x[kind], TOTAL_BYTES) for x in replies])[back], TOTAL_BYTES))
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+
+    return run
 
 
 class Tokens:
@@ -202,10 +232,12 @@ class Tokens:
         self.lengths = unpack(r["lengths"], 4).astype(np.int64)
         self.starts = starts_of(self.lengths)
         self.train = np.frombuffer(r["train"], np.uint8).astype(bool)
-        self.own, self.pair, self.triple = (unpack(r[k], TOTAL_BYTES).astype(np.int64) for k in KINDS)
+        self.own, self.pair = (opened(r[k], TOTAL_BYTES).astype(np.int64) for k in KINDS[:2])
+        # Without triples every wide context counts as never seen.
+        self.triple = opened(r["triples"], TOTAL_BYTES).astype(np.int64) if "triples" in r else np.zeros_like(self.own)
         # A word or pair is the context of as many tokens as it occurs; the start of a document, of its first token.
         self.context = shifted(self.own, self.starts, docs_train)
-        self.wide_context = shifted(self.pair, self.starts, docs_train)
+        self.wide_context = shifted(self.pair, self.starts, docs_train) if "triples" in r else np.zeros_like(self.own)
 
 
 def bucket_of(wide: np.ndarray, narrow: np.ndarray) -> np.ndarray:
@@ -309,7 +341,7 @@ class Counts(NamedTuple):
     docs_train: int
 
 
-def count(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> Counts:
+def count(docs: DataFrame, train, key: str = "doc_id", text: str = "text", order: int = ORDER) -> Counts:
     """``train``: a boolean column over ``docs``."""
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), train.alias("learn"))
     chunks = materialise(rows.mapInArrow(to_chunks, CHUNK), "op10-chunks")
@@ -317,10 +349,15 @@ def count(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> Co
     bits = max(4, int(np.ceil(np.log2(max(1, (size["n"] or 0) / BUCKET_TOKENS)))))
 
     packed = chunks.select("chunk", "train", "lengths", "tokens", "vocab")
-    replies = materialise(packed.mapInArrow(requests(bits), REQUEST).groupBy("bucket").applyInArrow(totals, REPLY), "op10-totals")
+    asked = packed.mapInArrow(requests(bits, order), request_schema(order))
+    replies = materialise(asked.groupBy("bucket").applyInArrow(totals(order), reply_schema(order)), "op10-totals")
+    del asked
     known = replies.where("chunk is null").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
-    back = replies.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", *KINDS)).alias("replies"))
-    counts = materialise(chunks.select("chunk", "ids", "train", "lengths", "tokens", "vocab").join(back, "chunk").mapInArrow(counted, COUNTED), "op10-counts")
+    release(docs.sparkSession)
+    back = replies.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", *KINDS[:order])).alias("replies"))
+    joined = chunks.select("chunk", "ids", "train", "lengths", "tokens", "vocab").join(back, "chunk")
+    counts = materialise(joined.mapInArrow(counted(order), counted_schema(order)), "op10-counts")
+    del joined, back
     return Counts(counts, known["v"] or 0, known["n"] or 0, size["d"] or 0)
 
 
@@ -330,9 +367,9 @@ def fit(counts: Counts) -> np.ndarray:
     return learn_weights(sorted((r["cell"], r["tokens"]) for r in cells.collect()), counts.v)
 
 
-def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """Per row: key, train, n_tokens, n_known, base_score, score and train_tokens; ``train``: a boolean column over ``docs``."""
-    counts = count(docs, train, key, text)
+    counts = count(docs, train, key, text, order)
     out = counts.chunks.mapInArrow(score_tokens(fit(counts), counts.v, counts.n, counts.docs_train), SCORED)
     return out.withColumn("train_tokens", F.lit(counts.n).cast("long")).withColumnRenamed("doc_id", key)
 
