@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.sources.scratch import release
+
 from .common import _BASE, _BASE_INV, _powers, materialise, mix64, ngram_hashes, table, word_hashes
 
 WINDOW = 35
@@ -319,12 +321,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     met = materialise(rows.select("t").mapInArrow(find_owners(window), "owner long").groupBy("owner").agg(F.count("*").alias("met")).where("met > 1").select("owner"), "op2-owners")
     pieces = materialise(rows.select("uid", "t", "chk").mapInArrow(find_pieces(window), OWNED).join(met, "owner"), "op2-pieces")
 
+    release(docs.sparkSession)
     # The reference: distinct pieces with their number of occurrences and one place.
     distinct = pieces.groupBy("owner", "piece").agg(F.count("*").alias("n"), F.min(F.struct("uid", "place")).alias("at"))
     distinct = materialise(distinct.select("owner", "piece", "n", "at.uid", "at.place"), "op2-distinct")
     crowded = distinct.groupBy("owner").agg(F.count("*").alias("pieces")).where(F.col("pieces") > many).select("owner", F.lit(True).alias("many"))
     reference = materialise(distinct.join(materialise(crowded, "op2-crowded"), "owner", "left").withColumn("many", F.coalesce("many", F.lit(False))), "op2-reference")
 
+    release(docs.sparkSession)
     # The texts are dealt by row twice in one plan: Spark shuffles them once and reuses the exchange.
     def lines(wanted: DataFrame) -> DataFrame:
         places = wanted.groupBy("uid", by_row("place")).agg(F.collect_list(F.struct("owner", "piece", "n", "place", "many")).alias("places"))
@@ -342,6 +346,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     found = own.unionByName(windows.select("route", "pid", "owner", "piece", "off")).join(spans, ["route", "pid"])
     found = found.select("owner", "piece", shift("los", F.col("off")).alias("los"), shift("his", F.col("off")).alias("his"))
     found = materialise(found.groupBy("owner", "piece").agg(F.flatten(F.collect_list("los")).alias("los"), F.flatten(F.collect_list("his")).alias("his")), "op2-found")
+    del whole, windows, shared, shards, spans, own
+    release(docs.sparkSession)
     start = F.shiftright(F.col("place").bitwiseAND(F.lit((1 << CHECK_AT) - 1)), COUNT_BITS).cast("int")
     placed = pieces.join(found, ["owner", "piece"]).select("uid", by_row("place"), shift("los", start).alias("los"), shift("his", start).alias("his"))
     by_doc = placed.groupBy(*row).agg(F.flatten(F.collect_list("los")).alias("los"), F.flatten(F.collect_list("his")).alias("his"))
