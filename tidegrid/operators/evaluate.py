@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .vectors import require_few
+
 
 def confusion(df: DataFrame, predicted: Column, actual: Column, groups: list[str] | None = None) -> DataFrame:
     return df.groupBy(*(groups or [])).agg(*[F.count(F.when(cond, 1)).alias(n) for n, cond in (("tp", predicted & actual), ("fp", predicted & ~actual), ("fn", ~predicted & actual), ("tn", ~predicted & ~actual))])
@@ -52,9 +54,9 @@ def bootstrap_mean(df: DataFrame, unit: str, value: str, replicas: int, seed: in
 def leave_group_out(df: DataFrame, group: str, value: str, positive: Column, low: float = 0.1) -> DataFrame:
     """A threshold from all groups but one (a percentile of its positives), tested on the one left out.
 
-    Groups are few (regions); each row joins the thresholds of its own group only.
+    Groups are few (regions), which is checked; each row joins the thresholds of its own group only.
     """
-    groups = df.select(F.col(group).alias("left_out")).distinct()
+    groups = require_few(df.select(F.col(group).alias("left_out")).distinct(), "groups")
     cuts = df.where(positive).join(F.broadcast(groups), F.col(group) != F.col("left_out")).groupBy("left_out").agg(F.percentile(value, F.lit(low)).alias("cut"))
     tested = df.join(cuts, F.col(group) == F.col("left_out"))
     return tested.groupBy("left_out", "cut").agg(F.avg(F.when(positive, (F.col(value) >= F.col("cut")).cast("int"))).alias("recall"), F.avg(F.when(~positive, (F.col(value) >= F.col("cut")).cast("int"))).alias("false_share"))

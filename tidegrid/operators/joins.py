@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
+from .vectors import require_few
 
 
 def sample_grid(points: DataFrame, grid: DataFrame, x: str, y: str, x0: float, y0: float, size: float, value: str) -> DataFrame:
@@ -88,11 +89,7 @@ def compare_layers(before: DataFrame, after: DataFrame, key: str, area: str, lea
 
 def by_distance(targets: DataFrame, places: DataFrame, key: str, x: str, y: str, k: int) -> DataFrame:
     """The k nearest places of each target in order; places are few (areas), which is checked."""
-    from .vectors import MOST_BROADCAST
-
-    if places.limit(MOST_BROADCAST + 1).count() > MOST_BROADCAST:
-        raise ValueError(f"more than {MOST_BROADCAST} places")
-    p = places.select(F.col(key).alias("place"), F.col(x).alias("_px"), F.col(y).alias("_py"))
+    p = require_few(places, "places").select(F.col(key).alias("place"), F.col(x).alias("_px"), F.col(y).alias("_py"))
     d = F.hypot(F.col(x) - F.col("_px"), F.col(y) - F.col("_py"))
     pairs = targets.select(key, x, y).crossJoin(F.broadcast(p)).where(F.col(key) != F.col("place")).select(key, "place", F.round(d, 6).alias("distance"))
     rank = F.row_number().over(W.partitionBy(key).orderBy("distance", "place"))
