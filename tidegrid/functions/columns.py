@@ -183,3 +183,13 @@ def headroom(limit: Column, queued: Column, margin: float, most: int | None = No
 def tone(ndvi: Column, lswi: Column, low: Column, high: Column) -> Column:
     """Water, green or empty: below zero or wetter than green, else by the middle of the cell's own range."""
     return F.when((ndvi < 0) | (lswi > ndvi), "water").when(ndvi >= (low + high) / 2, "green").when(ndvi.isNotNull(), "empty")
+
+
+def seeded_digest(seed: int, *keys: Column) -> Column:
+    """A digest of seed and keys: an order and a draw that any engine can repeat."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys]).cast("binary"))
+
+
+def seeded_share(seed: int, *keys: Column) -> Column:
+    """A number from 0 up to 1 that seed and keys decide: ten hexadecimal digits of their digest."""
+    return F.conv(F.substring(seeded_digest(seed, *keys), 1, 10), 16, 10).cast("double") / float(1 << 40)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.columns import acres, mean_db
+from ..functions.columns import acres, mean_db, seeded_digest
 
 
 def seasonal_features(df: DataFrame, keys: list[str], order: str, value: str, tie: str) -> DataFrame:
@@ -93,8 +93,8 @@ def duplicates(df: DataFrame, content: Column, key: str) -> DataFrame:
 
 
 def seeded_cap(df: DataFrame, group: list[str], key: str, n: int, seed: int) -> DataFrame:
-    """At most n rows of each group by a seeded hash of the key: the same rows however the table is dealt."""
-    order = F.xxhash64(F.lit(seed), F.col(key))
+    """At most n rows of each group by a seeded digest of the key: the same rows however the table is dealt."""
+    order = seeded_digest(seed, F.col(key))
     return df.withColumn("_r", F.row_number().over(W.partitionBy(*group).orderBy(order, key))).where(F.col("_r") <= n).drop("_r")
 
 

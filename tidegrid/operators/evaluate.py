@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import seeded_share
 from .vectors import require_few
 
 
@@ -42,7 +43,7 @@ def bootstrap_mean(df: DataFrame, unit: str, value: str, replicas: int, seed: in
     """
     units = df.groupBy(unit).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
     draws = units.select("s", "n", F.col(unit), F.explode(F.sequence(F.lit(1), F.lit(replicas))).alias("replica"))
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(unit), F.col("replica")), F.lit(1 << 40)) / float(1 << 40)
+    u = seeded_share(seed, F.col(unit), F.col("replica"))
     # Poisson(1) by its cumulative probabilities, fixed values.
     cuts = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119]
     weight = sum((u >= c).cast("int") for c in cuts)
@@ -156,7 +157,7 @@ def best_variant(scores: DataFrame, group: list[str], variant: str, value: str,
 def random_dates(keys: DataFrame, key: str, n: int, lo: int, hi: int, seed: int) -> DataFrame:
     """(key, draw, day): seeded random days, for what a statistic is where nothing happened."""
     x = keys.select(key, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
-    return x.withColumn("day", (F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("draw")), F.lit(hi - lo + 1)) + lo).cast("int"))
+    return x.withColumn("day", (F.floor(seeded_share(seed, F.col(key), F.col("draw")) * (hi - lo + 1)) + lo).cast("int"))
 
 
 def small_tree(df: DataFrame, features: list[str], label: str, depth: int = 3):

@@ -279,7 +279,9 @@ def overlap_claims(spark, d):
     return grid.overlap_claims(b, "cell", "owner", "pr")
 
 
-@query()
+@query("""WITH u AS (SELECT source, sum(quality)::DOUBLE AS s, count(quality) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1), d AS (SELECT s, n, rep, ('0x' || substr(md5('7|' || source || '|' || rep), 1, 10))::BIGINT / 1099511627776 AS x FROM u, (SELECT unnest(range(1, 201)) AS rep)),
+w AS (SELECT *, (x >= 0.36787944117144233)::INT + (x >= 0.7357588823428847)::INT + (x >= 0.9196986029286058)::INT + (x >= 0.9810118431238462)::INT + (x >= 0.9963401531726563)::INT + (x >= 0.9994058151824183)::INT + (x >= 0.9999167588507119)::INT AS w FROM d), m AS (SELECT rep, sum(w * s) / nullif(sum(w * n), 0) AS m FROM w GROUP BY rep)
+SELECT round((SELECT sum(s) / sum(n) FROM u), 4) AS mean, round(quantile_cont(m, 0.025), 4) AS low, round(quantile_cont(m, 0.975), 4) AS high FROM m""")
 def bootstrap_quality(spark, d):
     """Mean quality with a bootstrap interval over whole sources."""
     x = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
