@@ -75,7 +75,7 @@ def field_shapes(spark, d):
     return _fields(spark, d).select("f", grid.ring_area(F.col("ring")).alias("area"), r(grid.ring_compactness(F.col("ring")), 6).alias("compactness"))
 
 
-@query()
+@query(f"WITH {RECT} SELECT f, round(w * h / 2.0, 4)::DOUBLE AS left, round(w * h / 2.0, 4)::DOUBLE AS right, CASE WHEN w >= h THEN 0.0 ELSE 90.0 END::DOUBLE AS axis FROM fields")
 def field_halves(spark, d):
     """Each ring cut by the line through the middle of its box."""
     f = _fields(spark, d).withColumn("b", geometry.bounds(F.col("ring")))
