@@ -12,8 +12,8 @@ so no bucket is hot.  A chunk sends a bucket nothing if it has no key for it, so
 keys and what travels is linear in the tokens; the number of buckets follows the number of tokens, so a bucket's size is
 bounded.
 
-In a bucket, which is named by the first bits of a hash and holds about a million tokens, words are told apart by 48
-further bits and pairs and triples by 32 (about one of those in 10,000 is so mixed up); totals hold 48 bits.
+In a bucket, which is named by the first bits of a hash and holds about two million tokens, words are told apart by 48
+further bits and pairs and triples by 32 (about two of those in 10,000 are so mixed up); totals hold 48 bits.
 Defined results: null and empty texts are one end token; very long texts make a chunk of their own; a null key is in fold
 0, so it trains; equal rows score alike; an empty table gives no rows; without training documents every count is zero;
 only the named columns are read, so further columns cannot clash.
@@ -33,8 +33,8 @@ from tidegrid.sources.scratch import release
 
 from .common import _BASE, ascii_lower, fold, materialise, mix64, pack, table, unpack, word_hashes
 
-CHUNK_TOKENS = 150_000
-BUCKET_TOKENS = 1_000_000
+CHUNK_TOKENS = 200_000
+BUCKET_TOKENS = 2_000_000
 #: Bit lengths that a context's count can have, 0 to 48.
 LEVELS = 49
 #: Before expectation-maximisation, estimates are put on a grid of half powers of two.
