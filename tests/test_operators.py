@@ -207,6 +207,15 @@ def test_patches_and_sieve_match_brute_force(spark):
     assert sieved == {c: cells[c] if size[p] >= 4 or end(p) is None else end(p) for c, p in want.items()}
 
 
+def test_a_chain_numbered_along_its_length_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graph, "written", lambda df, name, plain=graph.written: rounds.append(name) or plain(df, name))
+    links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {(r.node, r.root) for r in graph.components(links).collect()} == {(i, 0) for i in range(201)}
+    assert rounds.count("graph-jumps") <= 12
+    assert graph.components(links.where("a < 0")).count() == 0
+
+
 def test_a_long_thin_patch(spark):
     """A snake of one class: its ends are far apart along it."""
     art = [[1] * 30 if i % 2 == 0 else ([0] * 29 + [1] if i % 4 == 1 else [1] + [0] * 29) for i in range(25)]
