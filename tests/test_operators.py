@@ -216,6 +216,14 @@ def test_a_chain_numbered_along_its_length_takes_few_rounds(spark, monkeypatch):
     assert graph.components(links.where("a < 0")).count() == 0
 
 
+def test_sieve_sends_only_the_cells_of_small_patches(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(grid, "spread", lambda df, *rest, plain=grid.spread: sent.append(df.count()) or plain(df, *rest))
+    df = spark.createDataFrame([(i, j, int((i, j) in ((3, 3), (7, 1), (7, 2)))) for i in range(10) for j in range(6)], "row int, col int, cls int")
+    assert {r.sieved for r in grid.sieve(df, [], "cls", 4).collect()} == {0}
+    assert sent == [3]
+
+
 def test_a_long_thin_patch(spark):
     """A snake of one class: its ends are far apart along it."""
     art = [[1] * 30 if i % 2 == 0 else ([0] * 29 + [1] if i % 4 == 1 else [1] + [0] * 29) for i in range(25)]

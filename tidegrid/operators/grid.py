@@ -51,11 +51,11 @@ def patches(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     cells = df.withColumn("_run", F.sum(new.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
     first = F.min(F.col("row").cast("long") * (1 << 31) + F.col("col")).alias("cell")
     runs = written(cells.groupBy(*keys, "row", "_run", label).agg(F.min("col").alias("lo"), F.max("col").alias("hi"), first), "grid-runs")
-    name = F.struct(*keys, "cell")
+    name = F.struct(*keys, "cell") if keys else F.col("cell")
     above = runs.select(*keys, (F.col("row") + 1).alias("row"), F.col(label).alias("_label"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), name.alias("b"))
     met = runs.withColumn("a", name).join(above, [*keys, "row"]).where((F.col(label) == F.col("_label")) & (F.col("lo") <= F.col("_hi") + 1) & (F.col("_lo") <= F.col("hi") + 1))
     found = components(met.select("a", "b"))
-    named = runs.withColumn("node", name).join(found, "node", "left").select(*keys, "row", "_run", F.coalesce("root.cell", "cell").alias("patch"))
+    named = runs.withColumn("node", name).join(found, "node", "left").select(*keys, "row", "_run", F.coalesce("root.cell" if keys else "root", "cell").alias("patch"))
     return cells.join(named, [*keys, "row", "_run"]).drop("_run")
 
 
@@ -67,10 +67,12 @@ def sieve(df: DataFrame, keys: list[str], label: str, least: int) -> DataFrame:
     """
     p = written(patches(df, keys, label), "grid-patches")
     sizes = p.groupBy(*keys, "patch", label).agg(F.count("*").alias("size"))
-    sent = spread(p, keys, 1, "patch").join(p.select(*keys, "row", "col", "patch"), [*keys, "row", "col"]).where("patch <> n_patch").select(*keys, "patch", "n_patch").distinct()
-    other = sizes.select(*keys, F.col("patch").alias("n_patch"), F.col("size").alias("_size"))
     small = sizes.where(F.col("size") < least).select(*keys, "patch")
-    to = sent.join(small, [*keys, "patch"]).join(other, [*keys, "n_patch"]).groupBy(*keys, "patch").agg(F.max_by(F.struct("n_patch", "_size"), F.struct(F.col("_size"), -F.col("n_patch"))).alias("t"))
+    # Cells of small patches alone look around themselves.
+    around = spread(p.join(small, [*keys, "patch"], "left_semi"), keys, 1, "patch").select(*keys, "row", "col", F.col("n_patch").alias("patch"))
+    sent = around.join(p.select(*keys, "row", "col", F.col("patch").alias("n_patch")), [*keys, "row", "col"]).where("patch <> n_patch").select(*keys, "patch", "n_patch").distinct()
+    other = sizes.select(*keys, F.col("patch").alias("n_patch"), F.col("size").alias("_size"))
+    to = sent.join(other, [*keys, "n_patch"]).groupBy(*keys, "patch").agg(F.max_by(F.struct("n_patch", "_size"), F.struct(F.col("_size"), -F.col("n_patch"))).alias("t"))
     lead = written(to.select(*keys, "patch", F.col("t.n_patch").alias("to"), (F.col("t._size") >= least).alias("done")), "grid-leads")
     # Each round doubles the way that is followed, so chains of all lengths end within log2 of the patches.
     for _ in range(max(1, lead.count()).bit_length()):
