@@ -319,6 +319,17 @@ def test_components_and_further_links(spark):
     assert {r.node: r.root for r in more.collect()} == {**dict.fromkeys(range(41), 0), 90: 0, 100: 0, 200: 200, 201: 200}
 
 
+@pytest.mark.parametrize("values", [[3.0], [1.0, 4.0], [2.0, 2.0, 9.0, 1e12, -5.0, 2.5], [float(i % 97) ** 3 for i in range(1000)]])
+def test_area_check_by_counts(spark, values):
+    df = spark.createDataFrame([(v, 1.0) for v in values] + [(None, 1.0), (5.0, 0.0)], "a double, b double")
+    got = reports.area_check(df, "a", "b")
+    assert "percentile" not in got._jdf.queryExecution().optimizedPlan().toString()
+    x, mid = np.array(values), float(np.median(values))
+    r = got.first()
+    assert r.ratio == mid and np.isclose(r.worst_pct, (100 * abs(x / mid - 1)).max()) and np.isclose(r.mean_pct, (100 * abs(x / mid - 1)).mean())
+    assert reports.area_check(df.where("a < -100"), "a", "b").count() == 0
+
+
 # --- masks and events --------------------------------------------------------
 
 

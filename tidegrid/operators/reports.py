@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import mean_db, pack
-from .robust import MAD_FACTOR, auc
+from .robust import MAD_FACTOR, auc, counted, counted_percentile
 from .temporal import by
 
 
@@ -53,14 +53,15 @@ def availability(df: DataFrame, keys: list[str], day: str, platform: str) -> Dat
 def area_check(df: DataFrame, supplied: str, computed: str) -> DataFrame:
     """Median ratio of supplied to computed areas, the unit it speaks for, and the greatest and mean disagreement in per cent."""
     ratio = df.where((F.col(computed) > 0) & F.col(supplied).isNotNull()).select((F.col(supplied) / F.col(computed)).alias("r"))
-    mid = ratio.agg(median("r").alias("ratio"))
+    dealt = counted(ratio, "r")
+    mid = counted_percentile(dealt, "r", 0.5, "ratio")
     # What a square metre is in hectares and acres.
     units = [("square metres", 1.0), ("hectares", 1e-4), ("acres", 1 / 4046.8564224)]
     unit = F.lit("unknown")
     for name, scale in units:
         unit = F.when(F.abs(F.col("ratio") / scale - 1) < 0.2, name).otherwise(unit)
     off = 100 * F.abs(F.col("r") / F.col("ratio") - 1)
-    return ratio.join(F.broadcast(mid)).groupBy("ratio").agg(F.max(off).alias("worst_pct"), F.avg(off).alias("mean_pct")).withColumn("unit", unit)
+    return dealt.join(F.broadcast(mid)).groupBy("ratio").agg(F.max(off).alias("worst_pct"), (F.sum(off * F.col("n")) / F.sum("n")).alias("mean_pct")).withColumn("unit", unit)
 
 
 def least_count(df: DataFrame, keys: list[str], value: str, least: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
 from .temporal import by, last_k
 
 #: The normal-consistent factor of the median absolute deviation, and that of a second difference's noise.
@@ -125,6 +126,25 @@ def best_cut(df: DataFrame, value: str, flag: Column, least: int = 1, bins: int
     return c.orderBy(F.desc("purity"), value).limit(1).select(F.col(value).alias("cut"), "purity")
 
 
+def counted(df: DataFrame, value: str, parts: int = 64) -> DataFrame:
+    """(value, n, _p): distinct values with their number, dealt to ranges; written once, as the ranges are drawn from a sample."""
+    tied = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+    return written(tied.repartitionByRange(parts, value).withColumn("_p", F.spark_partition_id()), "counted-values")
+
+
+def counted_percentile(dealt: DataFrame, value: str, q: float, name: str) -> DataFrame:
+    """One row: the exact percentile of ``counted`` values, linear between the two beside it. Only the ranges that hold
+    these are ordered, so no task holds all values."""
+    totals = dealt.groupBy("_p").agg(F.sum("n").alias("_n"))
+    # ``parts`` rows.
+    place = (F.sum("_n").over(W.partitionBy()) - 1) * F.lit(q)
+    totals = totals.select("_p", "_n", (F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).alias("_before"), place.alias("_at"))
+    held = totals.where((F.ceil("_at") >= F.col("_before")) & (F.floor("_at") < F.col("_before") + F.col("_n")))
+    upto = dealt.join(F.broadcast(held), "_p").withColumn("_upto", F.col("_before") + F.sum("n").over(W.partitionBy("_p").orderBy(value)))
+    beside = upto.groupBy("_at").agg(*[F.min(F.when(F.col("_upto") > f(F.col("_at")), F.col(value))).alias(n) for n, f in (("_lo", F.floor), ("_hi", F.ceil))])
+    return beside.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))).alias(name))
+
+
 def robust_z(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Distance from the group's median in units of its scaled median absolute deviation."""
     w = W.partitionBy(*group)
