@@ -319,6 +319,17 @@ def test_components_and_further_links(spark):
     assert {r.node: r.root for r in more.collect()} == {**dict.fromkeys(range(41), 0), 90: 0, 100: 0, 200: 200, 201: 200}
 
 
+def test_coverage_of_equal_boxes_meets_once(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(joins, "touching", lambda a, b, *rest, plain=joins.touching: met.append((a.count(), b.count())) or plain(a, b, *rest))
+    names = "xmin double, ymin double, xmax double, ymax double"
+    a = spark.createDataFrame([(k, x, 0.0, x + 10, 10.0) for k, x in ((1, 0.0), (2, 0.0), (3, 50.0), (4, 200.0), (4, 0.0))], "chunk long, " + names)
+    b = spark.createDataFrame([(t, x, 0.0, x + 20, 20.0) for t, x in (("u", 0.0), ("u", 0.0), ("u", 45.0), ("v", 5.0), ("v", 55.0))], "track string, " + names)
+    got = {(r.chunk, r.track): (r.touch, r.whole) for r in joins.coverage_by_box(a, b, "chunk", ["track"], 25.0).collect()}
+    assert got == {(1, "u"): (2, 2), (1, "v"): (1, 0), (2, "u"): (2, 2), (2, "v"): (1, 0), (3, "u"): (1, 1), (3, "v"): (1, 0), (4, "u"): (2, 2), (4, "v"): (1, 0)}
+    assert met == [(3, 4)]
+
+
 @pytest.mark.parametrize("values", [[3.0], [1.0, 4.0], [2.0, 2.0, 9.0, 1e12, -5.0, 2.5], [float(i % 97) ** 3 for i in range(1000)]])
 def test_area_check_by_counts(spark, values):
     df = spark.createDataFrame([(v, 1.0) for v in values] + [(None, 1.0), (5.0, 0.0)], "a double, b double")

@@ -78,6 +78,19 @@ def coverage_counts(met: DataFrame, key: str, group: list[str], full: float = 0.
     return met.groupBy(key, *group).agg(F.count("*").alias("touch"), F.count(F.when(F.col("share") >= full, 1)).alias("whole"))
 
 
+def coverage_by_box(chunks: DataFrame, footprints: DataFrame, key: str, group: list[str], bucket: float, full: float = 0.99) -> DataFrame:
+    """``coverage_counts`` where many rectangles are equal: each box of either side meets the others' once, footprints
+    with their number, and the chunks take the counts of their box."""
+    box = ["xmin", "ymin", "xmax", "ymax"]
+    boxes = chunks.select(*box).distinct().withColumn("_chunk", F.struct(*box))
+    prints = footprints.groupBy(*box, *group).agg(F.count("*").alias("_n")).withColumn("_print", F.struct(*box, *group, "_n"))
+    met = touching(boxes, prints, "_chunk", "_print", bucket)
+    n = F.col("_print._n")
+    counts = met.groupBy("_chunk", *[F.col(f"_print.{g}").alias(g) for g in group]).agg(F.sum(n).alias("touch"), F.sum(F.when(F.col("share") >= full, n).otherwise(0)).alias("whole"))
+    own = chunks.select(key, *box).join(counts.select(*[F.col(f"_chunk.{b}").alias(b) for b in box], *group, "touch", "whole"), box)
+    return own.groupBy(key, *group).agg(F.sum("touch").alias("touch"), F.sum("whole").alias("whole"))
+
+
 def compare_layers(before: DataFrame, after: DataFrame, key: str, area: str, least: float) -> DataFrame:
     """What became of each shape: kept, reshaped (its area changed by ``least`` or more), split, deleted or new."""
     a = before.groupBy(key).agg(F.sum(area).alias("area_before"))

@@ -100,10 +100,9 @@ def chunk_coverage(spark, d):
     n = lambda x: F.col(x).cast("double")
     a = table(spark, d, "supplier").select(F.col("s_suppkey").alias("chunk"), (n("s_suppkey") % 37 * 10).alias("xmin"), (n("s_suppkey") % 11 * 10).alias("ymin"))
     a = a.withColumns({"xmax": F.col("xmin") + 10, "ymax": F.col("ymin") + 10})
-    b = table(spark, d, "part").select(F.col("p_partkey").alias("print"), (n("p_partkey") % 29 * 12).alias("xmin"), (n("p_partkey") % 13 * 7).alias("ymin"), "p_size", F.col("p_brand").alias("track"))
+    b = table(spark, d, "part").select((n("p_partkey") % 29 * 12).alias("xmin"), (n("p_partkey") % 13 * 7).alias("ymin"), "p_size", F.col("p_brand").alias("track"))
     b = b.withColumns({"xmax": F.col("xmin") + 5 + F.col("p_size"), "ymax": F.col("ymin") + 4 + F.col("p_size") / 2.0})
-    met = joins.touching(a, b, "chunk", "print", 25.0)
-    return joins.coverage_counts(met.join(b.select("print", "track"), "print"), "chunk", ["track"])
+    return joins.coverage_by_box(a, b, "chunk", ["track"], 25.0)
 
 
 @query("""WITH a AS (SELECT l_suppkey AS f, sum(l_quantity) AS x FROM lineitem WHERE l_linenumber <= 3 AND l_suppkey % 5 <> 0 GROUP BY 1), b AS (SELECT l_suppkey AS f, sum(l_quantity) AS y, count(DISTINCT l_returnflag) AS parts FROM lineitem WHERE l_linenumber <= 3 AND l_suppkey % 7 <> 0 AND (l_suppkey % 3 = 0 OR l_returnflag = 'A') GROUP BY 1)
