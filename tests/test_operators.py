@@ -330,6 +330,13 @@ def test_coverage_of_equal_boxes_meets_once(spark, monkeypatch):
     assert met == [(3, 4)]
 
 
+def test_work_list_of_many_tracks(spark):
+    tracks, chunks = spark.range(10_500).withColumnRenamed("id", "track"), spark.range(3).withColumnRenamed("id", "chunk")
+    bare, known = spark.createDataFrame([(7, 1)], "track long, chunk long"), spark.createDataFrame([(7, 2), (10_499, 0)], "track long, chunk long")
+    got = lifecycle.work_list(tracks, chunks, bare, known, ["track", "chunk"])
+    assert got.count() == 31_497 and {r.chunk for r in got.where("track = 7").collect()} == {0}
+
+
 @pytest.mark.parametrize("values", [[3.0], [1.0, 4.0], [2.0, 2.0, 9.0, 1e12, -5.0, 2.5], [float(i % 97) ** 3 for i in range(1000)]])
 def test_area_check_by_counts(spark, values):
     df = spark.createDataFrame([(v, 1.0) for v in values] + [(None, 1.0), (5.0, 0.0)], "a double, b double")

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .vectors import require_few
-
 
 def latest(log: DataFrame, key: str, order: list[str], fields: list[str]) -> DataFrame:
     """One row a key: the last known value of every field, and how many entries it has.
@@ -96,8 +94,8 @@ def claim(table: DataFrame, wanted: DataFrame, key: str, state: str, expected: l
 
 
 def work_list(tracks: DataFrame, chunks: DataFrame, uncovered: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
-    """Every track and chunk that is covered and not yet known. Tracks are few, which is checked, so the product is the work itself."""
-    return chunks.crossJoin(F.broadcast(require_few(tracks, "tracks"))).join(uncovered, on, "left_anti").join(known, on, "left_anti")
+    """Every track and chunk that is covered and not yet known. The product is the work itself; neither side need be short."""
+    return chunks.crossJoin(tracks).join(uncovered, on, "left_anti").join(known, on, "left_anti")
 
 
 def confirm(table: DataFrame, scope: Column, state: str, before: str, after: str) -> DataFrame:
