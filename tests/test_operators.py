@@ -348,6 +348,13 @@ def test_area_check_by_counts(spark, values):
     assert reports.area_check(df.where("a < -100"), "a", "b").count() == 0
 
 
+def test_steady_mean(spark):
+    rows = [("a", 0.1), ("a", 0.2), ("a", 0.3), ("b", 0.2), ("c", None), ("d", 1e300), ("d", 1.0), ("e", float("nan")), ("f", 1e-30), ("g", None), ("g", -4.5)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(3)
+    got = {r.k: r.m for r in df.groupBy("k").agg(c.steady_mean("v").alias("m")).collect()}
+    assert got["a"] == got["b"] == 0.2 and got["c"] is None and got["d"] == 5e299 and np.isnan(got["e"]) and got["f"] == 1e-30 and got["g"] == -4.5
+
+
 # --- masks and events --------------------------------------------------------
 
 

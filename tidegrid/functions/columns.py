@@ -36,6 +36,17 @@ def unpack(code: Column, scale: int = 100, missing: int = PACKED_MISSING) -> Col
     return F.nullif(code, F.lit(missing)) / scale
 
 
+def steady_mean(value: str) -> Column:
+    """Mean that doesn't hang on the order of the rows: equal means are equal, so that ties stay ties.
+
+    Sums of doubles differ in the last place with the way the rows are dealt; decimals are added exactly.  A group with a
+    value that 18 decimals don't hold (NaN, 1e9 or more, finer ones) has the plain mean.
+    """
+    c = F.col(value)
+    d = F.when(F.abs(c) < 1e9, c.try_cast("decimal(38,18)"))
+    return F.when(F.count(c) == F.count(F.when(d.cast("double") == c, 1)), F.avg(d).cast("double")).otherwise(F.avg(c))
+
+
 def no_nan(value: Column) -> Column:
     """NaN as NULL: aggregates of the engine skip NULL but not NaN."""
     return F.nanvl(value, F.lit(None).cast("double"))

@@ -246,7 +246,7 @@ DAILY = "m AS (SELECT k, day, avg(v) AS y FROM obs GROUP BY ALL)"
 @query("{obs}, " + DAILY + """, t AS (SELECT k, day, y, lag(y) OVER w AS p, lead(y) OVER w AS n, max(y) OVER (PARTITION BY k ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM m WINDOW w AS (PARTITION BY k ORDER BY day))
 SELECT k, day, round(y, 4) AS y FROM t WHERE (p IS NULL OR y <= p) AND y < n AND later >= y + 40""")
 def troughs(spark, d):
-    m = observations(spark, d).groupBy("k", "day").agg(F.avg("v").alias("y"))
+    m = observations(spark, d).groupBy("k", "day").agg(c.steady_mean("v").alias("y"))
     return m.withColumn("t", temporal.troughs(["k"], "day", "y", F.lit(40.0))).where("t").select("k", "day", r("y").alias("y"))
 
 
