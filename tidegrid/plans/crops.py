@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import steady_mean
 from ..operators import classes, events, masks, own_scale, rules
 from ..sources.tables import observations, table
 from .registry import registry
@@ -30,18 +31,18 @@ def _events(spark, d):
     return obs.select(F.col("user_id").alias("k"), F.col("event_type").alias("track"), day.alias("day"), "value", F.get_json_object("props", "$.k").cast("double").alias("prop"))
 
 
-def _passes(spark, d):
-    return _events(spark, d).where("track in ('view', 'click')").groupBy("k", "track", "day").agg(F.avg("value").alias("vh"), F.avg("prop").alias("vv"))
+def _passes(spark, d, mean=F.avg):
+    return _events(spark, d).where("track in ('view', 'click')").groupBy("k", "track", "day").agg(mean("value").alias("vh"), F.avg("prop").alias("vv"))
 
 
-def _views(spark, d):
-    return _events(spark, d).where("track in ('purchase', 'error')").groupBy("k", "day").agg((F.avg("value") / 100 - 0.1).alias("ndvi"), (F.avg("prop") / 200 - 0.2).alias("lswi"))
+def _views(spark, d, mean=F.avg):
+    return _events(spark, d).where("track in ('purchase', 'error')").groupBy("k", "day").agg((mean("value") / 100 - 0.1).alias("ndvi"), (F.avg("prop") / 200 - 0.2).alias("lswi"))
 
 
-def _fits(spark, d):
+def _fits(spark, d, mean=F.avg):
     from ..operators import temporal
 
-    v = _views(spark, d)
+    v = _views(spark, d, mean)
     raw = v.groupBy("k", (F.floor(F.col("day") / 5) * 5).cast("int").alias("day")).agg(F.max("ndvi").alias("raw"))
     spine = temporal.window_spine(v.select("k").distinct(), 0, 30, 5).withColumnRenamed("win", "day")
     return temporal.fill_previous(spine.join(raw, ["k", "day"], "left"), ["k"], "day", "raw", "fit").select("k", "day", "fit", F.col("raw").isNotNull().alias("seen"))
@@ -224,9 +225,9 @@ def months_below(spark, d):
 # --- events -----------------------------------------------------------------
 
 
-def _anchors(spark, d):
+def _anchors(spark, d, mean=F.avg):
     """Each key's lowest view: (k, event_day, level, noise)."""
-    v = _views(spark, d)
+    v = _views(spark, d, mean)
     return v.groupBy("k").agg(F.min(F.struct("ndvi", "day")).alias("m")).select("k", F.col("m.day").alias("event_day"), F.col("m.ndvi").alias("level"), F.lit(0.05).alias("noise"))
 
 
@@ -236,7 +237,7 @@ ANCHORS = "a AS (SELECT k, arg_min(day, [ndvi, day]) AS event_day, min(ndvi) AS
 @query(f"WITH {VIEWS}, {ANCHORS} SELECT a.k, count(*) FILTER (day > event_day AND ndvi >= level + 2 * noise) AS views_above, round(max(ndvi) FILTER (day > event_day), 6) AS best_after FROM a LEFT JOIN v USING (k) GROUP BY a.k")
 def views_after_trough(spark, d):
     """Views after the lowest one that stand clearly above it, and the best of them."""
-    v, a = _views(spark, d), _anchors(spark, d)
+    v, a = _views(spark, d, steady_mean), _anchors(spark, d, steady_mean)
     return events.views_above(v, a, "k", "day", "ndvi", 2.0).join(events.best_view_after(v, a, "k", "day", "ndvi"), "k").select("k", "views_above", r("best_after", 6).alias("best_after"))
 
 
