@@ -9,7 +9,7 @@ from helpers import connect, same
 from tidegrid.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
-TIED = ["troughs", "views_after_trough"]
+TIED = ["troughs", "views_after_trough", "own_range_features"]
 
 
 @pytest.fixture(scope="module")

@@ -100,7 +100,7 @@ _OWN_COLUMNS = ["fit_low_peak", "ndvi_rise_days", "days_since_peak", "days_at_to
 
 
 def _features(spark, d, digits=2):
-    return own_scale.own_scale_features(_passes(spark, d), _views(spark, d), _fits(spark, d), SEASON, 5, digits)
+    return own_scale.own_scale_features(_passes(spark, d, steady_mean), _views(spark, d, steady_mean), _fits(spark, d, steady_mean), SEASON, 5, digits)
 
 
 @query(OWN_SQL + " SELECT k, spell::DOUBLE AS water_spell, " + ", ".join(f"round(({c})::DOUBLE, 4) AS {c}" for c in _OWN_COLUMNS) + " FROM own")
