@@ -195,12 +195,13 @@ def water_spells(marked: DataFrame, fits: DataFrame, marks: DataFrame, season: S
     return out.select(key, F.coalesce("water_spell", F.lit(0)).alias("water_spell"), F.coalesce("_first", "low_end").alias("sowing_day"), F.when(F.col("_first").isNotNull(), 3).otherwise(0).alias("sowing_from"))
 
 
-def own_scale_features(passes: DataFrame, views: DataFrame, fits: DataFrame, season: Season, step: int, digits: int = 2) -> DataFrame:
-    """All features, one row a key ``k``; a key without radar or without views has NULL for those."""
+def own_scale_features(passes: DataFrame, views: DataFrame, fits: DataFrame, season: Season, step: int, digits: int = 2, whole: tuple[str, ...] = ()) -> DataFrame:
+    """All features, one row a key ``k``; a key without radar or without views has NULL for those. Those named in
+    ``whole`` are not rounded."""
     marked = wet_passes(own_positions(passes, "k", "track"), "k", "track", "day", season)
     marks = curve_marks(fits, season)
     seen = view_features(views, season)
     out = curve_features(marks).join(seen, "k", "left").join(radar_features(passes, season), "k", "left")
     out = out.join(water_depth(passes, "k", "track", "day", season), "k", "left").join(water_spells(marked, fits, marks, season, step), "k", "left")
     out = out.join(change_since(marked, seen.select("k", F.col("view_day").alias("day")), "k", "track", "day"), "k", "left")
-    return out.select("k", *[F.round(F.col(c).cast("double"), digits).alias(c) for c in out.columns if c != "k"])
+    return out.select("k", *[(F.col(c).cast("double") if c in whole else F.round(F.col(c).cast("double"), digits)).alias(c) for c in out.columns if c != "k"])

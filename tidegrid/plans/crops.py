@@ -99,8 +99,8 @@ own AS (SELECT * EXCLUDE (first, low_end), coalesce(water_spell, 0) AS spell, co
 _OWN_COLUMNS = ["fit_low_peak", "ndvi_rise_days", "days_since_peak", "days_at_top", "days_off_top", "crop_age", "rise_unseen", "ndvi_low_peak", "ndvi_left", "ndvi_left_prev", "ndvi_slope_end", "ndvi_rise_seen", "days_since_ndvi_low", "last_view_water", "last_view_open_water", "days_since_water_view", "days_since_open_water_view", "dry_water_share", "view_day", *_ENDS, "radar_rise_days", "water_depth", "sowing_day", "sowing_from", "vh_since_view", "vv_since_view"]
 
 
-def _features(spark, d, digits=2):
-    return own_scale.own_scale_features(_passes(spark, d, steady_mean), _views(spark, d, steady_mean), _fits(spark, d, steady_mean), SEASON, 5, digits)
+def _features(spark, d, digits=2, whole=()):
+    return own_scale.own_scale_features(_passes(spark, d, steady_mean), _views(spark, d, steady_mean), _fits(spark, d, steady_mean), SEASON, 5, digits, whole)
 
 
 @query(OWN_SQL + " SELECT k, spell::DOUBLE AS water_spell, " + ", ".join(f"round(({c})::DOUBLE, 4) AS {c}" for c in _OWN_COLUMNS) + " FROM own")
@@ -122,13 +122,15 @@ def _rule_sql(**days):
     return _RULE_ROWS.format(**days), _RULE.format(**days)
 
 
+#: The rule holds this one against its limit as it is; the others are rounded first.
+_WHOLE = ("vh_pos_end",)
 _SHORT = classes.OwnScale(fast_days=8, held_days=5, ripen_days=6, young_days=10)
 
 
 @query(OWN_SQL + "{0} SELECT k, {1} AS class FROM f".format(*_rule_sql(fast=8, held=5, ripen=6, young=10)))
 def relative_rule(spark, d):
     """Class of each series by the own-scale rule, its day limits cut to a season of thirty days."""
-    f = _features(spark, d, 4)
+    f = _features(spark, d, 4, _WHOLE)
     return f.select("k", classes.own_scale_class(f, _SHORT).alias("class"))
 
 
