@@ -9,7 +9,7 @@ from helpers import connect, same
 from tidegrid.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
-TIED = ["troughs", "views_after_trough", "own_range_features", "relative_rule", "relative_rule_switched"]
+TIED = ["troughs", "views_after_trough", "own_range_features", "relative_rule", "relative_rule_switched", "rule_class_two_sets"]
 
 
 @pytest.fixture(scope="module")
